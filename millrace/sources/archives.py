@@ -12,7 +12,7 @@ import zipfile
 import zlib
 from collections.abc import Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +21,8 @@ from millrace.sources.files import CSV_OPTIONS
 
 MEMBER_SCHEMA = "archive string, member string, size bigint, error string"
 LINE_SCHEMA = "archive string, member string, line_no bigint, line string"
+MEMBERS = pa.schema([("archive", pa.string()), ("member", pa.string()), ("size", pa.int64()), ("error", pa.string())])
+LINES = pa.schema([("archive", pa.string()), ("member", pa.string()), ("line_no", pa.int64()), ("line", pa.string())])
 BATCH_LINES = 5000
 BATCH_CHARACTERS = 4 << 20
 READ_BYTES = 1 << 20
@@ -53,9 +55,14 @@ def _spread(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(tasks, *keys)
 
 
-def _list_members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _batch(schema: pa.Schema, rows: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*rows)) if rows else [[] for _ in schema]
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
+
+def _list_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for archive in batch["archive"]:
+        for archive in batch.column("archive").to_pylist():
             try:
                 with open_file(archive) as source, zipfile.ZipFile(source) as bundle:
                     rows = [(archive, m.filename, m.file_size, None) for m in bundle.infolist() if not m.is_dir()]
@@ -63,43 +70,44 @@ def _list_members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 rows = [(archive, None, None, ARCHIVE_NOT_FOUND)]
             except (zipfile.BadZipFile, OSError, ValueError):
                 rows = [(archive, None, None, CORRUPT_ARCHIVE)]
-            yield pd.DataFrame(rows, columns=["archive", "member", "size", "error"]).astype({"size": "Int64"})
+            yield _batch(MEMBERS, rows)
+
+
+def _member_error(archive: str, member: str) -> str | None:
+    """Read the member to its end against its checksum, keeping nothing."""
+    try:
+        with open_file(archive) as source, zipfile.ZipFile(source) as bundle, bundle.open(member) as data:
+            while data.read(READ_BYTES):
+                pass
+    except (zipfile.BadZipFile, zlib.error, OSError, EOFError, NotImplementedError, RuntimeError):
+        return CORRUPT_ARCHIVE
+    return None
 
 
-def _check_members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _check_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        errors = []
-        for archive, member, error in zip(batch["archive"], batch["member"], batch["error"]):
-            if error is None:
-                try:
-                    with open_file(archive) as source, zipfile.ZipFile(source) as bundle, bundle.open(member) as data:
-                        while data.read(READ_BYTES):
-                            pass
-                except (zipfile.BadZipFile, zlib.error, OSError, EOFError, NotImplementedError, RuntimeError):
-                    error = CORRUPT_ARCHIVE
-            errors.append(error)
-        yield batch.assign(error=errors)
-
-
-def _read_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = [
+            (r["archive"], r["member"], r["size"], r["error"] or _member_error(r["archive"], r["member"]))
+            for r in batch.to_pylist()
+        ]
+        yield _batch(MEMBERS, rows)
+
+
+def _read_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for archive, member in zip(batch["archive"], batch["member"]):
+        for row in batch.to_pylist():
+            archive, member = row["archive"], row["member"]
             with open_file(archive) as source, zipfile.ZipFile(source) as bundle, bundle.open(member) as data:
-                first, lines, size = 1, [], 0
-                for line in io.TextIOWrapper(data, encoding="utf-8-sig", errors="replace"):
-                    lines.append(line.rstrip("\r\n"))
+                rows, size = [], 0
+                text = io.TextIOWrapper(data, encoding="utf-8-sig", errors="replace")
+                for number, line in enumerate(text, 1):
+                    rows.append((archive, member, number, line.rstrip("\r\n")))
                     size += len(line)
-                    if len(lines) >= BATCH_LINES or size >= BATCH_CHARACTERS:
-                        yield _line_frame(archive, member, first, lines)
-                        first, lines, size = first + len(lines), [], 0
-                if lines:
-                    yield _line_frame(archive, member, first, lines)
-
-
-def _line_frame(archive: str, member: str, first: int, lines: list[str]) -> pd.DataFrame:
-    return pd.DataFrame(
-        {"archive": archive, "member": member, "line_no": range(first, first + len(lines)), "line": lines}
-    )
+                    if len(rows) >= BATCH_LINES or size >= BATCH_CHARACTERS:
+                        yield _batch(LINES, rows)
+                        rows, size = [], 0
+                if rows:
+                    yield _batch(LINES, rows)
 
 
 def archive_members(paths: DataFrame) -> DataFrame:
@@ -107,8 +115,8 @@ def archive_members(paths: DataFrame) -> DataFrame:
 
     Every member is read once against its checksum before anything is loaded.
     """
-    listed = _spread(paths.select("archive").distinct(), "archive").mapInPandas(_list_members, MEMBER_SCHEMA)
-    return _spread(listed, "archive", "member").mapInPandas(_check_members, MEMBER_SCHEMA)
+    listed = _spread(paths.select("archive").distinct(), "archive").mapInArrow(_list_members, MEMBER_SCHEMA)
+    return _spread(listed, "archive", "member").mapInArrow(_check_members, MEMBER_SCHEMA)
 
 
 def sound_members(members: DataFrame) -> DataFrame:
@@ -124,7 +132,7 @@ def archive_errors(members: DataFrame) -> DataFrame:
 
 def member_lines(members: DataFrame) -> DataFrame:
     """Numbered text lines of the given members."""
-    return _spread(members.select("archive", "member"), "archive", "member").mapInPandas(_read_lines, LINE_SCHEMA)
+    return _spread(members.select("archive", "member"), "archive", "member").mapInArrow(_read_lines, LINE_SCHEMA)
 
 
 def lines_as_csv(lines: DataFrame, columns: Sequence[str], *, header: bool = True, delimiter: str = ",") -> DataFrame:
