@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -37,6 +39,11 @@ def is_valid_tolerance(text: Column) -> Column:
     return F.coalesce(_percent_value(text), _absolute_value(text)).isNotNull()
 
 
+def is_tolerance_text(text: str) -> bool:
+    """The same check for a text of the configuration."""
+    return bool(re.search(_PERCENT, text.strip()) or re.search(_NUMBER, text.strip()))
+
+
 def threshold_percent(text: Column, default: float) -> Column:
     """Configured percentage; the default when blank or unreadable."""
     digits = F.trim(F.regexp_replace(text, "%", ""))

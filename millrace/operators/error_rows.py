@@ -44,33 +44,26 @@ def union_errors(frames: list[DataFrame]) -> DataFrame:
 
 
 def melt_bad_cells(table: TypedTable, rules: list[ColumnRule]) -> DataFrame:
-    """One row per bad cell: file, column and raw text."""
-    if not rules:
-        return table.frame.select(
-            FILE, F.lit("").alias("column_name"), F.lit("").alias("raw_value")
-        ).filter(F.lit(False))
-    cells = [
-        part
-        for rule in rules
-        for part in (F.lit(rule.name), F.when(col(bad_name(rule)), col(raw_name(rule))))
-    ]
-    rows = table.frame.filter(any_of([col(bad_name(rule)) for rule in rules]))
-    return rows.select(FILE, F.stack(F.lit(len(rules)), *cells).alias("column_name", "raw_value")).filter(
+    """One row per bad cell or unreadable line: file, column and raw text."""
+    cells = [F.lit(CORRUPT), col(CORRUPT)]
+    for rule in rules:
+        cells += [F.lit(rule.name), F.when(col(bad_name(rule)), col(raw_name(rule)))]
+    rows = table.frame.filter(any_of([col(CORRUPT_LINE), *(col(bad_name(rule)) for rule in rules)]))
+    return rows.select(FILE, F.stack(F.lit(len(cells) // 2), *cells).alias("column_name", "raw_value")).filter(
         F.col("raw_value").isNotNull()
     )
 
 
-def bad_values(table: TypedTable) -> DataFrame:
-    """How often each bad text occurs per file and column.
+def bad_values(table: TypedTable, files: DataFrame | None = None) -> DataFrame:
+    """How often each bad text occurs per file and column, in all or the given files.
 
     Counting by value first means that everything after this works on distinct
     texts, and that a hot file is spread over its texts.
     """
     cells = melt_bad_cells(table, [rule for rule in table.checked if rule.reported])
-    lines = table.frame.filter(col(CORRUPT_LINE)).select(
-        FILE, F.lit(CORRUPT).alias("column_name"), col(CORRUPT).alias("raw_value")
-    )
-    return cells.unionByName(lines).groupBy(FILE, "column_name", "raw_value").agg(F.count(F.lit(1)).alias("n"))
+    if files is not None:
+        cells = cells.join(files.select(FILE), FILE, "left_semi")
+    return cells.groupBy(FILE, "column_name", "raw_value").agg(F.count(F.lit(1)).alias("n"))
 
 
 def samples(values: DataFrame, limit: int = SAMPLE_LIMIT) -> DataFrame:
@@ -183,20 +176,28 @@ def line_errors(verdict: DataFrame, rule: TableRule) -> DataFrame:
     )
 
 
-def table_errors(
+def cell_and_column_errors(
     values: DataFrame, verdict: DataFrame, table: TypedTable, rule: TableRule, limit: int = DETAIL_LIMIT
 ) -> DataFrame:
-    """Every typing, line and file error of a table.
+    """Error rows of bad cells in accepted files: one by one or summed up, as the rules say.
 
     ``values`` (see :func:`bad_values`) and ``verdict`` are read several times
-    and should be written tables. A refused file has its single file error only.
+    and should be written tables.
     """
     files = verdict.filter(F.col("status") == SUCCESS).select(FILE, "total_rows")
     columns = bad_columns(values)
+    return union_errors(
+        [summary_errors(columns, files, table, rule), cell_errors(values, columns, files, table, rule, limit)]
+    )
+
+
+def table_errors(
+    values: DataFrame, verdict: DataFrame, table: TypedTable, rule: TableRule, limit: int = DETAIL_LIMIT
+) -> DataFrame:
+    """Every typing, line and file error of a table. A refused file has its single file error only."""
     return union_errors(
         [
-            summary_errors(columns, files, table, rule),
-            cell_errors(values, columns, files, table, rule, limit),
+            cell_and_column_errors(values, verdict, table, rule, limit),
             file_errors(verdict, rule),
             line_errors(verdict, rule),
         ]

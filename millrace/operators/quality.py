@@ -12,7 +12,8 @@ from millrace.functions.tolerances import tolerance_ratio, within_count
 from millrace.names import (
     ERROR_NUMBERS, FAILED, FAILED_QUALITY, FILE, PASSED, REJECTED, SUCCESS, any_of, col,
 )
-from millrace.operators.typing import TypedTable, bad_name
+from millrace.operators.typing import TypedTable
+from millrace.operators.verdict import mandatory_null
 
 
 def mandatory_nulls(rows: DataFrame, table: TypedTable, name: str) -> DataFrame:
@@ -21,16 +22,10 @@ def mandatory_nulls(rows: DataFrame, table: TypedTable, name: str) -> DataFrame:
     A cell that is NULL because its text was invalid has its own error already.
     """
     required = [rule for rule in table.rules if not rule.nullable]
-    if not required:
-        required_null = {}
-    else:
-        required_null = {
-            rule.name: col(rule.name).isNull() & (F.lit(True) if rule.is_text else ~col(bad_name(rule)))
-            for rule in required
-        }
-    pairs = [part for c, null in required_null.items() for part in (F.lit(c), null)] or [F.lit(""), F.lit(False)]
+    nulls = [mandatory_null(rule) for rule in required]
+    pairs = [part for rule, null in zip(required, nulls) for part in (F.lit(rule.name), null)] or [F.lit(""), F.lit(False)]
     melted = (
-        rows.filter(any_of(list(required_null.values())))
+        rows.filter(any_of(nulls))
         .select(FILE, F.stack(F.lit(len(pairs) // 2), *pairs).alias("column_name", "__null"))
         .filter("__null")
     )

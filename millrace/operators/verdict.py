@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.messages import error_number, tolerance_exceeded
 from millrace.functions.tolerances import tolerance_ratio
-from millrace.names import FAILED, FILE, REJECTED, SUCCESS, col, sum_of
+from millrace.names import FAILED, FILE, FILE_DATE, PARTITIONS, REJECTED, SUCCESS, any_of, col, sum_of
 from millrace.operators.typing import CORRUPT_LINE, DROPPED, FLAGS, TypedTable, bad_name
 from millrace.rules import ColumnRule, TableRule
 
@@ -22,6 +24,20 @@ def line_limits(table: TypedTable, rule: TableRule) -> list[int]:
     return list(range(1, max(1, int(flag_columns * rule.line_tolerance)) + 1))
 
 
+def load_date(columns: Sequence[str]) -> Column:
+    """Date of a row's file: from its name, else its partition values, else NULL."""
+    choices = [F.col(FILE_DATE)] if FILE_DATE in columns else []
+    if all(c in columns for c in PARTITIONS):
+        choices.append(F.make_date(*(F.col(c) for c in PARTITIONS)))
+    return F.coalesce(*choices) if choices else F.lit(None).cast("date")
+
+
+def mandatory_null(rule: ColumnRule) -> Column:
+    """NULL in a mandatory column that is not an invalid cell, which has its own error."""
+    missing = col(rule.name).isNull()
+    return missing if rule.is_text else missing & ~col(bad_name(rule))
+
+
 def file_counts(table: TypedTable, rule: TableRule) -> DataFrame:
     """Row, corrupt, removed and invalid-cell counts of every file.
 
@@ -29,6 +45,7 @@ def file_counts(table: TypedTable, rule: TableRule) -> DataFrame:
     files and columns, so one dominant file is no bottleneck.
     """
     bad = [F.count_if(col(bad_name(r))).alias(bad_count_name(r)) for r in table.checked]
+    no_value = any_of([mandatory_null(r) for r in table.rules if not r.nullable])
     remaining = ~col(CORRUPT_LINE) & ~col(DROPPED)
     over = [F.count_if(remaining & (col(FLAGS) > n)) for n in line_limits(table, rule)]
     return table.frame.groupBy(FILE).agg(
@@ -37,6 +54,8 @@ def file_counts(table: TypedTable, rule: TableRule) -> DataFrame:
         F.count_if(col(DROPPED)).alias("dropped_rows"),
         *bad,
         F.array(*over).alias("lines_over"),
+        F.count_if(remaining & no_value).alias("null_rows"),
+        F.max(load_date(table.kept)).alias("load_date"),
     )
 
 
@@ -109,6 +128,17 @@ def accepted_rows(table: TypedTable, verdict: DataFrame) -> DataFrame:
     return rows.join(passed, FILE).filter(col(FLAGS) <= F.col("line_limit")).drop("line_limit")
 
 
+def latest_files(verdict: DataFrame) -> DataFrame:
+    """Verdicts of the accepted files with the most recent date.
+
+    The newest date is one row, so joining it back is a broadcast of one row.
+    """
+    date = F.coalesce("load_date", F.lit("0001-01-01").cast("date"))
+    loaded = verdict.filter((F.col("status") == SUCCESS) & (F.col("accepted_rows") > 0)).withColumn("__date", date)
+    newest = loaded.agg(F.max("__date").alias("__newest"))
+    return loaded.join(F.broadcast(newest), F.col("__date") == F.col("__newest"), "left_semi").drop("__date")
+
+
 def rows_of_rejected_files(raw: DataFrame, verdict: DataFrame) -> DataFrame:
     """Raw rows of files that were not accepted."""
     refused = verdict.filter(F.col("status") != SUCCESS).select(FILE)

@@ -10,14 +10,14 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.functions.tolerances import FAIL_FAST_PERCENT, is_valid_tolerance
-from millrace.names import EXECUTION_LOG_SCHEMA, FAILED, FILE, SUCCESS, SYSTEM_COLUMNS
-from millrace.operators.error_rows import bad_values, table_errors, union_errors
+from millrace.functions.tolerances import FAIL_FAST_PERCENT, is_tolerance_text
+from millrace.names import EXECUTION_LOG_SCHEMA, FAILED, FILE, SUCCESS, col, sum_of
+from millrace.operators.error_rows import bad_values, cell_and_column_errors, file_errors, line_errors, union_errors
 from millrace.operators.metrics import execution_log
 from millrace.operators.quality import duplicate_key_errors, mandatory_nulls
 from millrace.operators.shape import missing_columns, presence_errors
 from millrace.operators.typing import TypedTable, type_columns
-from millrace.operators.verdict import accepted_rows, file_counts, file_verdict
+from millrace.operators.verdict import accepted_rows, bad_count_name, file_counts, file_verdict, latest_files
 from millrace.rules import ColumnRule, RuleBook, TableRule
 from millrace.session import materialize
 from millrace.sinks.ingestion import apply_ingestion_mode, quarantine, write_quality_errors
@@ -25,6 +25,16 @@ from millrace.sinks.tables import TableStore
 from millrace.sources.files import RawScan, run_columns, scan_raw, source_files
 
 
+@dataclass(frozen=True)
+class Outcome:
+    """Files accepted and refused, and what the accepted ones hold."""
+
+    passed: int
+    refused: int
+    bad_cells: int
+    null_rows: int
+
+
 @dataclass(frozen=True)
 class JudgedTable:
     """A typed raw table and the written verdict on each of its files."""
@@ -37,15 +47,34 @@ class JudgedTable:
         """Typed and system columns of the accepted rows."""
         return self.typed.values(accepted_rows(self.typed, self.verdict))
 
-    def errors(self, merge_keys: Sequence[str] = ()) -> DataFrame:
-        """All error rows of the table."""
-        values = materialize(bad_values(self.typed), "bad-values")
+    def latest(self) -> DataFrame:
+        """Accepted rows of the files with the most recent date."""
+        return self.typed.values(accepted_rows(self.typed, latest_files(self.verdict)))
+
+    def outcome(self) -> Outcome:
+        """What the verdict says about the work left to do; reads one row per file."""
+        bad = sum_of([col(bad_count_name(r)) for r in self.typed.checked if r.reported])
+        passed = F.col("status") == SUCCESS
+        row = self.verdict.agg(
+            F.count_if(passed).alias("passed"),
+            F.count_if(~passed).alias("refused"),
+            F.sum(F.when(passed, bad + F.col("corrupt_rows"))).alias("bad_cells"),
+            F.sum(F.when(passed, F.col("null_rows"))).alias("null_rows"),
+        ).first()
+        return Outcome(row.passed, row.refused, row.bad_cells or 0, row.null_rows or 0)
+
+    def errors(self, merge_keys: Sequence[str] = (), outcome: Outcome | None = None) -> DataFrame:
+        """All error rows of the table; passes over the rows that cannot find any are left out."""
+        left = outcome or self.outcome()
+        frames = [file_errors(self.verdict, self.rule), line_errors(self.verdict, self.rule)]
         rows = accepted_rows(self.typed, self.verdict)
-        frames = [
-            table_errors(values, self.verdict, self.typed, self.rule),
-            mandatory_nulls(rows, self.typed, self.rule.name),
-        ]
-        if merge_keys:
+        if left.bad_cells:
+            passed = self.verdict.filter(F.col("status") == SUCCESS)
+            values = materialize(bad_values(self.typed, passed), "bad-values")
+            frames.append(cell_and_column_errors(values, self.verdict, self.typed, self.rule))
+        if left.null_rows:
+            frames.append(mandatory_nulls(rows, self.typed, self.rule.name))
+        if merge_keys and left.passed:
             frames.append(duplicate_key_errors(rows, merge_keys, self.rule.name))
         return union_errors(frames)
 
@@ -68,10 +97,10 @@ def _failure_log(files: DataFrame, rule: TableRule, message: str, run_ts, env: s
     return log.withColumn("error_message", F.lit(message))
 
 
-def rule_problems(spark: SparkSession, rule: TableRule, rules: Sequence[ColumnRule]) -> list[str]:
+def rule_problems(rule: TableRule, rules: Sequence[ColumnRule]) -> list[str]:
     """What is wrong with a table's rules; a table with a wrong rule is not loaded."""
     problems = [f"{r.name}: {r.problem()}" for r in rules if r.problem()]
-    if not spark.range(1).select(is_valid_tolerance(F.lit(rule.file_tolerance)).alias("ok")).first().ok:
+    if not is_tolerance_text(rule.file_tolerance):
         problems.append(f"invalid tolerance: {rule.file_tolerance}")
     return problems
 
@@ -87,7 +116,7 @@ def ingest_table(
     spark = raw.sparkSession
     started = time.monotonic()
     ts, _ = run_columns(run_ts)
-    problems = rule_problems(spark, rule, rules)
+    problems = rule_problems(rule, rules)
     required = [r.name for r in rules if not r.nullable]
     missing = missing_columns(raw, required)
     if problems or missing:
@@ -102,13 +131,11 @@ def ingest_table(
     judged = judge(raw, rule, rules)
     merge_keys = [r.name for r in rules if r.merge_key]
     accepted = judged.accepted()
-    if judged.verdict.filter(F.col("status") == SUCCESS).isEmpty():
-        passed = False
-    else:
-        apply_ingestion_mode(store, accepted, rule, merge_keys, run_ts)
-        passed = True
-    errors = write_quality_errors(store, judged.errors(merge_keys if passed else ()), rule.zone, ts)
-    if not judged.verdict.filter(F.col("status") != SUCCESS).isEmpty():
+    outcome = judged.outcome()
+    if outcome.passed:
+        apply_ingestion_mode(store, accepted, judged.latest(), rule, merge_keys, run_ts)
+    errors = write_quality_errors(store, judged.errors(merge_keys, outcome), rule.zone, ts)
+    if outcome.refused:
         quarantine(store, raw, judged.verdict, run_ts)
     seconds = round(time.monotonic() - started, 2)
     log = materialize(

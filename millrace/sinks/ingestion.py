@@ -8,23 +8,17 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.names import FILE, FILE_DATE, FILE_REJECTED_ERROR, PARTITIONS, PROCESSED_AT, SUCCESS, any_of, col
+from millrace.names import FILE, FILE_DATE, FILE_REJECTED_ERROR, PROCESSED_AT, SUCCESS, any_of, col
 from millrace.operators.skew import latest_per_key
-from millrace.operators.verdict import rows_of_rejected_files
+from millrace.operators.verdict import load_date, rows_of_rejected_files
 from millrace.rules import TableRule
 from millrace.session import materialize
 from millrace.sinks.tables import TableStore
 
 
-def load_date(df: DataFrame) -> Column:
-    """Date of a row's file: from its name, else its partition values."""
-    from_parts = F.make_date(*(F.col(c) for c in PARTITIONS))
-    return F.coalesce(F.col(FILE_DATE), from_parts) if FILE_DATE in df.columns else from_parts
-
-
 def latest_load(rows: DataFrame) -> DataFrame:
     """Rows of the most recent file date. The date is a one-row table, so its join is a broadcast."""
-    dated = rows.withColumn("__load", load_date(rows))
+    dated = rows.withColumn("__load", load_date(rows.columns))
     newest = dated.agg(F.max("__load").alias("__newest"))
     return dated.join(F.broadcast(newest), F.col("__load") == F.col("__newest"), "left_semi").drop("__load")
 
@@ -51,9 +45,9 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> D
 
 
 def apply_ingestion_mode(
-    store: TableStore, accepted: DataFrame, rule: TableRule, merge_keys: Sequence[str], at: datetime
+    store: TableStore, accepted: DataFrame, latest: DataFrame, rule: TableRule, merge_keys: Sequence[str], at: datetime
 ) -> None:
-    """Write accepted rows to the table's history and replace its latest load.
+    """Write accepted rows to the table's history and replace its last table with the latest ones.
 
     ``merge`` keeps one row per key in the history table; any other mode appends.
     """
@@ -67,7 +61,7 @@ def apply_ingestion_mode(
         store.replace(rule.all_table_name, merged, at)
     else:
         store.append(rule.all_table_name, accepted)
-    store.replace(rule.last_table_name, latest_load(accepted), at)
+    store.replace(rule.last_table_name, latest, at)
 
 
 def quarantine_rows(raw: DataFrame, verdict: DataFrame, at: datetime) -> DataFrame:
