@@ -10,6 +10,7 @@ from millrace.functions.dates import failure_number
 from millrace.names import CORRUPT, ERROR_NUMBERS, ERROR_SCHEMA, FILE, SUCCESS, any_of, col
 from millrace.operators.skew import first_per_group
 from millrace.operators.typing import CORRUPT_LINE, TypedTable, bad_name, raw_name
+from millrace.operators.verdict import bad_count_name
 from millrace.rules import ColumnRule, TableRule
 
 # Rows kept per file and column, samples taken and samples shown.
@@ -66,16 +67,26 @@ def bad_values(table: TypedTable, files: DataFrame | None = None) -> DataFrame:
     return cells.groupBy(FILE, "column_name", "raw_value").agg(F.count(F.lit(1)).alias("n"))
 
 
-def samples(values: DataFrame, limit: int = SAMPLE_LIMIT) -> DataFrame:
-    """Up to ``limit`` distinct bad texts per file and column, smallest first."""
-    few = first_per_group(values.select(FILE, "column_name", "raw_value"), [FILE, "column_name"], [F.col("raw_value")], limit)
-    return few.groupBy(FILE, "column_name").agg(F.array_sort(F.collect_list("raw_value")).alias("samples"))
+def ranked_values(values: DataFrame, limit: int = DETAIL_LIMIT) -> DataFrame:
+    """The first ``limit`` distinct bad texts per file and column, smallest first.
+
+    Adds ``rank``, ``earlier`` (cells with a smaller text) and ``samples`` (the
+    first few texts). Groups are cut down before they meet in one task.
+    """
+    group = Window.partitionBy(FILE, "column_name").orderBy("raw_value")
+    whole = Window.partitionBy(FILE, "column_name")
+    first = first_per_group(values, [FILE, "column_name"], [F.col("raw_value")], limit)
+    before = group.rowsBetween(Window.unboundedPreceding, -1)
+    ranked = first.withColumns(
+        {"rank": F.row_number().over(group), "earlier": F.coalesce(F.sum("n").over(before), F.lit(0))}
+    )
+    few = F.collect_list(F.when(F.col("rank") <= SAMPLE_LIMIT, F.col("raw_value"))).over(whole)
+    return ranked.withColumn("samples", F.array_sort(few))
 
 
-def bad_columns(values: DataFrame) -> DataFrame:
-    """Invalid count and samples per file and column."""
-    counts = values.groupBy(FILE, "column_name").agg(F.sum("n").alias("bad"))
-    return counts.join(samples(values), [FILE, "column_name"])
+def samples(values: DataFrame) -> DataFrame:
+    """Up to five distinct bad texts per file and column."""
+    return ranked_values(values, SAMPLE_LIMIT).filter(F.col("rank") == 1).select(FILE, "column_name", "samples")
 
 
 def shown(sample_column: str = "samples") -> Column:
@@ -84,70 +95,52 @@ def shown(sample_column: str = "samples") -> Column:
 
 def _by_column(rules: list[ColumnRule], value) -> Column:
     """``value(rule)`` of the rule that a row's column name stands for."""
-    chosen = F.lit(None).cast("string")
+    chosen = None
     for rule in rules:
-        chosen = F.when(F.col("column_name") == rule.name, value(rule)).otherwise(chosen)
-    return chosen
-
-
-def summary_errors(columns: DataFrame, files: DataFrame, table: TypedTable, rule: TableRule) -> DataFrame:
-    """One row per file and column under ICT_DRIVEN or LOG_ONLY."""
-    rules = [r for r in table.checked if r.reported and not r.reported_by_cell]
-    wanted = columns.filter(F.col("column_name").isin([r.name for r in rules]))
-    action = _by_column(rules, lambda r: F.lit(r.action))
-    return wanted.join(files, FILE).select(
-        F.lit(rule.name).alias("table_name"),
-        F.col(FILE).alias("filename"),
-        "column_name",
-        messages.invalid_summary(action, F.col("bad"), F.col("total_rows")).alias("error_message"),
-        shown().alias("raw_value"),
-        F.lit(ERROR_NUMBERS["RLK"]).alias("error_no"),
-        F.col("bad").cast("int").alias("error_count"),
-    )
-
+        is_rule = F.col("column_name") == rule.name
+        chosen = F.when(is_rule, value(rule)) if chosen is None else chosen.when(is_rule, value(rule))
+    return F.lit(None).cast("string") if chosen is None else chosen
 
-def capped_cells(values: DataFrame, limit: int = DETAIL_LIMIT) -> DataFrame:
-    """Bad cells one by one, at most ``limit`` per file and column, smallest text first."""
-    first = first_per_group(values, [FILE, "column_name"], [F.col("raw_value")], limit)
-    earlier = Window.partitionBy(FILE, "column_name").orderBy("raw_value").rowsBetween(Window.unboundedPreceding, -1)
-    room = F.lit(limit) - F.coalesce(F.sum("n").over(earlier), F.lit(0))
-    return (
-        first.withColumn("__times", F.least(F.col("n"), room))
-        .filter(F.col("__times") > 0)
-        .select(FILE, "column_name", "raw_value", F.explode(F.sequence(F.lit(1), F.col("__times").cast("int"))))
-        .drop("col")
-    )
 
-
-def cell_errors(
-    values: DataFrame, columns: DataFrame, files: DataFrame, table: TypedTable, rule: TableRule, limit: int = DETAIL_LIMIT
+def cell_and_column_errors(
+    values: DataFrame, verdict: DataFrame, table: TypedTable, rule: TableRule, limit: int = DETAIL_LIMIT
 ) -> DataFrame:
-    """One row per bad date, per bad cell under REJECT and per unreadable line."""
-    rules = [r for r in table.checked if r.reported_by_cell]
-    dates = [r for r in rules if r.is_date]
-    others = [r for r in rules if not r.is_date]
-    wanted = values.filter(F.col("column_name").isin([r.name for r in rules] + [CORRUPT])).join(files.select(FILE), FILE)
-    cells = capped_cells(wanted, limit).join(columns, [FILE, "column_name"]).join(files, FILE)
-    date_text = messages.date_failure(_by_column(dates, lambda r: F.lit(r.date_pattern)), F.col("raw_value"))
-    cell_text = messages.rejected_cell(
-        F.col("column_name"), _by_column(others, lambda r: F.lit(r.declared)), F.col("bad"), F.col("total_rows"), shown()
-    )
-    is_line = F.col("column_name") == CORRUPT
-    is_date = F.col("column_name").isin([r.name for r in dates])
-    number = (
-        F.when(is_line, ERROR_NUMBERS["RLI"])
-        .when(is_date, _by_column(dates, lambda r: failure_number(F.col("raw_value"), r.date_pattern)))
-        .otherwise(ERROR_NUMBERS["RLK"])
+    """Error rows of bad cells in accepted files: one by one or summed up, as the rules say.
+
+    A bad date, a bad cell under REJECT and an unreadable line each give a row,
+    up to ``limit`` per file and column. ICT_DRIVEN and LOG_ONLY give one row per
+    file and column. ``values`` comes from :func:`bad_values`; the counts shown
+    are those of the verdict.
+    """
+    rules = [r for r in table.checked if r.reported]
+    single = [r for r in rules if r.reported_by_cell]
+    dates = [r for r in single if r.is_date]
+    files = verdict.filter(F.col("status") == SUCCESS).select(
+        FILE, "total_rows", *(col(bad_count_name(r)) for r in rules)
     )
-    return cells.select(
+    name, raw_value, total = F.col("column_name"), F.col("raw_value"), F.col("total_rows")
+    bad = _by_column(rules, lambda r: col(bad_count_name(r)))
+    is_line, is_date = name == CORRUPT, name.isin([r.name for r in dates])
+    is_single = name.isin([CORRUPT, *(r.name for r in single)])
+    room = F.least(F.col("n"), F.lit(limit) - F.col("earlier"))
+    times = F.when(is_single, room).otherwise((F.col("rank") == 1).cast("int")).cast("int")
+
+    rejected = messages.rejected_cell(name, _by_column(single, lambda r: F.lit(r.declared)), bad, total, shown())
+    summary = messages.invalid_summary(_by_column(rules, lambda r: F.lit(r.action)), bad, total)
+    date_text = messages.date_failure(_by_column(dates, lambda r: F.lit(r.date_pattern)), raw_value)
+    date_number = _by_column(dates, lambda r: failure_number(raw_value, r.date_pattern))
+    rows = ranked_values(values, limit).join(files, FILE).withColumn("__times", times).filter(F.col("__times") > 0)
+    return rows.select(
         F.lit(rule.name).alias("table_name"),
         F.col(FILE).alias("filename"),
         "column_name",
-        F.when(is_line, "RFC 4180 non-compliance").when(is_date, date_text).otherwise(cell_text).alias("error_message"),
-        "raw_value",
-        number.alias("error_no"),
-        F.lit(1).alias("error_count"),
-    )
+        F.when(is_line, "RFC 4180 non-compliance").when(is_date, date_text).when(is_single, rejected)
+        .otherwise(summary).alias("error_message"),
+        F.when(is_single, raw_value).otherwise(shown()).alias("raw_value"),
+        F.when(is_line, ERROR_NUMBERS["RLI"]).when(is_date, date_number).otherwise(ERROR_NUMBERS["RLK"]).alias("error_no"),
+        F.when(is_single, 1).otherwise(bad).cast("int").alias("error_count"),
+        F.explode(F.sequence(F.lit(1), F.col("__times"))).alias("__copy"),
+    ).drop("__copy")
 
 
 def file_errors(verdict: DataFrame, rule: TableRule) -> DataFrame:
@@ -176,21 +169,6 @@ def line_errors(verdict: DataFrame, rule: TableRule) -> DataFrame:
     )
 
 
-def cell_and_column_errors(
-    values: DataFrame, verdict: DataFrame, table: TypedTable, rule: TableRule, limit: int = DETAIL_LIMIT
-) -> DataFrame:
-    """Error rows of bad cells in accepted files: one by one or summed up, as the rules say.
-
-    ``values`` (see :func:`bad_values`) and ``verdict`` are read several times
-    and should be written tables.
-    """
-    files = verdict.filter(F.col("status") == SUCCESS).select(FILE, "total_rows")
-    columns = bad_columns(values)
-    return union_errors(
-        [summary_errors(columns, files, table, rule), cell_errors(values, columns, files, table, rule, limit)]
-    )
-
-
 def table_errors(
     values: DataFrame, verdict: DataFrame, table: TypedTable, rule: TableRule, limit: int = DETAIL_LIMIT
 ) -> DataFrame:

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.dates import filled, parse_strict
+from millrace.functions.dates import parse_strict
 from millrace.names import BATCH_FILE, CORRUPT, FILE, any_of, col, sum_of
 from millrace.operators.shape import complete_schema, ordered, transformed
 from millrace.rules import ColumnRule
@@ -60,7 +60,7 @@ def parsed(text: Column, rule: ColumnRule) -> Column:
 
 def is_invalid(value: Column, text: Column) -> Column:
     """A filled text that gave no value. Never NULL."""
-    return value.isNull() & filled(text).isNotNull()
+    return value.isNull() & text.isNotNull() & (F.trim(text) != "")
 
 
 def with_file_name(df: DataFrame) -> DataFrame:
