@@ -36,8 +36,11 @@ def date_text(name: Column) -> Column:
 
 
 def extraction_date(name: Column) -> Column:
-    """Date in the file name; NULL when there is none or it is impossible."""
-    return F.try_to_date(F.nullif(date_text(name), F.lit("")), "yyyyMMdd")
+    """Date in the file name; NULL when there is none or it is impossible.
+
+    The first candidate decides alone: it is found wherever another one is.
+    """
+    return F.try_to_date(F.nullif(date_candidates(name)[0], F.lit("")), "yyyyMMdd")
 
 
 def partition_date(name: Column, run_date: Column) -> Column:

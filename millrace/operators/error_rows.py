@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from millrace.functions import messages
 from millrace.functions.dates import failure_number
-from millrace.names import CORRUPT, ERROR_NUMBERS, ERROR_SCHEMA, FILE, SUCCESS, any_of, col
+from millrace.names import CORRUPT, ERROR_NUMBERS, ERROR_SCHEMA, FILE, SUCCESS, col
 from millrace.operators.skew import first_per_group
-from millrace.operators.typing import CORRUPT_LINE, TypedTable, bad_name, raw_name
+from millrace.operators.typing import TypedTable, bad_name, raw_name
 from millrace.operators.verdict import bad_count_name
 from millrace.rules import ColumnRule, TableRule
 
@@ -45,12 +45,15 @@ def union_errors(frames: list[DataFrame]) -> DataFrame:
 
 
 def melt_bad_cells(table: TypedTable, rules: list[ColumnRule]) -> DataFrame:
-    """One row per bad cell or unreadable line: file, column and raw text."""
+    """One row per bad cell or unreadable line: file, column and raw text.
+
+    Filtering rows before melting them would make Spark parse every cell twice,
+    once for the filter and once for the result.
+    """
     cells = [F.lit(CORRUPT), col(CORRUPT)]
     for rule in rules:
         cells += [F.lit(rule.name), F.when(col(bad_name(rule)), col(raw_name(rule)))]
-    rows = table.frame.filter(any_of([col(CORRUPT_LINE), *(col(bad_name(rule)) for rule in rules)]))
-    return rows.select(FILE, F.stack(F.lit(len(cells) // 2), *cells).alias("column_name", "raw_value")).filter(
+    return table.frame.select(FILE, F.stack(F.lit(len(cells) // 2), *cells).alias("column_name", "raw_value")).filter(
         F.col("raw_value").isNotNull()
     )
 

@@ -24,11 +24,7 @@ def mandatory_nulls(rows: DataFrame, table: TypedTable, name: str) -> DataFrame:
     required = [rule for rule in table.rules if not rule.nullable]
     nulls = [mandatory_null(rule) for rule in required]
     pairs = [part for rule, null in zip(required, nulls) for part in (F.lit(rule.name), null)] or [F.lit(""), F.lit(False)]
-    melted = (
-        rows.filter(any_of(nulls))
-        .select(FILE, F.stack(F.lit(len(pairs) // 2), *pairs).alias("column_name", "__null"))
-        .filter("__null")
-    )
+    melted = rows.select(FILE, F.stack(F.lit(len(pairs) // 2), *pairs).alias("column_name", "__null")).filter("__null")
     return melted.select(
         F.lit(name).alias("table_name"),
         F.col(FILE).alias("filename"),

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.dates import parse_strict
-from millrace.names import BATCH_FILE, CORRUPT, FILE, any_of, col, sum_of
+from millrace.names import BATCH_FILE, CORRUPT, FILE, col, sum_of
 from millrace.operators.shape import complete_schema, ordered, transformed
 from millrace.rules import ColumnRule
 
@@ -26,6 +26,9 @@ DROPPED = "__dropped"
 CORRUPT_LINE = "__corrupt"
 FLAGS = "__flags"
 
+# More flags than any line limit allows.
+GONE = 1 << 30
+
 
 @dataclass(frozen=True)
 class TypedTable:
@@ -34,7 +37,7 @@ class TypedTable:
     ``frame`` holds the kept columns, one typed column per rule, ``__raw_<c>``
     and ``__bad_<c>`` for each column that can fail, ``__dropped`` for rows a
     bad date removes, ``__corrupt`` for unreadable lines and ``__flags``, the
-    number of flagged cells in the row.
+    number of flagged cells in the row, or ``GONE`` for rows that do not remain.
     """
 
     frame: DataFrame
@@ -60,7 +63,7 @@ def parsed(text: Column, rule: ColumnRule) -> Column:
 
 def is_invalid(value: Column, text: Column) -> Column:
     """A filled text that gave no value. Never NULL."""
-    return value.isNull() & text.isNotNull() & (F.trim(text) != "")
+    return value.isNull() & F.coalesce(F.trim(text) != "", F.lit(False))
 
 
 def with_file_name(df: DataFrame) -> DataFrame:
@@ -106,7 +109,7 @@ def type_columns(
             gone = gone | invalid
     frame = frame.select("*", *flags, (gone & ~corrupt).alias(DROPPED), corrupt.alias(CORRUPT_LINE))
     flagged = [col(bad_name(rule)).cast("int") for rule in rules if rule.flags_lines]
-    frame = frame.withColumn(FLAGS, sum_of(flagged))
+    frame = frame.withColumn(FLAGS, F.when(F.col(DROPPED) | F.col(CORRUPT_LINE), GONE).otherwise(sum_of(flagged)))
 
     if fill_defaults:
         filled_in = {
@@ -116,7 +119,3 @@ def type_columns(
         }
         frame = frame.withColumns(filled_in) if filled_in else frame
     return TypedTable(frame, rules, kept)
-
-
-def has_bad_cell(table: TypedTable) -> Column:
-    return any_of([col(bad_name(rule)) for rule in table.checked])

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from millrace.functions.messages import error_number, tolerance_exceeded
 from millrace.functions.tolerances import tolerance_ratio
 from millrace.names import FAILED, FILE, FILE_DATE, PARTITIONS, REJECTED, SUCCESS, any_of, col, sum_of
-from millrace.operators.typing import CORRUPT_LINE, DROPPED, FLAGS, TypedTable, bad_name
+from millrace.operators.typing import CORRUPT_LINE, DROPPED, FLAGS, GONE, TypedTable, bad_name
 from millrace.rules import ColumnRule, TableRule
 
 
@@ -46,7 +46,7 @@ def file_counts(table: TypedTable, rule: TableRule) -> DataFrame:
     """
     bad = [F.count_if(col(bad_name(r))).alias(bad_count_name(r)) for r in table.checked]
     no_value = any_of([mandatory_null(r) for r in table.rules if not r.nullable])
-    remaining = ~col(CORRUPT_LINE) & ~col(DROPPED)
+    remaining = col(FLAGS) < GONE
     over = [F.count_if(remaining & (col(FLAGS) > n)) for n in line_limits(table, rule)]
     return table.frame.groupBy(FILE).agg(
         F.count(F.lit(1)).alias("total_rows"),
@@ -121,11 +121,12 @@ def accepted_rows(table: TypedTable, verdict: DataFrame) -> DataFrame:
 
     ``verdict`` is a written table of one row per file, so Spark sees its size:
     it is broadcast while small, else joined by a sort-merge join whose skewed
-    files adaptive execution splits.
+    files adaptive execution splits. Removed and unreadable rows fail the line
+    limit too: one condition on the join, which Spark does not move below the
+    projection, where every cell would be parsed a second time.
     """
     passed = verdict.filter(F.col("status") == SUCCESS).select(FILE, "line_limit")
-    rows = table.frame.filter(~col(CORRUPT_LINE) & ~col(DROPPED))
-    return rows.join(passed, FILE).filter(col(FLAGS) <= F.col("line_limit")).drop("line_limit")
+    return table.frame.join(passed, FILE).filter(col(FLAGS) <= F.col("line_limit")).drop("line_limit")
 
 
 def latest_files(verdict: DataFrame) -> DataFrame:

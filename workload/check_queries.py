@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from millrace.names import FILE, SUCCESS
 from millrace.operators import error_rows as err
 from millrace.operators import quality
-from millrace.operators.typing import FLAGS, type_columns
+from millrace.operators.typing import FLAGS, GONE, type_columns
 from millrace.operators.verdict import accepted_rows, file_counts, file_verdict
 from millrace.plans.ingest import JudgedTable, judge
 from millrace.rules import ColumnRule, TableRule
@@ -185,7 +185,7 @@ def flagged_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows by number of flagged cells in files below the tolerance."""
     judged = inp.judged_orders(spark, sf_dir)
     passed = judged.verdict.filter(F.col("status") == SUCCESS).select(FILE)
-    rows = judged.typed.frame.filter(~F.col("__dropped")).join(passed, FILE, "left_semi")
+    rows = judged.typed.frame.filter(F.col(FLAGS) < GONE).join(passed, FILE, "left_semi")
     return rows.groupBy(FILE, F.col(FLAGS).alias("flags")).agg(F.count(F.lit(1)).alias("row_count"))
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from millrace.names import FILE
 from millrace.plans.ingest import JudgedTable, judge
 from millrace.rules import ColumnRule, TableRule
-from millrace.session import configure
+from millrace.session import configure, materialize
 from millrace.sources.files import with_file_metadata
 
 RUN_TS = datetime(2025, 1, 15, 10, 30, 0)
@@ -91,7 +91,12 @@ def order_rules(**changes: dict) -> tuple[ColumnRule, ...]:
 
 
 def judged_orders(spark: SparkSession, sf_dir: str, rules=ORDER_RULES, rule: TableRule = ORDER_TABLE) -> JudgedTable:
-    return judge(with_metadata(raw_orders(spark, sf_dir)), rule, rules)
+    return judge(raw_orders(spark, sf_dir), rule, rules)
+
+
+def landed_orders(spark: SparkSession, sf_dir: str, copies: bool = False) -> DataFrame:
+    """The raw orders as a written raw table with metadata, as a run finds it."""
+    return materialize(with_metadata(raw_orders(spark, sf_dir, copies)), "orders-raw")
 
 
 # The same rows in SQL.

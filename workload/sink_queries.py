@@ -57,7 +57,7 @@ def append_with_new_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 def full_snapshot_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A whole run: history holds all accepted rows, the last table those of the latest file date."""
     store = store_for(spark)
-    raw = inp.with_metadata(inp.raw_orders(spark, sf_dir))
+    raw = inp.landed_orders(spark, sf_dir)
     ingest_table(raw, inp.ORDER_TABLE, inp.ORDER_RULES, store, inp.RUN_TS)
     counts = lambda name: store.read(name).groupBy(F.lit(name).alias("table_name"), FILE, "yyyy").agg(
         F.count(F.lit(1)).alias("row_count"), F.sum("o_orderkey").alias("key_sum")
@@ -74,9 +74,9 @@ def full_snapshot_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def merge_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same files delivered twice, with repeated rows: each key stays once, from the second run."""
     store, rule = store_for(spark), TableRule("orders", mode="merge")
+    landed = inp.landed_orders(spark, sf_dir, copies=True)
     for day in (0, 1):
-        raw = inp.with_metadata(inp.raw_orders(spark, sf_dir, copies=True))
-        raw = raw.withColumn("FILE_PROCESS_DATE", F.lit(inp.RUN_TS + timedelta(days=day)).cast("timestamp"))
+        raw = landed.withColumn("FILE_PROCESS_DATE", F.lit(inp.RUN_TS + timedelta(days=day)).cast("timestamp"))
         ingest_table(raw, rule, inp.ORDER_RULES, store, inp.RUN_TS + timedelta(days=day))
     return store.read("orders_all").groupBy(FILE, F.date_format("FILE_PROCESS_DATE", "yyyyMMdd").alias("loaded_on")).agg(
         F.count(F.lit(1)).alias("row_count"), F.sum("o_orderkey").alias("key_sum")
@@ -190,7 +190,7 @@ def written_execution_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = store_for(spark)
     clients = materialize(rfc_raw(spark, sf_dir), "raw")
     scans = {
-        "orders": RawScan("READY", inp.with_metadata(inp.raw_orders(spark, sf_dir))),
+        "orders": RawScan("READY", inp.landed_orders(spark, sf_dir)),
         "refunds": RawScan("ABSENT"),
         "clients": RawScan("READY", clients),
     }
