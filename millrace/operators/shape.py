@@ -7,6 +7,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.functions.casts import cast_text
 from millrace.names import FILE, MISSING_COLUMN_ERROR, SYSTEM_COLUMNS, col
 from millrace.rules import ColumnRule
 
@@ -60,9 +61,15 @@ def rename_columns(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
     return df.withColumnsRenamed(mapping)
 
 
+def _cast(name: str, present: str, wanted: str) -> Column:
+    value = cast_text(col(name), wanted) if present == "string" else col(name).try_cast(wanted)
+    return value.alias(name)
+
+
 def cast_columns(df: DataFrame, types: dict[str, str]) -> DataFrame:
     """Cast the named columns; values that do not fit become NULL."""
-    return df.select(*(col(c).try_cast(types[c]).alias(c) if c in types else col(c) for c in df.columns))
+    present = dict(df.dtypes)
+    return df.select(*(_cast(c, present[c], types[c]) if c in types else col(c) for c in df.columns))
 
 
 def ordered(rules: Iterable[ColumnRule]) -> list[ColumnRule]:
@@ -90,7 +97,7 @@ def rebuild_typed(df: DataFrame, rules: Iterable[ColumnRule]) -> DataFrame:
         elif present[rule.name] == rule.type:
             columns.append(col(rule.name))
         else:
-            columns.append(col(rule.name).try_cast(rule.type).alias(rule.name))
+            columns.append(_cast(rule.name, present[rule.name], rule.type))
     return df.select(*columns, *(col(c) for c in SYSTEM_COLUMNS if c in present))
 
 

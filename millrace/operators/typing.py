@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.functions.casts import cast_text
 from millrace.functions.dates import parse_strict
 from millrace.names import BATCH_FILE, CORRUPT, FILE, col, sum_of
 from millrace.operators.shape import complete_schema, ordered, transformed
@@ -58,7 +59,7 @@ def parsed(text: Column, rule: ColumnRule) -> Column:
     """Typed value of a cell's text; NULL when it does not fit."""
     if rule.is_date:
         return parse_strict(text, rule.date_pattern)
-    return text.try_cast(rule.type)
+    return cast_text(text, rule.type)
 
 
 def is_invalid(value: Column, text: Column) -> Column:

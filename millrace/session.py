@@ -13,6 +13,9 @@ SESSION_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # The JVM does not compile larger methods; tables of many columns reach this
+    # size, and separate operators are then faster than one interpreted method.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

@@ -50,11 +50,15 @@ def read_csv(
     spark: SparkSession, path: str | list[str], columns: Sequence[str], *, header: bool = True, delimiter: str = ","
 ) -> DataFrame:
     """All-text rows; a line with the wrong number of fields keeps its text in the corrupt column."""
-    return (
+    raw = (
         spark.read.schema(text_schema(columns))
         .options(**CSV_OPTIONS, header=header, sep=delimiter, enforceSchema=True)
         .csv(path)
     )
+    # Spark refuses a query that needs nothing but the corrupt column. Tying it to a
+    # data column, by a comparison that never holds, keeps such queries possible.
+    other = F.concat(F.lit("\0"), F.col(f"`{columns[0]}`"))
+    return raw.withColumn(CORRUPT, F.when(F.coalesce(F.col(CORRUPT) != other, F.lit(True)), F.col(CORRUPT)))
 
 
 def read_json(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
@@ -122,22 +126,3 @@ def table_of_file(name: Column) -> Column:
 def hadoop_path(spark: SparkSession, path: str):
     handle = spark._jvm.org.apache.hadoop.fs.Path(path)
     return handle.getFileSystem(spark._jsc.hadoopConfiguration()), handle
-
-
-def write_named_files(df: DataFrame, name: str, directory: str, fmt: str = "csv", **options) -> list[str]:
-    """One file per value of the column ``name``, called by that value.
-
-    Spark writes one part per name; the driver only renames the parts.
-    """
-    spark = df.sparkSession
-    staged = f"{directory}/_staged"
-    df.repartition(F.col(name)).write.partitionBy(name).format(fmt).options(**options).save(staged)
-    fs, _ = hadoop_path(spark, directory)
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    written = []
-    for part in fs.globStatus(path(f"{staged}/{name}=*/part-*")):
-        value = part.getPath().getParent().getName().split("=", 1)[1]
-        target = f"{directory}/{value}.{fmt}"
-        fs.rename(part.getPath(), path(target))
-        written.append(target)
-    return written

@@ -108,7 +108,7 @@ def incremental_csv_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     waves = [staged.filter(F.col(FILE).endswith("000000")), staged.filter(~F.col(FILE).endswith("000000"))]
     for number, wave in enumerate([*waves, None]):
         if wave is not None:
-            src.write_named_files(wave, FILE, f"{folder}/{number}", "csv", header=True, quoteAll=True)
+            inp.write_named_files(wave, FILE, f"{folder}/{number}", "csv", header=True, quoteAll=True)
         stream = file_stream(
             spark, f"{folder}/*", "csv", inp.ORDER_COLUMNS, run_ts=inp.RUN_TS + timedelta(days=number)
         )
@@ -168,7 +168,7 @@ def direct_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     supplier = inp.table(spark, sf_dir, "supplier").select(
         F.lit("supplier_20250101_000000").alias("file"), F.col("s_suppkey").cast("string").alias("key"), F.col("s_name").alias("name")
     )
-    src.write_named_files(customer.unionByName(supplier), "file", folder, "csv", header=True)
+    inp.write_named_files(customer.unionByName(supplier), "file", folder, "csv", header=True)
     raw = src.read_csv(spark, f"{folder}/*.csv", ["key", "name"])
     named = src.with_file_metadata(raw, F.col("_metadata.file_path"), inp.RUN_TS)
     named.withColumn("table_name", src.table_of_file(F.col(FILE))).write.partitionBy("table_name").parquet(target)
@@ -193,7 +193,7 @@ def flat_file_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("doc_"), F.col("source"), ending).alias("name"), F.col("text")
     )
     staged = fresh_dir(spark, "staged")
-    src.write_named_files(docs, "name", staged, "text")
+    inp.write_named_files(docs, "name", staged, "text")
     fs, _ = src.hadoop_path(spark, staged)
     path = spark._jvm.org.apache.hadoop.fs.Path
     fs.mkdirs(path(folder))
@@ -225,7 +225,7 @@ def rfc_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def rfc_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     staged = fresh_dir(spark, "rfc")
-    src.write_named_files(rfc_lines(spark, sf_dir), "file", staged, "text")
+    inp.write_named_files(rfc_lines(spark, sf_dir), "file", staged, "text")
     raw = src.read_csv(spark, f"{staged}/*.text", ["custkey", "label"], header=False)
     return src.with_file_metadata(raw, F.col("_metadata.file_path"), inp.RUN_TS, ("text",))
 
@@ -386,7 +386,7 @@ def stream_file_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """New files judged batch by batch as they arrive: a file is whole within its batch."""
     folder, target, state = (fresh_dir(spark, n) for n in ("landing", "verdicts", "checkpoint"))
     staged = inp.raw_orders(spark, sf_dir)
-    src.write_named_files(staged, FILE, folder, "csv", header=True, quoteAll=True, emptyValue="", nullValue="")
+    inp.write_named_files(staged, FILE, folder, "csv", header=True, quoteAll=True, emptyValue="", nullValue="")
     stream = file_stream(spark, folder, "csv", inp.ORDER_COLUMNS, run_ts=inp.RUN_TS, files_per_batch=8)
 
     def handle(batch: DataFrame, number: int) -> None:

@@ -19,7 +19,7 @@ from millrace.names import FILE
 from millrace.plans.ingest import JudgedTable, judge
 from millrace.rules import ColumnRule, TableRule
 from millrace.session import configure, materialize
-from millrace.sources.files import with_file_metadata
+from millrace.sources.files import hadoop_path, with_file_metadata
 
 RUN_TS = datetime(2025, 1, 15, 10, 30, 0)
 ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
@@ -155,6 +155,26 @@ def event_day_file() -> Column:
     return F.concat(F.lit("events_"), F.date_format("ts", "yyyyMMdd"), F.lit("_"), F.date_format("ts", "HHmmss"))
 
 
+def write_named_files(df: DataFrame, name: str, directory: str, fmt: str = "csv", **options) -> list[str]:
+    """One landing file per value of the column ``name``, called by that value.
+
+    Spark writes one part per name, as one file has one writer; the driver only
+    renames the parts.
+    """
+    spark = df.sparkSession
+    staged = f"{directory}/_staged"
+    df.repartition(F.col(name)).write.partitionBy(name).format(fmt).options(**options).save(staged)
+    fs, _ = hadoop_path(spark, directory)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    written = []
+    for part in fs.globStatus(path(f"{staged}/{name}=*/part-*")):
+        value = part.getPath().getParent().getName().split("=", 1)[1]
+        target = f"{directory}/{value}.{fmt}"
+        fs.rename(part.getPath(), path(target))
+        written.append(target)
+    return written
+
+
 def write_archives(lines: DataFrame, directory: str) -> int:
     """ZIP files from rows (archive, member, line); returns their number.
 
