@@ -38,9 +38,11 @@ def normalized(df: DataFrame, table: str | None = None, file: Column | None = No
 
 def union_errors(frames: list[DataFrame]) -> DataFrame:
     """All error rows of the frames, duplicates kept."""
-    result = normalized(frames[0])
-    for frame in frames[1:]:
-        result = result.unionByName(normalized(frame))
+    wanted = {f.name: f.dataType for f in ERROR_SCHEMA}
+    same = [f if {c.name: c.dataType for c in f.schema} == wanted else normalized(f) for f in frames]
+    result = same[0]
+    for frame in same[1:]:
+        result = result.unionByName(frame)
     return result
 
 

@@ -7,11 +7,11 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.tolerances import FAIL_FAST_PERCENT, is_tolerance_text
-from millrace.names import EXECUTION_LOG_SCHEMA, FAILED, FILE, SUCCESS, col, sum_of
+from millrace.names import EXECUTION_LOG_SCHEMA, FAILED, FILE, MISSING_COLUMN_ERROR, SUCCESS, col, sum_of
 from millrace.operators.error_rows import bad_values, cell_and_column_errors, file_errors, line_errors, union_errors
 from millrace.operators.metrics import execution_log
 from millrace.operators.quality import duplicate_key_errors, mandatory_nulls
@@ -86,10 +86,12 @@ def judge(raw: DataFrame, rule: TableRule, rules: Sequence[ColumnRule], *, fill_
     return JudgedTable(rule, typed, verdict)
 
 
-def _failure_log(files: DataFrame, rule: TableRule, message: str, run_ts, env: str) -> DataFrame:
+def _failure_log(
+    files: DataFrame, rule: TableRule, message: str, run_ts: Column, env: str, error_no: str | None = None
+) -> DataFrame:
     """FAILED log rows; ``files`` has the file name and its rows."""
     failed = files.select(
-        FILE, "total_rows", F.lit(FAILED).alias("status"), F.lit(None).cast("string").alias("error_no"),
+        FILE, "total_rows", F.lit(FAILED).alias("status"), F.lit(error_no).cast("string").alias("error_no"),
         F.lit(None).cast("string").alias("message"),
     )
     no_errors = files.sparkSession.createDataFrame([], "filename string, error_count int")
@@ -124,7 +126,8 @@ def ingest_table(
         if missing:
             write_quality_errors(store, presence_errors(files, missing, rule.name), rule.zone, ts)
         message = "; ".join(problems) if problems else "Missing columns"
-        log = materialize(_failure_log(files, rule, message, ts, env), "log")
+        number = None if problems else MISSING_COLUMN_ERROR
+        log = materialize(_failure_log(files, rule, message, ts, env, number), "log")
         store.append("execution_log", log)
         return log
 

@@ -36,12 +36,24 @@ def _one_per_key(rows: DataFrame, keys: Sequence[str], order: list[Column]) -> D
     return latest_per_key(rows.filter(~keyless), list(keys), order).unionByName(rows.filter(keyless))
 
 
+def _replace_keys(target: DataFrame, newest: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Target rows whose key is not among the newest, and the newest.
+
+    A small batch is broadcast, so a large target is not shuffled. Rows without
+    a complete key cannot match and skip the join.
+    """
+    keyless = any_of([col(k).isNull() for k in keys])
+    changed = newest.filter(~keyless).select(*(col(k) for k in keys))
+    kept = target.filter(~keyless).join(changed, list(keys), "left_anti")
+    return kept.unionByName(target.filter(keyless)).unionByName(newest, allowMissingColumns=True)
+
+
 def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Target with the source's rows inserted or, by key, updated. One row per key."""
-    both = target.withColumn("__source", F.lit(0)).unionByName(
-        source.withColumn("__source", F.lit(1)), allowMissingColumns=True
-    )
-    return _one_per_key(both, keys, [F.col("__source").desc(), *_recency(source)]).drop("__source")
+    """Target with the source's rows inserted or, by key, updated.
+
+    ``target`` has one row per key, as this function and a first load leave it.
+    """
+    return _replace_keys(target, _one_per_key(source, keys, _recency(source)), keys)
 
 
 def apply_ingestion_mode(
@@ -54,11 +66,11 @@ def apply_ingestion_mode(
     if rule.mode.lower() == "merge":
         if not merge_keys:
             raise ValueError(f"table {rule.name} is merged but has no merge key")
+        batch = _one_per_key(accepted, merge_keys, _recency(accepted))
         if store.exists(rule.all_table_name):
-            merged = merge_upsert(store.read(rule.all_table_name), accepted, merge_keys)
-        else:
-            merged = _one_per_key(accepted, merge_keys, _recency(accepted))
-        store.replace(rule.all_table_name, merged, at)
+            # Written first: it is read twice, and its measured size decides about the broadcast.
+            batch = _replace_keys(store.read(rule.all_table_name), materialize(batch, "batch"), merge_keys)
+        store.replace(rule.all_table_name, batch, at)
     else:
         store.append(rule.all_table_name, accepted)
     store.replace(rule.last_table_name, latest, at)

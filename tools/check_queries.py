@@ -60,6 +60,10 @@ def main() -> int:
             result = q.run(spark, folder)
             ours = result.collect()
             seconds = time.monotonic() - started
+            plan = result._jdf.queryExecution().executedPlan().toString()
+            for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython"):
+                if word in plan:
+                    print(f"  plan of {name} has {word}")
             if q.sql is None:
                 print(f"ROWS {name} {len(ours)} rows {seconds:.2f}s", flush=True)
                 continue
