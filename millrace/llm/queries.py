@@ -7,9 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm import queries_sql as sql
+from millrace.llm.ctph import fingerprint_edits
 from millrace.llm.decontamination import decontaminate
 from millrace.llm.mixing import mix, turn_weights
+from millrace.llm.simhash import simhash_components
 from millrace.llm.urls import judge_urls
+from millrace.llm.warc import archive_and_read
 
 #: Rules of the URL query: host, path, verdict.
 URL_RULES = """
@@ -28,11 +31,23 @@ def op2_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mix(docs, turn_weights(docs), MAX_EPOCHS).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_warc_records(spark: SparkSession, folder: str) -> DataFrame:
+    return archive_and_read(table(spark, folder, "pages"))
+
+
 def op5_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     rules = spark.sql(f"SELECT * FROM {URL_RULES}")
     return judge_urls(table(spark, folder, "pages").select("page_id", "url"), rules).drop("url")
 
 
+def op6_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprint_edits(table(spark, folder, "documents"), carry=["doc_id"])
+
+
+def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash_components(table(spark, folder, "documents"), carry=["doc_id"])
+
+
 def op9_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     found = decontaminate(table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "benchmark"))
     return found.drop("text")
@@ -40,6 +55,9 @@ def op9_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op2_mix_sources": (op2_mix_sources, sql.MIX),
+    "op3_warc_records": (op3_warc_records, sql.WARC),
     "op5_url_filter": (op5_url_filter, sql.URLS),
+    "op6_fingerprints": (op6_fingerprints, None),
+    "op7_simhash": (op7_simhash, None),
     "op9_decontaminate": (op9_decontaminate, sql.DECONTAMINATION),
 }

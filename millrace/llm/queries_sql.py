@@ -36,6 +36,17 @@ FROM sized s JOIN wholes p ON s.source IS NOT DISTINCT FROM p.source
 JOIN draws d ON s.source IS NOT DISTINCT FROM d.source AND s.draw = d.draw
 """
 
+WARC = r"""
+WITH payloads AS (
+    SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages
+), firsts AS (
+    SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest) END AS first FROM payloads
+)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first <> page_id THEN first END AS refers_to, TRUE AS intact
+FROM firsts
+"""
+
 URLS = rf"""
 WITH parsed AS (
     SELECT page_id, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), {UPPER}) AS host,
