@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from millrace.llm import queries_sql as sql
 from millrace.llm.ctph import fingerprint_edits
 from millrace.llm.decontamination import decontaminate
+from millrace.llm.langid import identify, train as train_languages
 from millrace.llm.mixing import mix, turn_weights
 from millrace.llm.simhash import simhash_components
 from millrace.llm.urls import judge_urls
@@ -26,6 +28,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def held_out(folds: int, fold: int) -> Column:
+    return F.crc32(F.col("doc_id").cast("string")) % folds == fold
+
+
 def op2_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return mix(docs, turn_weights(docs), MAX_EPOCHS).select("doc_id", "size", "source_size", "target", "taken")
@@ -48,6 +54,12 @@ def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash_components(table(spark, folder, "documents"), carry=["doc_id"])
 
 
+def op8_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang").withColumn("held_out", held_out(3, 1))
+    model = train_languages(docs.where(~F.col("held_out")))
+    return identify(docs, model).select("doc_id", "held_out", "lang_pred", "score", "rejected")
+
+
 def op9_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     found = decontaminate(table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "benchmark"))
     return found.drop("text")
@@ -59,5 +71,6 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op5_url_filter": (op5_url_filter, sql.URLS),
     "op6_fingerprints": (op6_fingerprints, None),
     "op7_simhash": (op7_simhash, None),
+    "op8_language": (op8_language, None),
     "op9_decontaminate": (op9_decontaminate, sql.DECONTAMINATION),
 }
