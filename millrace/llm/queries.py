@@ -13,6 +13,7 @@ from millrace.llm.decontamination import decontaminate
 from millrace.llm.langid import identify, train as train_languages
 from millrace.llm.mixing import mix, turn_weights
 from millrace.llm.simhash import simhash_components
+from millrace.llm.toxicity import score_toxicity, train as train_toxicity
 from millrace.llm.urls import judge_urls
 from millrace.llm.warc import archive_and_read
 
@@ -41,6 +42,13 @@ def op3_warc_records(spark: SparkSession, folder: str) -> DataFrame:
     return archive_and_read(table(spark, folder, "pages"))
 
 
+def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text").withColumn("held_out", held_out(4, 2))
+    labels = table(spark, folder, "labels").select("doc_id", "toxic")
+    model = train_toxicity(docs.where(~F.col("held_out")).join(labels, "doc_id"))
+    return score_toxicity(docs, model).drop("text")
+
+
 def op5_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     rules = spark.sql(f"SELECT * FROM {URL_RULES}")
     return judge_urls(table(spark, folder, "pages").select("page_id", "url"), rules).drop("url")
@@ -68,6 +76,7 @@ def op9_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op2_mix_sources": (op2_mix_sources, sql.MIX),
     "op3_warc_records": (op3_warc_records, sql.WARC),
+    "op4_toxicity": (op4_toxicity, None),
     "op5_url_filter": (op5_url_filter, sql.URLS),
     "op6_fingerprints": (op6_fingerprints, None),
     "op7_simhash": (op7_simhash, None),
