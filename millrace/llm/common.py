@@ -104,8 +104,9 @@ def link_groups(members: DataFrame, verify: Callable[[DataFrame], DataFrame]) ->
     """
     if "home" not in members.columns:
         members = members.withColumn("home", F.lit(True))
-    members = materialize(members.distinct(), "members")
-    first = members.groupBy("bucket").agg(F.min("node").alias("a"), F.count("*").alias("n")).where("n > 1").drop("n")
+    shared = members.groupBy("bucket").agg(F.min("node").alias("a"), F.max("node").alias("last"), F.max("home").alias("any_home"))
+    first = materialize(shared.where("a != last and any_home").select("bucket", "a"), "shared-buckets")
+    members = materialize(members.join(first.select("bucket"), "bucket").distinct(), "members")
     pairs = members.join(first, "bucket").where(F.col("node") != F.col("a")).select("a", F.col("node").alias("b")).distinct()
     stars = materialize(verify(pairs).select("a", "b"), "star-links")
     parts = connected_components(stars)

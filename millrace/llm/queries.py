@@ -11,7 +11,9 @@ from millrace.llm import queries_sql as sql
 from millrace.llm.ctph import fingerprint_edits
 from millrace.llm.decontamination import decontaminate
 from millrace.llm.langid import identify, train as train_languages
+from millrace.llm.line_dedup import count_lines
 from millrace.llm.mixing import mix, turn_weights
+from millrace.llm.pii import KINDS, find_personal_data, train as train_personal_data
 from millrace.llm.simhash import simhash_components
 from millrace.llm.toxicity import score_toxicity, train as train_toxicity
 from millrace.llm.urls import judge_urls
@@ -33,6 +35,10 @@ def held_out(folds: int, fold: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string")) % folds == fold
 
 
+def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return count_lines(table(spark, folder, "documents"))
+
+
 def op2_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return mix(docs, turn_weights(docs), MAX_EPOCHS).select("doc_id", "size", "source_size", "target", "taken")
@@ -73,7 +79,22 @@ def op9_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return found.drop("text")
 
 
+def op10_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = find_personal_data(docs, train_personal_data(docs)).select("doc_id", "personal_data")
+    base = F.filter("personal_data", lambda s: s["base"] == 1)
+
+    def number(kind: str) -> Column:
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    def joined(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    return found.select("doc_id", *map(number, KINDS), F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("personal_data")).alias("spans"))
+
+
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
+    "op1_line_dedup": (op1_line_dedup, None),
     "op2_mix_sources": (op2_mix_sources, sql.MIX),
     "op3_warc_records": (op3_warc_records, sql.WARC),
     "op4_toxicity": (op4_toxicity, None),
@@ -82,4 +103,5 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op7_simhash": (op7_simhash, None),
     "op8_language": (op8_language, None),
     "op9_decontaminate": (op9_decontaminate, sql.DECONTAMINATION),
+    "op10_personal_data": (op10_personal_data, None),
 }
