@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from millrace.llm.common import ascii_lower, kept_apart, let, link_groups, materialize, restored, space_words, text_or_empty
+from millrace.llm.common import ascii_lower, kept_apart, let, link_groups, materialize, restored, space_words, text_key, text_or_empty
 
 SHINGLE = 3
 MAX_BITS = 3
@@ -83,6 +83,22 @@ def close_bits(pairs: DataFrame) -> DataFrame:
     return pairs.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= MAX_BITS)
 
 
+def _fingerprinted(docs: DataFrame, kept: list[str], doc_id: str, text: str, *extra: Column) -> DataFrame:
+    """A written table of ``row`` (the columns to keep), ``doc_id``, ``print`` and the extra columns."""
+    packed = F.struct(F.lit(1).alias("_"), *(F.col(f"row.`{c}`").alias(c) for c in kept)).alias("row")
+    rows = kept_apart(docs, doc_id=doc_id, text=text).select(packed, "doc_id", *extra, shingle_hashes(F.col("text")).alias("hashes"))
+    # A table function, as Spark 4.1 can't pass an expression with a lambda to a Python column function.
+    schema = StructType([*rows.schema.fields[:-1], StructField("print", LongType())])
+    return materialize(rows.mapInArrow(_add_bits, schema), "simhash")
+
+
+def _components(rows: DataFrame) -> DataFrame:
+    """``print``, ``least`` (its smallest doc_id), ``rows`` and ``component`` of each distinct fingerprint."""
+    prints = materialize(rows.groupBy("print").agg(F.min("doc_id").alias("least"), F.count("*").alias("rows")), "fingerprints")
+    linked = link_groups(_cells(prints.select(F.col("print").alias("node"))), close_bits)
+    return prints.join(linked, F.col("print") == F.col("node"), "left").select("print", "least", "rows", F.coalesce("component", "print").alias("component"))
+
+
 def simhash_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", carry: list[str] | None = None) -> DataFrame:
     """Add ``fingerprint`` (16 hex digits) and ``component_id`` to every row; ``carry`` names the columns to keep.
 
@@ -96,16 +112,27 @@ def simhash_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     added one are replaced.
     """
     kept = list(docs.columns if carry is None else carry)
-    packed = F.struct(F.lit(1).alias("_"), *(F.col(f"row.`{c}`").alias(c) for c in kept)).alias("row")
-    rows = kept_apart(docs, doc_id=doc_id, text=text).select(packed, "doc_id", shingle_hashes(F.col("text")).alias("hashes"))
-    # A table function, as Spark 4.1 can't pass an expression with a lambda to a Python column function.
-    schema = StructType([rows.schema["row"], rows.schema["doc_id"], StructField("print", LongType())])
-    rows = rows.mapInArrow(_add_bits, schema)
-    rows = materialize(rows, "simhash")
-    prints = materialize(rows.groupBy("print").agg(F.min("doc_id").alias("least")), "fingerprints")
-    linked = link_groups(_cells(prints.select(F.col("print").alias("node"))), close_bits)
-    placed = prints.join(linked, F.col("print") == F.col("node"), "left").select("print", "least", F.coalesce("component", "print").alias("component"))
+    rows = _fingerprinted(docs, kept, doc_id, text)
+    placed = _components(rows)
     ids = placed.groupBy("component").agg(F.min("least").alias("component_id"))
     named = materialize(placed.join(ids, "component").select(F.col("print").alias("of"), "component_id"), "simhash-components")
     found = rows.join(named, F.col("print") == F.col("of")).select("row", F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"), "component_id")
     return restored(found, kept, "fingerprint", "component_id")
+
+
+def keep_one_per_group(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows that stay: of each component that of the smallest doc_id (null last), then of the smaller text digest.
+
+    Only rows of components with several rows are grouped, and tasks reduce them
+    before the shuffle. Columns stay as they are; of rows alike in id and text
+    any one stays. An empty table gives an empty result.
+    """
+    rows = _fingerprinted(docs, docs.columns, doc_id, text, text_key(text_or_empty(F.col("text"))).alias("key"))
+    placed = materialize(_components(rows), "simhash-components")
+    several = placed.groupBy("component").agg(F.sum("rows").alias("rows")).where("rows > 1").select("component")
+    crowded = materialize(placed.join(several, "component").select(F.col("print").alias("of"), "component"), "simhash-groups")
+    tagged = rows.join(crowded, F.col("print") == F.col("of"), "left")
+    rank = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "key")
+    alone = tagged.where(F.col("component").isNull()).select("row")
+    first = tagged.where(F.col("component").isNotNull()).groupBy("component").agg(F.min_by("row", rank).alias("row")).select("row")
+    return restored(alone.union(first), docs.columns)

@@ -26,6 +26,8 @@ LANDMARKS = 48
 TRAINING_ROWS = 3000
 ROUNDS = 3
 COST = 10.0
+#: Evidence that a landmark needs; chance gives this to about one word in a million.
+SIGNIFICANT = 24.0
 SENTENCE_ENDS = ".!?"
 PUNCTUATION = ".!?,;:"
 BATCH_TOKENS = 1 << 16
@@ -209,6 +211,13 @@ def _sentence_rows(kernel: Kernel, texts: list[str]) -> tuple[np.ndarray, np.nda
     return np.array(rows, np.float32).reshape(len(rows), len(kernel.landmarks)), np.array(owners, np.int64)
 
 
+def _evidence(a: int, n: int, b: int, m: int) -> float:
+    """Log-likelihood ratio of a word in ``a`` of ``n`` toxic and ``b`` of ``m`` clean documents."""
+    rate = (a + b) / (n + m)
+    expected = [(a, n * rate), (n - a, n * (1 - rate)), (b, m * rate), (m - b, m * (1 - rate))]
+    return 2 * sum(x * np.log(x / e) for x, e in expected if x and e)
+
+
 def _pick_landmarks(toxic: list[str], clean: list[str], count: int) -> list[str]:
     """Words that tell toxic documents best, none too near one that was picked before."""
     tell, usual = Counter(), Counter()
@@ -217,7 +226,7 @@ def _pick_landmarks(toxic: list[str], clean: list[str], count: int) -> list[str]
             words = {w for t in text.lower().split() if 3 < len(w := t.rstrip(PUNCTUATION)) <= WIDTH - 2 and w.isalnum()}
             counter.update({f"{FIRST}{w}{LAST}" for w in words} | {FIRST + w[:n] for w in words for n in STEMS if len(w) > n})
     n, m = max(len(toxic), 1), max(len(clean), 1)
-    signal = {w: a / n * np.log((a / n + 1e-3) / (usual[w] / m + 1e-3)) for w, a in tell.items() if a > 1 and a / n > 2 * usual[w] / m}
+    signal = {w: g for w, a in tell.items() if a > 1 and a / n > 2 * usual[w] / m and (g := _evidence(a, n, usual[w], m)) >= SIGNIFICANT}
     ranked = sorted(signal, key=lambda w: (-signal[w], -len(w), w))[: 20 * count]
     picked: list[str] = []
     while ranked and len(picked) < count:
@@ -250,9 +259,14 @@ def fit(toxic: list[str], clean: list[str], landmarks: int = LANDMARKS) -> Model
     anew each round with the machine of the last. All sentences of clean
     documents with a word near a landmark, and the empty row, are counterexamples.
     """
+    share = (len(toxic) + 1) / (len(toxic) + len(clean) + 4)
+    constant = Model(None, np.zeros((0, 0)), np.zeros(0), 0.0, 0.0, float(np.log(share / (1 - share))))
     if not toxic or not clean:
-        return Model(None, np.zeros((0, 0)), np.zeros(0), 0.0, 0.0, -2.0 if clean or not toxic else 2.0)
-    kernel = Kernel(_pick_landmarks(toxic, clean, landmarks))
+        return constant
+    chosen = _pick_landmarks(toxic, clean, landmarks)
+    if not chosen:
+        return constant
+    kernel = Kernel(chosen)
     values, vectors = np.linalg.eigh((kernel.inner + kernel.inner.T).astype(float) / 2)
     kept = values > 1e-3
     project = vectors[:, kept] / np.sqrt(values[kept])
@@ -261,7 +275,7 @@ def fit(toxic: list[str], clean: list[str], landmarks: int = LANDMARKS) -> Model
     good, bad = np.vstack([good, np.zeros((1, len(kernel.landmarks)))]) @ project, bad @ project
     model = Model(kernel, project, np.zeros(project.shape[1]), 0.0, 1.0, 0.0)
     if not len(bad):
-        return Model(None, project, model.weights, 0.0, 0.0, -2.0)
+        return constant
     # Landmark words with one character more are examples too: the machine must tolerate what the kernel does.
     whole = [w[1:-1] for w in kernel.landmarks if w.endswith(LAST)]
     odd = _near_words(kernel, sorted({w[:k] + c + w[k:] for w in whole for k in range(1, len(w)) for c in ("x", w[k])}))
@@ -274,14 +288,13 @@ def fit(toxic: list[str], clean: list[str], landmarks: int = LANDMARKS) -> Model
         strength = bad @ model.weights
     margins = np.concatenate([model.margins(toxic), model.margins(clean)])
     truth = np.concatenate([np.ones(len(toxic)), np.zeros(len(clean))])
-    # Platt's targets, and rows weighed so that the sample's balance of classes plays no part.
+    # Platt's targets.
     target = np.where(truth > 0, (len(toxic) + 1) / (len(toxic) + 2), 1 / (len(clean) + 2))
-    share = np.where(truth > 0, 0.5 / len(toxic), 0.5 / len(clean)) * 1000
     z, beta = np.stack([margins, np.ones(len(margins))], 1), np.array([1.0, 0.0])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(z @ beta, -40, 40)))
-        hessian = (z * (share * p * (1 - p))[:, None]).T @ z + 1e-2 * np.eye(2)
-        beta = np.clip(beta + np.linalg.solve(hessian, z.T @ (share * (target - p)) - 1e-2 * beta), -30, 30)
+        hessian = (z * (p * (1 - p))[:, None]).T @ z + 1e-2 * np.eye(2)
+        beta = np.clip(beta + np.linalg.solve(hessian, z.T @ (target - p) - 1e-2 * beta), -30, 30)
     model.slope, model.offset = float(beta[0]), float(beta[1])
     return model
 
