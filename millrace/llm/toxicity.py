@@ -53,7 +53,10 @@ def _plain(token: str) -> str:
 
 
 def _spelled(tokens: list[str]) -> list[tuple[int, str]]:
-    """Runs of three or more single characters, joined, with the place of the last."""
+    """Runs of three or more single characters, joined, with the place of the last.
+
+    A neighbouring one-letter word may stand at either end, so the run also counts without these.
+    """
     found, run = [], []
     for at, token in enumerate(tokens):
         word = token.rstrip(PUNCTUATION)
@@ -61,7 +64,8 @@ def _spelled(tokens: list[str]) -> list[tuple[int, str]]:
             run.append(word)
         if len(word) != 1 or at == len(tokens) - 1:
             if len(run) >= 3:
-                found.append((at - (len(word) != 1), "".join(run)))
+                whole, place = "".join(run), at - (len(word) != 1)
+                found += [(place, w) for w in (whole, whole[1:], whole[:-1], whole[1:-1]) if len(w) > 2]
             run = []
     return found
 
@@ -196,7 +200,10 @@ def _sentence_rows(kernel: Kernel, texts: list[str]) -> tuple[np.ndarray, np.nda
     odd = _near_words(kernel, sorted({w for runs in spelled for _, w in runs}))
     rows, owners = [], []
     for at, (words, runs) in enumerate(zip(tokens, spelled)):
-        places = {k: odd[w] for k, w in runs if w in odd}
+        places: dict[int, np.ndarray] = {}
+        for k, word in runs:
+            if word in odd:
+                places[k] = np.maximum(places[k], odd[word]) if k in places else odd[word]
         if not places and near.keys().isdisjoint(words):
             continue
         best = None
