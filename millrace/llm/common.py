@@ -15,7 +15,7 @@ NOT_SPACES = r"[^\x20\x09-\x0D]+"
 
 __all__ = [
     "NOT_SPACES", "SPACES", "ascii_lower", "connected_components", "kept_apart", "let", "link_groups", "materialize",
-    "restored", "space_words", "text_key", "text_or_empty",
+    "restored", "smallest_rows", "space_words", "text_key", "text_or_empty",
 ]
 
 
@@ -43,6 +43,13 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body).getItem(0)
 
 
+def smallest_rows(df: DataFrame, key: Column, rows: int) -> DataFrame:
+    """At most ``rows`` rows, those of the smallest key. Only keys are sorted, so that no more rows than these move."""
+    keyed = df.withColumn("sample_key", key)
+    last = keyed.select("sample_key").orderBy("sample_key").limit(rows).agg(F.max("sample_key")).first()[0]
+    return keyed.where(F.col("sample_key") <= F.lit(last)).drop("sample_key").limit(rows)
+
+
 def kept_apart(df: DataFrame, **inputs: str) -> DataFrame:
     """The whole row as one struct ``row`` beside the named inputs, so that no caller's column name can clash."""
     return df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row"), *(F.col(f"`{c}`").alias(a) for a, c in inputs.items()))

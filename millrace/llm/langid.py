@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StringType, StructField, StructType
 
-from millrace.llm.common import kept_apart, materialize, restored
+from millrace.llm.common import kept_apart, materialize, restored, smallest_rows
 
 ORDER = 4
 UNIT_BITS = 16
@@ -289,7 +289,7 @@ def train(labelled: DataFrame, calibration_rows: int = CALIBRATION_ROWS) -> Mode
 
 def _calibrate(model: Model, labelled: DataFrame, rows: int) -> None:
     """Centre and spread of the entropies per language; a logistic curve of the margin, with a weak prior."""
-    scored = _entropy_rows(labelled.orderBy(F.xxhash64(F.col("doc_id").cast("string"), "text")).limit(rows), model)
+    scored = _entropy_rows(smallest_rows(labelled, F.xxhash64(F.col("doc_id").cast("string")), rows), model)
     found = [(r["lang"], np.array(r["entropies"])) for r in scored.select("lang", "entropies").collect() if r["entropies"] is not None]
     if not found:
         return

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
-from millrace.llm.common import kept_apart, restored
+from millrace.llm.common import kept_apart, restored, smallest_rows
 
 KINDS = ("email", "ip", "card", "phone")
 #: Fixed patterns of the detectors.
@@ -257,7 +257,7 @@ def find_spans(field: Field, texts: list[str]) -> list[list[tuple[str, int, int,
 def train(docs: DataFrame, rows: int = TRAINING_ROWS, text: str = "text") -> Field:
     """Fit on at most ``rows`` texts with a digit or @: those of the smallest hash."""
     chosen = docs.select(F.col(f"`{text}`").cast("string").alias("text")).where(F.col("text").rlike("[0-9@]"))
-    return fit([r[0] for r in chosen.orderBy(F.xxhash64("text"), F.length("text")).limit(rows).collect()])
+    return fit([r["text"] for r in smallest_rows(chosen, F.xxhash64("text"), rows).collect()])
 
 
 def find_personal_data(docs: DataFrame, field: Field, text: str = "text") -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from millrace.llm.common import kept_apart, restored
+from millrace.llm.common import kept_apart, restored, smallest_rows
 
 #: Subsequences of three characters within a span of five, each character of the span weighing 0.7.
 REACH = 5
@@ -23,7 +24,7 @@ FLOOR = 0.5
 LETTERS = 64
 WIDTH = 32
 LANDMARKS = 48
-TRAINING_ROWS = 3000
+TRAINING_ROWS = 2000
 ROUNDS = 3
 COST = 10.0
 #: Evidence that a landmark needs; chance gives this to about one word in a million.
@@ -31,7 +32,7 @@ SIGNIFICANT = 24.0
 SENTENCE_ENDS = ".!?"
 PUNCTUATION = ".!?,;:"
 BATCH_TOKENS = 1 << 16
-GROUP_CHARS = 16 << 20
+GROUP_CHARS = 4 << 20
 #: Characters that stand for the ends of a word.
 FIRST, LAST = "\x02", "\x03"
 #: Landmarks are whole words and beginnings of this many characters.
@@ -163,15 +164,9 @@ class Model:
         """The highest margin of any sentence of each text."""
         if self.kernel is None:
             return np.zeros(len(texts))
-        base, at = np.full(len(texts), self.bias), 0
-        while at < len(texts):  # groups of texts of bounded size
-            size, end = 0, at
-            while end < len(texts) and (end == at or size + len(texts[end]) <= GROUP_CHARS):
-                size, end = size + len(texts[end]), end + 1
-            rows, owners = _sentence_rows(self.kernel, texts[at:end])
-            if len(rows):
-                np.maximum.at(base, owners + at, rows @ self.project @ self.weights + self.bias)
-            at = end
+        base = np.full(len(texts), self.bias)
+        for rows, owners in _grouped_rows(self.kernel, texts):
+            np.maximum.at(base, owners, rows @ self.project @ self.weights + self.bias)
         return base
 
     def scores(self, texts: list[str]) -> np.ndarray:
@@ -218,6 +213,24 @@ def _sentence_rows(kernel: Kernel, texts: list[str]) -> tuple[np.ndarray, np.nda
     return np.array(rows, np.float32).reshape(len(rows), len(kernel.landmarks)), np.array(owners, np.int64)
 
 
+def _grouped_rows(kernel: Kernel, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Sentence rows of groups of texts of bounded size."""
+    at = 0
+    while at < len(texts):
+        size, end = 0, at
+        while end < len(texts) and (end == at or size + len(texts[end]) <= GROUP_CHARS):
+            size, end = size + len(texts[end]), end + 1
+        rows, owners = _sentence_rows(kernel, texts[at:end])
+        if len(rows):
+            yield rows, owners + at
+        at = end
+
+
+def _all_rows(kernel: Kernel, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    groups = [*_grouped_rows(kernel, texts)] or [(np.zeros((0, len(kernel.landmarks)), np.float32), np.zeros(0, np.int64))]
+    return np.vstack([r for r, _ in groups]), np.concatenate([o for _, o in groups])
+
+
 def _evidence(a: int, n: int, b: int, m: int) -> float:
     """Log-likelihood ratio of a word in ``a`` of ``n`` toxic and ``b`` of ``m`` clean documents."""
     rate = (a + b) / (n + m)
@@ -227,13 +240,18 @@ def _evidence(a: int, n: int, b: int, m: int) -> float:
 
 def _pick_landmarks(toxic: list[str], clean: list[str], count: int) -> list[str]:
     """Words that tell toxic documents best, none too near one that was picked before."""
-    tell, usual = Counter(), Counter()
-    for texts, counter in ((toxic, tell), (clean, usual)):
+    def counted(texts: list[str], only=None) -> Counter:
+        counter = Counter()
         for text in texts:
             words = {w for t in text.lower().split() if 3 < len(w := t.rstrip(PUNCTUATION)) <= WIDTH - 2 and w.isalnum()}
-            counter.update({f"{FIRST}{w}{LAST}" for w in words} | {FIRST + w[:n] for w in words for n in STEMS if len(w) > n})
+            found = {f"{FIRST}{w}{LAST}" for w in words} | {FIRST + w[:n] for w in words for n in STEMS if len(w) > n}
+            counter.update(found if only is None else found & only)
+        return counter
+
+    tell = {w: a for w, a in counted(toxic).items() if a > 1}
+    usual = counted(clean, tell.keys())
     n, m = max(len(toxic), 1), max(len(clean), 1)
-    signal = {w: g for w, a in tell.items() if a > 1 and a / n > 2 * usual[w] / m and (g := _evidence(a, n, usual[w], m)) >= SIGNIFICANT}
+    signal = {w: g for w, a in tell.items() if a / n > 2 * usual[w] / m and (g := _evidence(a, n, usual[w], m)) >= SIGNIFICANT}
     ranked = sorted(signal, key=lambda w: (-signal[w], -len(w), w))[: 20 * count]
     picked: list[str] = []
     while ranked and len(picked) < count:
@@ -277,8 +295,8 @@ def fit(toxic: list[str], clean: list[str], landmarks: int = LANDMARKS) -> Model
     values, vectors = np.linalg.eigh((kernel.inner + kernel.inner.T).astype(float) / 2)
     kept = values > 1e-3
     project = vectors[:, kept] / np.sqrt(values[kept])
-    good, good_owner = _sentence_rows(kernel, clean)
-    bad, owner = _sentence_rows(kernel, toxic)
+    good, _ = _all_rows(kernel, clean)
+    bad, owner = _all_rows(kernel, toxic)
     good, bad = np.vstack([good, np.zeros((1, len(kernel.landmarks)))]) @ project, bad @ project
     model = Model(kernel, project, np.zeros(project.shape[1]), 0.0, 1.0, 0.0)
     if not len(bad):
@@ -308,11 +326,11 @@ def fit(toxic: list[str], clean: list[str], landmarks: int = LANDMARKS) -> Model
 
 def train(labelled: DataFrame, rows: int = TRAINING_ROWS, landmarks: int = LANDMARKS) -> Model:
     """Fit on at most ``rows`` toxic and twice as many clean rows of ``doc_id``, ``text``, ``toxic``: those of the smallest hash."""
-    order = F.xxhash64(F.col("doc_id").cast("string"), "text")
+    order = F.xxhash64(F.col("doc_id").cast("string"))  # of the id alone: texts of other rows need not move
 
     def some(label: int, most: int) -> list[str]:
-        chosen = labelled.where((F.col("toxic") == label) & F.col("text").isNotNull()).orderBy(order).limit(most)
-        return [r[0] for r in chosen.select("text").collect()]
+        chosen = labelled.where((F.col("toxic") == label) & F.col("text").isNotNull()).select("doc_id", "text")
+        return [r["text"] for r in smallest_rows(chosen, order, most).collect()]
 
     return fit(some(1, rows), some(0, 2 * rows), landmarks)
 
