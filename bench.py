@@ -20,7 +20,7 @@ HEADLINE = [
     "file_verdict",
     "accepted_orders",
     "all_error_rows",
-    "capped_error_rows",
+    "distinct_bad_values",
     "file_metadata",
     "duplicate_keys",
     "duplicate_line_tolerance",

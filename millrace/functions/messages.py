@@ -41,12 +41,12 @@ def invalid_summary(action: Column, bad: Column, total: Column) -> Column:
     )
 
 
-def rejected_cell(column: Column, declared: Column, bad: Column, total: Column, samples: Column) -> Column:
+def rejected_cell(column: Column, declared: Column, bad: Column, total: Column, value: Column) -> Column:
     share = F.when(total > 0, bad / total.cast("double")).otherwise(0.0)
     return F.concat(
         F.lit("COLUMN REJECTED: "), column, F.lit(". Expected type: "), declared, F.lit(", "),
         bad.cast("string"), F.lit(" invalid values of "), total.cast("string"), F.lit(" rows ("),
-        percent_text(share, 1), F.lit("). Examples: "), samples, F.lit("..."),
+        percent_text(share, 1), F.lit("). Value: "), value,
     )
 
 

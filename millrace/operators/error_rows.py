@@ -2,22 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import messages
 from millrace.functions.dates import failure_number
 from millrace.names import CORRUPT, ERROR_NUMBERS, ERROR_SCHEMA, FILE, SUCCESS, col
-from millrace.operators.skew import first_per_group
 from millrace.operators.typing import TypedTable, bad_name, raw_name
 from millrace.operators.verdict import bad_count_name
 from millrace.rules import ColumnRule, TableRule
 
-# Rows kept per file and column, samples taken and samples shown.
-DETAIL_LIMIT = 1000
-SAMPLE_LIMIT = 5
-SAMPLES_SHOWN = 3
-
 
 def normalized(df: DataFrame, table: str | None = None, file: Column | None = None) -> DataFrame:
     """Bring any error frame to the common schema, filling in table and file."""
@@ -72,32 +66,6 @@ def bad_values(table: TypedTable, files: DataFrame | None = None) -> DataFrame:
     return cells.groupBy(FILE, "column_name", "raw_value").agg(F.count(F.lit(1)).alias("n"))
 
 
-def ranked_values(values: DataFrame, limit: int = DETAIL_LIMIT) -> DataFrame:
-    """The first ``limit`` distinct bad texts per file and column, smallest first.
-
-    Adds ``rank``, ``earlier`` (cells with a smaller text) and ``samples`` (the
-    first few texts). Groups are cut down before they meet in one task.
-    """
-    group = Window.partitionBy(FILE, "column_name").orderBy("raw_value")
-    whole = Window.partitionBy(FILE, "column_name")
-    first = first_per_group(values, [FILE, "column_name"], [F.col("raw_value")], limit)
-    before = group.rowsBetween(Window.unboundedPreceding, -1)
-    ranked = first.withColumns(
-        {"rank": F.row_number().over(group), "earlier": F.coalesce(F.sum("n").over(before), F.lit(0))}
-    )
-    few = F.collect_list(F.when(F.col("rank") <= SAMPLE_LIMIT, F.col("raw_value"))).over(whole)
-    return ranked.withColumn("samples", F.array_sort(few))
-
-
-def samples(values: DataFrame) -> DataFrame:
-    """Up to five distinct bad texts per file and column."""
-    return ranked_values(values, SAMPLE_LIMIT).filter(F.col("rank") == 1).select(FILE, "column_name", "samples")
-
-
-def shown(sample_column: str = "samples") -> Column:
-    return F.array_join(F.slice(F.col(sample_column), 1, SAMPLES_SHOWN), ", ")
-
-
 def _by_column(rules: list[ColumnRule], value) -> Column:
     """``value(rule)`` of the rule that a row's column name stands for."""
     chosen = None
@@ -107,15 +75,11 @@ def _by_column(rules: list[ColumnRule], value) -> Column:
     return F.lit(None).cast("string") if chosen is None else chosen
 
 
-def cell_and_column_errors(
-    values: DataFrame, verdict: DataFrame, table: TypedTable, rule: TableRule, limit: int = DETAIL_LIMIT
-) -> DataFrame:
-    """Error rows of bad cells in accepted files: one by one or summed up, as the rules say.
+def cell_and_column_errors(values: DataFrame, verdict: DataFrame, table: TypedTable, rule: TableRule) -> DataFrame:
+    """Error rows of bad cells in accepted files: one per file, column and distinct text, with its exact count.
 
-    A bad date, a bad cell under REJECT and an unreadable line each give a row,
-    up to ``limit`` per file and column. ICT_DRIVEN and LOG_ONLY give one row per
-    file and column. ``values`` comes from :func:`bad_values`; the counts shown
-    are those of the verdict.
+    ``values`` comes from :func:`bad_values`; it is complete, so the counts of a
+    column add up to that of the verdict, whatever their number.
     """
     rules = [r for r in table.checked if r.reported]
     single = [r for r in rules if r.reported_by_cell]
@@ -127,25 +91,21 @@ def cell_and_column_errors(
     bad = _by_column(rules, lambda r: col(bad_count_name(r)))
     is_line, is_date = name == CORRUPT, name.isin([r.name for r in dates])
     is_single = name.isin([CORRUPT, *(r.name for r in single)])
-    room = F.least(F.col("n"), F.lit(limit) - F.col("earlier"))
-    times = F.when(is_single, room).otherwise((F.col("rank") == 1).cast("int")).cast("int")
 
-    rejected = messages.rejected_cell(name, _by_column(single, lambda r: F.lit(r.declared)), bad, total, shown())
+    rejected = messages.rejected_cell(name, _by_column(single, lambda r: F.lit(r.declared)), bad, total, raw_value)
     summary = messages.invalid_summary(_by_column(rules, lambda r: F.lit(r.action)), bad, total)
     date_text = messages.date_failure(_by_column(dates, lambda r: F.lit(r.date_pattern)), raw_value)
     date_number = _by_column(dates, lambda r: failure_number(raw_value, r.date_pattern))
-    rows = ranked_values(values, limit).join(files, FILE).withColumn("__times", times).filter(F.col("__times") > 0)
-    return rows.select(
+    return values.join(files, FILE).select(
         F.lit(rule.name).alias("table_name"),
         F.col(FILE).alias("filename"),
         "column_name",
         F.when(is_line, "RFC 4180 non-compliance").when(is_date, date_text).when(is_single, rejected)
         .otherwise(summary).alias("error_message"),
-        F.when(is_single, raw_value).otherwise(shown()).alias("raw_value"),
+        raw_value.alias("raw_value"),
         F.when(is_line, ERROR_NUMBERS["RLI"]).when(is_date, date_number).otherwise(ERROR_NUMBERS["RLK"]).alias("error_no"),
-        F.when(is_single, 1).otherwise(bad).cast("int").alias("error_count"),
-        F.explode(F.sequence(F.lit(1), F.col("__times"))).alias("__copy"),
-    ).drop("__copy")
+        F.col("n").cast("int").alias("error_count"),
+    )
 
 
 def file_errors(verdict: DataFrame, rule: TableRule) -> DataFrame:
@@ -174,13 +134,11 @@ def line_errors(verdict: DataFrame, rule: TableRule) -> DataFrame:
     )
 
 
-def table_errors(
-    values: DataFrame, verdict: DataFrame, table: TypedTable, rule: TableRule, limit: int = DETAIL_LIMIT
-) -> DataFrame:
+def table_errors(values: DataFrame, verdict: DataFrame, table: TypedTable, rule: TableRule) -> DataFrame:
     """Every typing, line and file error of a table. A refused file has its single file error only."""
     return union_errors(
         [
-            cell_and_column_errors(values, verdict, table, rule, limit),
+            cell_and_column_errors(values, verdict, table, rule),
             file_errors(verdict, rule),
             line_errors(verdict, rule),
         ]

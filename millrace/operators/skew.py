@@ -1,32 +1,10 @@
-"""Group-limited and join helpers that hold up when one group is most of the data."""
+"""Helpers that hold up when one group is most of the data."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SALT_BUCKETS = 16
-
-
-def first_per_group(df: DataFrame, keys: list[str], order: list[Column], limit: int) -> DataFrame:
-    """The first ``limit`` rows of each group in the given order.
-
-    The group is cut down twice: inside salt buckets, where Spark also limits
-    before the shuffle, and then over at most ``limit`` rows per bucket.
-    """
-    salt = F.pmod(F.xxhash64(*df.columns), F.lit(SALT_BUCKETS))
-    in_bucket = Window.partitionBy(*keys, "__salt").orderBy(*order)
-    in_group = Window.partitionBy(*keys).orderBy(*order)
-    return (
-        df.withColumn("__salt", salt)
-        .withColumn("__rank", F.row_number().over(in_bucket))
-        .filter(F.col("__rank") <= limit)
-        .withColumn("__rank", F.row_number().over(in_group))
-        .filter(F.col("__rank") <= limit)
-        .drop("__salt", "__rank")
-    )
-
-
 def latest_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """One row per key. Spark keeps one row per key and task before the shuffle,
     so a key that holds a third of all rows costs no more than any other."""

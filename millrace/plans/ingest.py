@@ -4,19 +4,19 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.tolerances import FAIL_FAST_PERCENT, is_tolerance_text
-from millrace.names import EXECUTION_LOG_SCHEMA, FAILED, FILE, MISSING_COLUMN_ERROR, SUCCESS, col, sum_of
+from millrace.names import EXECUTION_LOG_SCHEMA, FAILED, FILE, MISSING_COLUMN_ERROR, PROCESSED_AT, SUCCESS, col, sum_of
 from millrace.operators.error_rows import bad_values, cell_and_column_errors, file_errors, line_errors, union_errors
 from millrace.operators.metrics import execution_log
 from millrace.operators.quality import duplicate_key_errors, mandatory_nulls
 from millrace.operators.shape import missing_columns, presence_errors
-from millrace.operators.typing import TypedTable, type_columns
+from millrace.operators.typing import TypedTable, type_columns, with_file_name
 from millrace.operators.verdict import accepted_rows, bad_count_name, file_counts, file_verdict, latest_files
 from millrace.rules import ColumnRule, RuleBook, TableRule
 from millrace.session import materialize
@@ -24,6 +24,9 @@ from millrace.sinks.ingestion import apply_ingestion_mode, quarantine, write_qua
 from millrace.sinks.tables import TableStore
 from millrace.sources.files import RawScan, run_columns, scan_raw, source_files
 
+#: Table of the files that finished runs have taken.
+LOADED_FILES = "loaded_files"
+
 
 @dataclass(frozen=True)
 class Outcome:
@@ -107,45 +110,80 @@ def rule_problems(rule: TableRule, rules: Sequence[ColumnRule]) -> list[str]:
     return problems
 
 
+def run_name(table: str, run_ts: datetime) -> str:
+    """Name of a table's run: the same for a repeated attempt."""
+    return f"{table}-{run_ts:%Y%m%dT%H%M%S}"
+
+
+def _deliveries(raw: DataFrame) -> DataFrame:
+    """The files of a raw table, each with the time it was processed, if known."""
+    time = F.col(PROCESSED_AT).cast("string") if PROCESSED_AT in raw.columns else F.lit(None).cast("string")
+    return with_file_name(raw).select(FILE, time.alias("delivered"))
+
+
+def new_files(raw: DataFrame, rule: TableRule, store: TableStore) -> DataFrame:
+    """Rows of files that no finished run has taken. A file delivered again has a new processing time."""
+    if not store.exists(LOADED_FILES):
+        return raw
+    loaded = store.read(LOADED_FILES).filter(F.col("loaded_table") == rule.name).select(
+        F.col(FILE).alias("__file"), F.col("delivered").alias("__delivered")
+    ).distinct()
+    named = with_file_name(raw)
+    time = F.col(PROCESSED_AT).cast("string") if PROCESSED_AT in raw.columns else F.lit(None).cast("string")
+    known = (F.col(FILE) == F.col("__file")) & time.eqNullSafe(F.col("__delivered"))
+    return named.join(loaded, known, "left_anti")
+
+
 def ingest_table(
     raw: DataFrame, rule: TableRule, rules: Sequence[ColumnRule], store: TableStore, run_ts: datetime, env: str = "dev"
 ) -> DataFrame:
-    """Load one raw table and return its execution-log rows.
+    """Load the new files of one raw table and return their execution-log rows.
 
     Accepted rows, error rows, refused files and the log are written; a refused
-    file never stops the others.
+    file never stops the others. Raw rows are read and typed once, into a written
+    table that all later steps read with the columns they need. Everything is
+    written under the name of the run and counts when the run is finished, so a
+    run that failed anywhere is simply repeated; a file is taken by one run only.
     """
-    spark = raw.sparkSession
+    run_label = run_name(rule.name, run_ts)
     started = time.monotonic()
     ts, _ = run_columns(run_ts)
+    if store.is_finished(run_label):
+        return store.read_run("execution_log", run_label)
     problems = rule_problems(rule, rules)
     required = [r.name for r in rules if not r.nullable]
     missing = missing_columns(raw, required)
+    fresh = new_files(raw, rule, store)
     if problems or missing:
-        files = materialize(source_files(raw), "files")
+        files = materialize(source_files(fresh), "files")
         if missing:
-            write_quality_errors(store, presence_errors(files, missing, rule.name), rule.zone, ts)
+            write_quality_errors(store, presence_errors(files, missing, rule.name), rule.zone, ts, run_label)
         message = "; ".join(problems) if problems else "Missing columns"
         number = None if problems else MISSING_COLUMN_ERROR
-        log = materialize(_failure_log(files, rule, message, ts, env, number), "log")
-        store.append("execution_log", log)
-        return log
+        return _log(store, _failure_log(files, rule, message, ts, env, number), run_label)
 
-    judged = judge(raw, rule, rules)
+    typed = type_columns(fresh, rules, trim=rule.trim, fill_defaults=True)
+    typed = replace(typed, frame=materialize(typed.frame, "typed"))
+    judged = JudgedTable(rule, typed, materialize(file_verdict(file_counts(typed, rule), typed, rule), "verdict"))
     merge_keys = [r.name for r in rules if r.merge_key]
     accepted = judged.accepted()
     outcome = judged.outcome()
     if outcome.passed:
-        apply_ingestion_mode(store, accepted, judged.latest(), rule, merge_keys, run_ts)
-    errors = write_quality_errors(store, judged.errors(merge_keys, outcome), rule.zone, ts)
+        apply_ingestion_mode(store, accepted, judged.latest(), rule, merge_keys, run_ts, run_label)
+    errors = write_quality_errors(store, judged.errors(merge_keys, outcome), rule.zone, ts, run_label)
     if outcome.refused:
-        quarantine(store, raw, judged.verdict, run_ts)
+        quarantine(store, fresh, judged.verdict, rule.name, run_ts, run_label)
+    files = _deliveries(typed.frame).distinct().withColumn("loaded_table", F.lit(rule.name))
+    store.append(LOADED_FILES, files, ("loaded_table",), run_label)
     seconds = round(time.monotonic() - started, 2)
-    log = materialize(
-        execution_log(judged.verdict, errors, rule, len(accepted.columns), ts, env, seconds), "log"
-    )
-    store.append("execution_log", log)
-    return log
+    return _log(store, execution_log(judged.verdict, errors, rule, len(accepted.columns), ts, env, seconds), run_label)
+
+
+def _log(store: TableStore, log: DataFrame, run_label: str) -> DataFrame:
+    """Write the log of a run, the last thing it does."""
+    store.append("execution_log", log, run=run_label)
+    store.finish(run_label)
+    return store.read_run("execution_log", run_label).select(*(col(f.name) for f in EXECUTION_LOG_SCHEMA))
 
 
 def run(
@@ -160,7 +198,9 @@ def run(
     """Load all tables of the rule book in order and return the log of the run.
 
     Errors of earlier tables can stop the run before the next one. Tables that
-    are absent or empty are skipped.
+    are absent or empty are skipped. A table whose load fails is logged as FAILED,
+    and the next one loads; what it had written does not count, and the
+    next run takes its files again.
     """
     open_raw = scan or (lambda rule: scan_raw(spark, rule.raw_table_name))
     ts, _ = run_columns(run_ts)
@@ -172,12 +212,17 @@ def run(
         found = open_raw(rule)
         if found.status in ("ABSENT", "EMPTY"):
             continue
-        if found.frame is None:
+        failure = found.message
+        if found.frame is not None:
+            try:
+                log = ingest_table(found.frame, rule, book.columns_of(rule.name), store, run_ts, env)
+                failure = None
+            except Exception as problem:  # noqa: BLE001 - whatever stops a table must not stop the run
+                failure = f"{type(problem).__name__}: {problem}".splitlines()[0]
+        if failure is not None:
             nothing = spark.createDataFrame([("N/A", 0)], f"{FILE} string, total_rows bigint")
-            log = _failure_log(nothing, rule, found.message, ts, env)
+            log = materialize(_failure_log(nothing, rule, failure, ts, env), "log")
             store.append("execution_log", log)
-        else:
-            log = ingest_table(found.frame, rule, book.columns_of(rule.name), store, run_ts, env)
         logs.append(log)
         sums = log.agg(
             F.coalesce(F.sum("error_count"), F.lit(0)).alias("errors"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import types as T
@@ -107,7 +108,6 @@ class TableRule:
     last_table: str | None = None
     trim: bool = True
     file_tolerance: str = "10%"
-    column_tolerance: str = "20%"
     line_tolerance: float = 0.10
 
     @property
@@ -126,7 +126,7 @@ class TableRule:
 @dataclass(frozen=True)
 class RuleBook:
     tables: tuple[TableRule, ...]
-    columns: dict[str, tuple[ColumnRule, ...]] = field(default_factory=dict)
+    columns: Mapping[str, tuple[ColumnRule, ...]] = field(default_factory=dict)
 
     def columns_of(self, table: str) -> tuple[ColumnRule, ...]:
         return tuple(sorted(self.columns.get(table, ()), key=lambda rule: rule.order))

@@ -1,25 +1,38 @@
-"""Parquet tables below one folder: partitioned appends and whole snapshots."""
+"""Parquet tables below one folder: appends by run, whole snapshots and bucketed merges."""
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from millrace.names import PARTITIONS
+from millrace.names import PARTITIONS, any_of, col
+from millrace.session import materialize
 from millrace.sources.files import hadoop_path
 
 SNAPSHOT_FORMAT = "%Y%m%dT%H%M%S"
+SCHEMA_FILE = "_schema.json"
+BUCKETS_FILE = "_buckets.json"
+BUCKET, RUN = "bucket", "run_id"
+#: A merged table gets a bucket for so many rows of its first load, between these numbers of buckets.
+ROWS_PER_BUCKET = 250_000
+FEWEST_BUCKETS, MOST_BUCKETS = 8, 4096
 
 
 class TableStore:
     """Tables of one run environment.
 
-    A table is either appended to, or replaced as a whole. Each replacement is a
-    new snapshot folder that counts once Spark has committed it, so a reader
-    never sees a half-written table and earlier snapshots stay readable.
+    A table is appended to, replaced as a whole, or merged by key. What a run
+    writes lies in folders named after the run and counts once Spark has
+    committed it *and* the run is finished. So a run that failed can be repeated: it
+    overwrites its own folders, and readers never see half of it. Writes
+    without a run count at once. The merged schema lies beside the rows, so
+    that a reader opens no footers to find it.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -33,50 +46,155 @@ class TableStore:
         fs, handle = hadoop_path(self.spark, path)
         return sorted(s.getPath().getName() for s in fs.listStatus(handle)) if fs.exists(handle) else []
 
-    def snapshots(self, name: str) -> list[tuple[int, datetime]]:
-        """Committed snapshots, oldest first."""
+    def _has(self, path: str) -> bool:
+        fs, handle = hadoop_path(self.spark, path)
+        return fs.exists(handle)
+
+    def _put(self, path: str, text: str) -> None:
+        fs, handle = hadoop_path(self.spark, path)
+        stream = fs.create(handle, True)
+        stream.write(bytearray(text.encode()))
+        stream.close()
+
+    def _get(self, path: str) -> str:
+        fs, handle = hadoop_path(self.spark, path)
+        stream = fs.open(handle)
+        text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        stream.close()
+        return text
+
+    def finish(self, run: str) -> None:
+        """From now on what the run wrote counts."""
+        self._put(f"{self.root}/_finished/{run}", "")
+
+    def is_finished(self, run: str) -> bool:
+        return self._has(f"{self.root}/_finished/{run}")
+
+    def _remember(self, path: str, schema: T.StructType) -> None:
+        """Keep the schema of all rows below ``path``: earlier columns, then new ones."""
+        known = self._schema(path)
+        fields = {f.name: f for f in (known.fields if known else [])}
+        for field in schema:
+            if field.name in fields and fields[field.name].dataType != field.dataType:
+                raise ValueError(f"column {field.name} was {fields[field.name].dataType.simpleString()}, now {field.dataType.simpleString()}")
+            fields.setdefault(field.name, T.StructField(field.name, field.dataType))
+        self._put(f"{path}/{SCHEMA_FILE}", T.StructType(list(fields.values())).json())
+
+    def _schema(self, path: str) -> T.StructType | None:
+        found = f"{path}/{SCHEMA_FILE}"
+        return T.StructType.fromJson(json.loads(self._get(found))) if self._has(found) else None
+
+    def _folders(self, name: str) -> list[tuple[int, datetime, str]]:
+        """Committed snapshots of finished runs: number, time, folder; oldest first."""
         found = []
         for child in self._children(self.path(name)):
             if not child.startswith("snapshot_id="):
                 continue
             for stamp in self._children(f"{self.path(name)}/{child}"):
-                fs, mark = hadoop_path(self.spark, f"{self.path(name)}/{child}/{stamp}/_SUCCESS")
-                if fs.exists(mark):
-                    at = datetime.strptime(stamp.split("=", 1)[1], SNAPSHOT_FORMAT)
-                    found.append((int(child.split("=", 1)[1]), at))
+                folder = f"{self.path(name)}/{child}/{stamp}"
+                at, _, run = stamp.split("=", 1)[1].partition(".")
+                if self._has(f"{folder}/_SUCCESS") and (not run or self.is_finished(run)):
+                    found.append((int(child.split("=", 1)[1]), datetime.strptime(at, SNAPSHOT_FORMAT), folder))
         return sorted(found)
 
-    def _snapshot_path(self, name: str, number: int, at: datetime) -> str:
-        return f"{self.path(name)}/snapshot_id={number}/snapshot_ts={at:{SNAPSHOT_FORMAT}}"
+    def snapshots(self, name: str) -> list[tuple[int, datetime]]:
+        """Committed snapshots, oldest first."""
+        return [(number, at) for number, at, _ in self._folders(name)]
+
+    def _next_snapshot(self, name: str, at: datetime, run: str | None) -> tuple[int, str]:
+        number = max((n for n, _ in self.snapshots(name)), default=0) + 1
+        stamp = f"{at:{SNAPSHOT_FORMAT}}" + (f".{run}" if run else "")
+        return number, f"{self.path(name)}/snapshot_id={number}/snapshot_ts={stamp}"
+
+    def runs(self, name: str) -> list[str]:
+        """Appends that count."""
+        found = [c.split("=", 1)[1] for c in self._children(self.path(name)) if c.startswith(f"{RUN}=")]
+        return [r for r in found if self._has(f"{self.path(name)}/{RUN}={r}/_SUCCESS") and (r.startswith("auto-") or self.is_finished(r))]
 
     def exists(self, name: str) -> bool:
-        return bool(self._children(self.path(name)))
+        """Whether anything committed can be read; folders of interrupted writes do not count."""
+        return bool(self._folders(name) or self.runs(name)) or self._has(f"{self.path(name)}/_SUCCESS")
 
     def read(self, name: str, snapshot: int | None = None) -> DataFrame:
         """The table as it is, or as a given snapshot left it."""
-        reader = self.spark.read.option("mergeSchema", True)
-        known = dict(self.snapshots(name))
-        if not known:
-            return reader.parquet(self.path(name))
-        number = max(known) if snapshot is None else snapshot
-        return reader.parquet(self._snapshot_path(name, number, known[number]))
-
-    def append(self, name: str, df: DataFrame, partition_by: Sequence[str] = PARTITIONS) -> None:
-        """Add rows. New columns are allowed: readers merge the file schemas."""
-        _balanced(df, partition_by).write.mode("append").partitionBy(*partition_by).parquet(self.path(name))
+        known = {number: folder for number, _, folder in self._folders(name)}
+        if known:
+            return self._read_snapshot(name, known[max(known) if snapshot is None else snapshot])
+        if runs := self.runs(name):
+            return self._read_parts(self.path(name), [f"{self.path(name)}/{RUN}={r}" for r in runs], (RUN,))
+        return self.spark.read.parquet(self.path(name))
+
+    def read_run(self, name: str, run: str) -> DataFrame:
+        """What one run appended, also before it is finished."""
+        return self._read_parts(self.path(name), [f"{self.path(name)}/{RUN}={run}"], (RUN,))
+
+    def _read_parts(self, base: str, parts: Sequence[str], technical: Sequence[str], schema: T.StructType | None = None) -> DataFrame:
+        schema = schema or self._schema(base)
+        return self.spark.read.schema(schema).option("basePath", base).parquet(*parts).drop(*technical)
+
+    def _read_snapshot(self, name: str, folder: str) -> DataFrame:
+        schema = self._schema(folder)
+        if self._has(f"{folder}/{BUCKETS_FILE}"):
+            parts = json.loads(self._get(f"{folder}/{BUCKETS_FILE}"))["parts"]
+            base = f"{self.path(name)}/_data"
+            return self._read_parts(base, [f"{base}/{p}" for p in parts.values()], (RUN, BUCKET), schema)
+        return self.spark.read.schema(schema).parquet(folder) if schema else self.spark.read.parquet(folder)
+
+    def append(self, name: str, df: DataFrame, partition_by: Sequence[str] = PARTITIONS, run: str | None = None) -> None:
+        """Add rows, new columns allowed. A run that repeats an append overwrites its own rows."""
+        folder = f"{self.path(name)}/{RUN}={run or f'auto-{uuid.uuid4().hex}'}"
+        self._remember(self.path(name), df.schema)
+        _balanced(df, partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(folder)
 
     def overwrite_partitions(self, name: str, df: DataFrame, partition_by: Sequence[str] = PARTITIONS) -> None:
         """Replace only the partitions that ``df`` has rows for."""
         writer = _balanced(df, partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         writer.partitionBy(*partition_by).parquet(self.path(name))
 
-    def replace(self, name: str, df: DataFrame, at: datetime, partition_by: Sequence[str] = ()) -> int:
+    def replace(self, name: str, df: DataFrame, at: datetime, partition_by: Sequence[str] = (), run: str | None = None) -> int:
         """Write ``df`` as the next snapshot, also when ``df`` reads the current one."""
-        number = max((n for n, _ in self.snapshots(name)), default=0) + 1
+        number, folder = self._next_snapshot(name, at, run)
         writer = _balanced(df, partition_by).write.mode("overwrite")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        writer.parquet(self._snapshot_path(name, number, at))
+        writer.parquet(folder)
+        self._remember(folder, df.schema)
+        return number
+
+    def merge(
+        self, name: str, batch: DataFrame, keys: Sequence[str], at: datetime, partition_by: Sequence[str] = PARTITIONS, run: str | None = None
+    ) -> int:
+        """Replace the batch's keys in a table of key-hash buckets; only buckets that the batch touches are rewritten.
+
+        ``batch`` has one row per key. A NULL key equals nothing: such rows are
+        added and spread over the buckets. A snapshot lists the folder of each
+        bucket, so untouched buckets are shared between snapshots.
+        """
+        batch = materialize(batch, "batch")
+        folders = self._folders(name)
+        before = json.loads(self._get(f"{folders[-1][2]}/{BUCKETS_FILE}")) if folders else None
+        count = before["buckets"] if before else max(FEWEST_BUCKETS, min(MOST_BUCKETS, batch.count() // ROWS_PER_BUCKET))
+        keyless = any_of([col(k).isNull() for k in keys])
+        spread = F.when(keyless, F.xxhash64(*(col(c) for c in batch.columns))).otherwise(F.xxhash64(*(col(k) for k in keys)))
+        new = batch.withColumn(BUCKET, F.pmod(spread, F.lit(count)).cast("int"))
+        touched = [r[0] for r in new.select(BUCKET).distinct().collect()]  # at most MOST_BUCKETS
+        base, label = f"{self.path(name)}/_data", run or f"auto-{uuid.uuid4().hex}"
+        schema = T.StructType([T.StructField(f.name, f.dataType) for f in new.schema])
+        old_parts = [before["parts"][str(b)] for b in touched if str(b) in before["parts"]] if before else []
+        if old_parts:
+            known = self._schema(folders[-1][2])
+            old = self._read_parts(base, [f"{base}/{p}" for p in old_parts], (RUN,), known)
+            lost = new.filter(~keyless).select(BUCKET, *(col(k) for k in keys))
+            kept = old.filter(~keyless).join(lost, [BUCKET, *keys], "left_anti").unionByName(old.filter(keyless))
+            new = kept.unionByName(new, allowMissingColumns=True)
+            schema = T.StructType([T.StructField(f.name, f.dataType) for f in new.schema])
+        target = f"{base}/{RUN}={label}"
+        _balanced(new, [BUCKET, *partition_by]).write.mode("overwrite").partitionBy(BUCKET, *partition_by).parquet(target)
+        number, folder = self._next_snapshot(name, at, run)
+        parts = {**(before["parts"] if before else {}), **{str(b): f"{RUN}={label}/{BUCKET}={b}" for b in touched}}
+        self._remember(folder, schema)
+        self._put(f"{folder}/{BUCKETS_FILE}", json.dumps({"buckets": count, "parts": parts}))
+        self._put(f"{folder}/_SUCCESS", "")
         return number
 
 

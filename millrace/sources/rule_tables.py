@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,9 +19,6 @@ DEFAULT_ACTION = "ICT_DRIVEN"
 DEFAULT_FILE_TOLERANCE = "10%"
 DEFAULT_COLUMN_TOLERANCE = "20%"
 
-# A rule book is configuration; more rows than this is a wrong input.
-MAX_RULES = 200_000
-
 
 def cell(df: DataFrame, name: str) -> Column:
     """Trimmed text of a rule cell; NULL when blank or when the column is absent."""
@@ -93,39 +92,48 @@ def rule_errors(table_rules: DataFrame, column_rules: DataFrame) -> DataFrame:
     return bad_tolerances.unionByName(bad_actions).withColumn("error_count", F.lit(1))
 
 
-def _bounded(df: DataFrame) -> list:
-    rows = df.limit(MAX_RULES + 1).collect()
-    if len(rows) > MAX_RULES:
-        raise ValueError(f"more than {MAX_RULES} rule rows")
-    return rows
-
+class ColumnRules(Mapping):
+    """Column rules by table, read when they are asked for: the rules of one table at a time."""
 
-def rule_book(table_rules: DataFrame, column_rules: DataFrame) -> RuleBook:
-    """Rules of all tables from the two rule tables as they were delivered.
+    def __init__(self, normalized: DataFrame):
+        self.normalized = normalized
 
-    The first table row gives the tolerance of tables that have none.
-    """
-    first = table_rules.select(cell(table_rules, "Rejected line per file tolerance").alias("t")).first()
-    tables = _bounded(normalize_table_rules(table_rules, first.t if first else None))
-    columns: dict[str, list[ColumnRule]] = {}
-    for row in _bounded(normalize_column_rules(column_rules)):
-        columns.setdefault(row.table_name, []).append(
+    def __getitem__(self, table: str) -> tuple[ColumnRule, ...]:
+        rows = self.normalized.filter(F.col("table_name") == table).collect()
+        if not rows:
+            raise KeyError(table)
+        return tuple(
             ColumnRule(
                 name=row.column_name, order=row.field_order, declared=row.field_type, transform=row.transformation,
                 pattern=row.pattern, replacement=row.replacement, nullable=row.is_nullable, action=row.error_action,
                 merge_key=row.is_merge_key, default=row.default_value,
             )
+            for row in rows
         )
+
+    def __iter__(self):
+        return (row.table_name for row in self.normalized.select("table_name").distinct().toLocalIterator())
+
+    def __len__(self) -> int:
+        return self.normalized.select("table_name").distinct().count()
+
+
+def rule_book(table_rules: DataFrame, column_rules: DataFrame) -> RuleBook:
+    """Rules of all tables from the two rule tables as they were delivered.
+
+    The first table row gives the tolerance of tables that have none.
+    """
+    first = table_rules.select(cell(table_rules, "Rejected line per file tolerance").alias("t")).first()
+    tables = normalize_table_rules(table_rules, first.t if first else None).toLocalIterator()
     return RuleBook(
         tables=tuple(
             TableRule(
                 name=row.table_name, input_format=row.input_format, zone=row.output_zone, mode=row.ingestion_mode,
                 last_table=row.last_table, trim=row.trim, file_tolerance=row.file_tolerance,
-                column_tolerance=row.column_tolerance,
             )
             for row in tables
         ),
-        columns={name: tuple(rules) for name, rules in columns.items()},
+        columns=ColumnRules(normalize_column_rules(column_rules)),
     )
 
 

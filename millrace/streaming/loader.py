@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable, Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from millrace.names import PARTITIONS
 from millrace.sources.files import CSV_OPTIONS, text_schema, with_file_metadata
@@ -44,30 +45,57 @@ def file_stream(
 
 def load_new_files(stream: DataFrame, target: str, checkpoint: str) -> int:
     """Append all files not loaded before to the Parquet table at ``target``; returns the rows added."""
-    query = (
+    writer = (
         stream.writeStream.format("parquet")
         .option("checkpointLocation", checkpoint)
         .option("path", target)
         .partitionBy(*PARTITIONS)
         .trigger(availableNow=True)
-        .start()
     )
-    return finish(query)
+    return finish(writer.start, stream.sparkSession)
 
 
 def process_new_files(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str) -> int:
     """Hand each batch of new files to ``handle``, for verdicts that need whole files."""
-    query = (
-        stream.writeStream.foreachBatch(handle)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    return finish(query)
+    writer = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    return finish(writer.start, stream.sparkSession)
+
+
+class _Rows(StreamingQueryListener):
+    """Input rows of every batch of the queries started while it listens. Events arrive in order, the end last."""
+
+    def __init__(self) -> None:
+        self.rows: dict[str, int] = {}
+        self.ended: dict[str, threading.Event] = {}
+
+    def end_of(self, run: str) -> threading.Event:
+        return self.ended.setdefault(run, threading.Event())
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        run = str(event.progress.runId)
+        self.rows[run] = self.rows.get(run, 0) + event.progress.numInputRows
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self.end_of(str(event.runId)).set()
 
 
-def finish(query: StreamingQuery) -> int:
-    query.awaitTermination()
-    if query.exception() is not None:
-        raise query.exception()
-    return sum(progress["numInputRows"] for progress in query.recentProgress)
+def finish(start: Callable[[], StreamingQuery], spark: SparkSession) -> int:
+    """Run a query to its end and return its input rows, summed over all batches however many."""
+    listener = _Rows()
+    spark.streams.addListener(listener)
+    try:
+        query = start()
+        query.awaitTermination()
+        if query.exception() is not None:
+            raise query.exception()
+        run = str(query.runId)
+        listener.end_of(run).wait()
+        return listener.rows.get(run, 0)
+    finally:
+        spark.streams.removeListener(listener)

@@ -244,10 +244,9 @@ def rfc4180_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "rfc4180_errors", "A8 B12 G1",
     f"""WITH lines AS (SELECT {RFC_FILES} AS filename, CAST(c_custkey AS VARCHAR) || ',' || c_name || ',' || c_mktsegment AS raw_value
-        FROM customer WHERE c_custkey % 10 = 0),
-      kept AS (SELECT *, row_number() OVER (PARTITION BY filename ORDER BY raw_value) AS rn FROM lines)
+        FROM customer WHERE c_custkey % 10 = 0)
     SELECT 'clients' AS table_name, filename, '_corrupt_record' AS column_name, 'RFC 4180 non-compliance' AS error_message,
-      raw_value, '000000007' AS error_no, 1 AS error_count FROM kept WHERE rn <= 1000""",
+      raw_value, '000000007' AS error_no, 1 AS error_count FROM lines""",
 )
 def rfc4180_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = judge(materialize(rfc_raw(spark, sf_dir), "raw"), RFC_TABLE, RFC_RULES)

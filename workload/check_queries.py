@@ -78,15 +78,13 @@ def judged_lineitem(spark: SparkSession, sf_dir: str) -> JudgedTable:
 
 @query(
     "sample_bad_values", "E7 G8",
-    f"""WITH {LINEITEM_SQL}, d AS (SELECT DISTINCT file, raw_value FROM bad),
-      r AS (SELECT *, row_number() OVER (PARTITION BY file ORDER BY raw_value) AS rn FROM d)
-    SELECT file AS "FILE_NAME_RECEIVED", 'l_quantity' AS column_name, string_agg(raw_value, '|' ORDER BY raw_value) AS samples,
-      string_agg(raw_value, ', ' ORDER BY raw_value) FILTER (rn <= 3) AS shown FROM r WHERE rn <= 5 GROUP BY file""",
+    f"""WITH {LINEITEM_SQL} SELECT file AS filename, raw_value, 'COLUMN REJECTED: l_quantity. Expected type: INTEGER, ' || CAST(n.bad AS VARCHAR) || ' invalid values of '
+      || CAST(n.total AS VARCHAR) || ' rows (' || printf('%.1f', n.bad / n.total::DOUBLE * 100) || '%). Value: ' || raw_value AS error_message, CAST(count(*) AS INTEGER) AS error_count
+    FROM bad JOIN n USING (file) GROUP BY file, raw_value, n.bad, n.total""",
 )
 def sample_bad_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    typed = type_columns(raw_lineitem(spark, sf_dir), LINEITEM_RULES)
-    found = err.samples(err.bad_values(typed))
-    return found.select(FILE, "column_name", F.array_join("samples", "|").alias("samples"), err.shown().alias("shown"))
+    """Every distinct bad text of a column under REJECT, with its exact number of cells."""
+    return errors_of(judged_lineitem(spark, sf_dir)).select("filename", "raw_value", "error_message", "error_count")
 
 
 @query(
@@ -120,23 +118,22 @@ def date_reject_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.select(FILE, "total_rows", "dropped_rows", "bad_o_custkey", "bad_o_totalprice")
 
 
-def errors_of(judged: JudgedTable, limit: int = err.DETAIL_LIMIT) -> DataFrame:
+def errors_of(judged: JudgedTable) -> DataFrame:
     values = materialize(err.bad_values(judged.typed), "bad-values")
-    return err.table_errors(values, judged.verdict, judged.typed, judged.rule, limit)
+    return err.table_errors(values, judged.verdict, judged.typed, judged.rule)
 
 
 DATE_ERRORS_SQL = """SELECT 'orders' AS table_name, file AS filename, 'o_orderdate' AS column_name,
       'DATE_PARSE_ERROR: Pattern ''yyyyMMdd'' does not match. Value: 20251345' AS error_message, '20251345' AS raw_value,
-      '000000005' AS error_no, 1 AS error_count FROM ({source}) s"""
+      '000000005' AS error_no, CAST(n AS INTEGER) AS error_count FROM ({source}) s"""
 
 
 @query(
-    "date_errors_logged", "E9 E4 G4",
-    f"""WITH {inp.TYPED_ORDERS}, r AS (SELECT file, row_number() OVER (PARTITION BY file) AS rn FROM typed WHERE bad_date)
-    {DATE_ERRORS_SQL.format(source='SELECT file FROM r WHERE rn <= 1000')}""",
+    "date_errors_logged", "E9 E4",
+    f"""WITH {inp.TYPED_ORDERS} {DATE_ERRORS_SQL.format(source='SELECT file, count(*) AS n FROM typed WHERE bad_date GROUP BY file')}""",
 )
 def date_errors_logged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bad dates are listed one by one, also in a nullable column under LOG_ONLY."""
+    """Bad dates are listed by text with their number, also in a nullable column under LOG_ONLY."""
     rules = inp.order_rules(
         o_orderdate={"action": "LOG_ONLY", "nullable": True}, o_custkey={"nullable": True}, o_totalprice={"nullable": True}
     )
@@ -145,12 +142,11 @@ def date_errors_logged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "reject_action", "E10",
-    f"""WITH {inp.TYPED_ORDERS}, c AS (SELECT file, count(*) AS total, count(*) FILTER (bad_price) AS bad FROM typed GROUP BY file),
-      r AS (SELECT t.file, total, bad, row_number() OVER (PARTITION BY t.file) AS rn FROM typed t JOIN c USING (file) WHERE bad_price)
+    f"""WITH {inp.TYPED_ORDERS}, c AS (SELECT file, count(*) AS total, count(*) FILTER (bad_price) AS bad FROM typed GROUP BY file)
     SELECT 'orders' AS table_name, file AS filename, 'o_totalprice' AS column_name,
       'COLUMN REJECTED: o_totalprice. Expected type: DECIMAL(15,2), ' || CAST(bad AS VARCHAR) || ' invalid values of '
-        || CAST(total AS VARCHAR) || ' rows (' || printf('%.1f', bad / total::DOUBLE * 100) || '%). Examples: abc...' AS error_message,
-      'abc' AS raw_value, '000000009' AS error_no, 1 AS error_count FROM r WHERE rn <= 1000""",
+        || CAST(total AS VARCHAR) || ' rows (' || printf('%.1f', bad / total::DOUBLE * 100) || '%). Value: abc' AS error_message,
+      'abc' AS raw_value, '000000009' AS error_no, CAST(bad AS INTEGER) AS error_count FROM c WHERE bad > 0""",
 )
 def reject_action(spark: SparkSession, sf_dir: str) -> DataFrame:
     """REJECT on a number lists its bad cells and keeps the rows, whatever their share."""
@@ -394,11 +390,10 @@ def partial_and_refused_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "partial_load_errors", "E22 E23 G5",
-    f"""WITH {EVENT_DATES_SQL}, r AS (SELECT raw.file, row_number() OVER (PARTITION BY raw.file) AS rn FROM raw JOIN c USING (file)
-        WHERE day = '2025-13-45' AND bad / total::DOUBLE <= 0.5::DOUBLE)
+    f"""WITH {EVENT_DATES_SQL}
     SELECT filename, column_name, error_message, error_no, sum(error_count)::BIGINT AS errors, count(*) AS error_rows FROM (
       SELECT file AS filename, 'day' AS column_name, 'DATE_PARSE_ERROR: Pattern ''yyyy-MM-dd'' does not match. Value: 2025-13-45' AS error_message,
-        '000000005' AS error_no, 1 AS error_count FROM r WHERE rn <= 1000
+        '000000005' AS error_no, CAST(bad AS INTEGER) AS error_count FROM c WHERE bad > 0 AND bad / total::DOUBLE <= 0.5::DOUBLE
       UNION ALL SELECT file, 'day', 'FAIL FAST - Column ''day'': RLK tolerance exceeded: ' || printf('%.2f', bad / total::DOUBLE * 100) || '% > 50.00%',
         '000000009', CAST(floor(total * (bad / total::DOUBLE)) AS INTEGER) FROM c WHERE bad / total::DOUBLE > 0.5::DOUBLE) e
     GROUP BY ALL""",
