@@ -116,27 +116,44 @@ def _low(gram: Column, units: int) -> Column:
     return gram.bitwiseAND(F.lit((1 << UNIT_BITS * units) - 1))
 
 
-def gram_counts(labelled: DataFrame) -> DataFrame:
-    """Counts of all four-character grams: ``lang``, ``gram``, ``n``, over every row of ``lang``, ``text``."""
+def gram_counts(labelled: DataFrame, languages: list[str]) -> DataFrame:
+    """Counts of all four-character grams over every row of ``lang``, ``text``: ``gram`` and a column ``n<k>`` per language."""
     counted = labelled.select("lang", "text").mapInArrow(_count, "lang string, gram bigint, n bigint")
-    return materialize(counted.groupBy("lang", "gram").agg(F.sum("n").alias("n")), "gram-counts")
+    sums = [F.sum(F.when(F.col("lang") == lang, F.col("n")).otherwise(0)).alias(f"n{k}") for k, lang in enumerate(languages)]
+    return materialize(counted.groupBy("gram").agg(*sums), "gram-counts")
 
 
-def _estimates(counts: DataFrame, lower: DataFrame | None, order: int, alphabet: int) -> tuple[DataFrame, DataFrame]:
-    """Interpolated probabilities of the seen grams of one order, and the weight each context leaves to the lower order."""
-    ones = counts.groupBy("lang").agg(F.sum((F.col("n") == 1).cast("bigint")).alias("once"), F.sum((F.col("n") == 2).cast("bigint")).alias("twice"))
-    discount = ones.select("lang", F.least(F.lit(0.95), F.greatest(F.lit(0.05), F.col("once") / (F.col("once") + 2 * F.col("twice") + F.lit(1e-9)))).alias("discount"))
+def _discounts(counts: DataFrame, size: int) -> list[float]:
+    """Absolute discount of each language from its numbers of grams seen once and twice."""
+    row = counts.agg(*(F.count_if(F.col(f"n{k}") == times).alias(f"c{k}_{times}") for k in range(size) for times in (1, 2))).first()
+    return [min(0.95, max(0.05, row[f"c{k}_1"] / (row[f"c{k}_1"] + 2 * row[f"c{k}_2"] + 1e-9))) for k in range(size)]
+
+
+def _estimates(counts: DataFrame, lower: DataFrame | None, order: int, size: int, alphabet: int) -> tuple[DataFrame, DataFrame]:
+    """Interpolated probabilities ``p<k>`` of every gram of one order under every language, and ``left<k>`` of every context.
+
+    A gram that a language lacks has its backed-off probability there, so that one
+    look-up serves all languages; a context that it lacks leaves everything to
+    the lower order.
+    """
+    discounts = _discounts(counts, size)
     keyed = counts.withColumn("context", F.shiftrightunsigned("gram", UNIT_BITS))
-    contexts = keyed.groupBy("lang", "context").agg(F.sum("n").alias("total"), F.count("*").alias("kinds")).join(discount, "lang")
-    weights = materialize(contexts.select("lang", "context", "total", "discount", (F.col("discount") * F.col("kinds") / F.col("total")).alias("left")), "contexts")
-    joined = keyed.join(weights, ["lang", "context"])
-    if lower is None:
-        below = F.lit(1.0 / alphabet)
-    else:
-        joined = joined.join(lower.select("lang", F.col("gram").alias("low"), F.col("p").alias("below")), (joined["lang"] == lower["lang"]) & (_low(F.col("gram"), order - 1) == F.col("low"))).drop(lower["lang"])
-        below = F.col("below")
-    p = (F.col("n") - F.col("discount")) / F.col("total") + F.col("left") * below
-    return materialize(joined.select("lang", "gram", "n", p.alias("p")), "gram-estimates"), weights
+    totals = keyed.groupBy("context").agg(
+        *(F.sum(f"n{k}").alias(f"t{k}") for k in range(size)), *(F.count_if(F.col(f"n{k}") > 0).alias(f"kinds{k}") for k in range(size))
+    )
+    left = [F.when(F.col(f"t{k}") > 0, d * F.col(f"kinds{k}") / F.col(f"t{k}")).otherwise(1.0).alias(f"left{k}") for k, d in enumerate(discounts)]
+    contexts = materialize(totals.select("context", *(f"t{k}" for k in range(size)), *left), "contexts")
+    joined = keyed.join(contexts, "context")
+    if lower is not None:
+        below = lower.select(F.col("gram").alias("low"), *(F.col(f"p{k}").alias(f"below{k}") for k in range(size)))
+        joined = joined.withColumn("low", _low(F.col("gram"), order - 1)).join(below, "low")
+
+    def estimate(k: int) -> Column:
+        under = F.lit(1.0 / alphabet) if lower is None else F.col(f"below{k}")
+        seen = F.greatest(F.col(f"n{k}") - discounts[k], F.lit(0.0)) / F.greatest(F.col(f"t{k}"), F.lit(1))
+        return (seen + F.col(f"left{k}") * under).alias(f"p{k}")
+
+    return materialize(joined.select("gram", *(f"n{k}" for k in range(size)), *map(estimate, range(size))), "gram-estimates"), contexts
 
 
 @dataclass
@@ -165,13 +182,14 @@ def _mix(grams: np.ndarray, order: int) -> np.ndarray:
     return (value >> np.uint64(32)).astype(np.uint32)
 
 
-def _table(rows: DataFrame, languages: list[str], order: int) -> Table:
-    """Collect the densest gram of each slot: at most 2**SLOT_BITS rows whatever the corpus."""
-    slotted = rows.withColumn("slot", F.pmod(F.xxhash64("gram"), F.lit(1 << SLOT_BITS)))
-    best = slotted.groupBy("slot").agg(F.max_by(F.struct("gram", "value"), F.col("n")).alias("best")).select("best.gram", "best.value")
-    found = best.toArrow()
+def _table(rows: DataFrame, key: str, weight: str, value: str, size: int, order: int) -> Table:
+    """Collect the commonest gram of each slot with the logs of its values: at most 2**SLOT_BITS rows whatever the corpus."""
+    weights = sum((F.col(f"{weight}{k}") for k in range(1, size)), F.col(f"{weight}0"))
+    entry = F.struct(F.col(key).alias("gram"), F.array(*(F.log(f"{value}{k}").cast("float") for k in range(size))).alias("value"))
+    slots = rows.groupBy(F.pmod(F.xxhash64(key), F.lit(1 << SLOT_BITS)).alias("slot")).agg(F.max_by(entry, weights).alias("best"))
+    found = slots.select("best.gram", "best.value").toArrow()
     grams = found.column("gram").to_numpy().view(np.uint64) if found.num_rows else np.zeros(0, np.uint64)
-    values = np.array(found.column("value").to_pylist(), np.float32).reshape(-1, len(languages))
+    values = np.array(found.column("value").to_pylist(), np.float32).reshape(-1, size)
     hashes = _mix(grams, order)
     order_of = np.argsort(hashes, kind="stable")
     hashes, values = hashes[order_of], values[order_of]
@@ -252,37 +270,21 @@ def train(labelled: DataFrame, calibration_rows: int = CALIBRATION_ROWS) -> Mode
     is calibrated on ``calibration_rows`` rows, those of the smallest hash of the id.
     """
     labelled = labelled.where("lang is not null and text is not null")
-    counts = gram_counts(labelled)
-    languages = sorted(r[0] for r in counts.select("lang").distinct().collect())
+    languages = sorted(r[0] for r in labelled.select("lang").distinct().collect())
     if not languages:
         return None
-    orders = [counts]
+    size = len(languages)
+    orders = [gram_counts(labelled, languages)]
     for order in range(ORDER - 1, 0, -1):
-        kinds = orders[0].select("lang", _low(F.col("gram"), order).alias("gram"))
-        orders.insert(0, kinds.groupBy("lang", "gram").agg(F.count("*").alias("n")))
-    alphabet = max(2, orders[0].select("gram").distinct().count() + 1)
-    grams, contexts, lower, below = [], [], None, None
+        kinds = orders[0].withColumn("gram", _low(F.col("gram"), order)).groupBy("gram")
+        orders.insert(0, materialize(kinds.agg(*(F.count_if(F.col(f"n{k}") > 0).alias(f"n{k}") for k in range(size))), "gram-kinds"))
+    alphabet = max(2, orders[0].count() + 1)
+    grams, contexts, lower = [], [], None
     for order in range(1, ORDER + 1):
-        seen, weights = _estimates(orders[order - 1], lower, order, alphabet)
-        every = seen.groupBy("gram").agg(F.sum("n").alias("n")).select("gram", "n", F.explode(F.array(*map(F.lit, languages))).alias("lang"))
-        full = every.join(seen.select("lang", "gram", "p"), ["lang", "gram"], "left")
-        left = weights.select("lang", "context", F.col("left"))
-        full = full.withColumn("context", F.shiftrightunsigned("gram", UNIT_BITS)).join(left, ["lang", "context"], "left")
-        if below is None:
-            backed = F.coalesce("left", F.lit(1.0)) / alphabet
-        else:
-            full = full.withColumn("low", _low(F.col("gram"), order - 1)).join(below, ["lang", "low"], "left")
-            backed = F.coalesce("left", F.lit(1.0)) * F.coalesce("q", F.lit(1.0 / alphabet))
-        full = materialize(full.select("lang", "gram", "n", F.coalesce("p", backed).alias("q")), "gram-all-languages")
-        below, lower = full.select("lang", F.col("gram").alias("low"), "q"), seen
-        by_language = F.transform(F.array_sort(F.collect_list(F.struct("lang", F.log("q").alias("log")))), lambda x: x["log"])
-        grams.append(_table(full.groupBy("gram").agg(F.max("n").alias("n"), by_language.alias("value")), languages, order))
-        spread_out = weights.groupBy("context").agg(F.sum("total").alias("n")).select("context", "n", F.explode(F.array(*map(F.lit, languages))).alias("lang"))
-        logs = spread_out.join(left, ["lang", "context"], "left").withColumn("left", F.coalesce("left", F.lit(1.0)))
-        by_language = F.transform(F.array_sort(F.collect_list(F.struct("lang", F.log("left").alias("log")))), lambda x: x["log"])
-        contexts.append(_table(logs.groupBy(F.col("context").alias("gram")).agg(F.max("n").alias("n"), by_language.alias("value")), languages, order))
-    count = len(languages)
-    model = Model(languages, grams, contexts, -float(np.log(alphabet)), np.zeros(count), np.ones(count), 1.0, 0.0)
+        lower, weights = _estimates(orders[order - 1], lower, order, size, alphabet)
+        grams.append(_table(lower, "gram", "n", "p", size, order))
+        contexts.append(_table(weights, "context", "t", "left", size, order))
+    model = Model(languages, grams, contexts, -float(np.log(alphabet)), np.zeros(size), np.ones(size), 1.0, 0.0)
     _calibrate(model, labelled, calibration_rows)
     return model
 
