@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.names import DIFFERENT, EXTRA, FAILED, IDENTICAL, MISSING, PASSED, REGRESSION, SKIPPED, SUCCESS, col
+from millrace.session import materialize
 
 ROWS = "*"
 ROW_COUNT_PERCENT = 5.0
@@ -115,17 +116,39 @@ def row_balance(actual: DataFrame, baseline: DataFrame, keys: Sequence[str], col
     )
 
 
+def row_digest(df: DataFrame, columns: Sequence[str]) -> Column:
+    """SHA-256 of a row: NULLs and the length of each value are part of it, so that different rows never look alike."""
+    kinds = dict(df.dtypes)
+    parts = []
+    for c in columns:
+        value = col(c) + F.lit(0).cast(kinds[c]) if kinds[c] in ("float", "double") else F.hex(c) if kinds[c] == "binary" else col(c)
+        text = value.cast("string")
+        parts.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("N")))
+    return F.sha2(F.concat_ws("|", *parts), 256) if parts else F.lit("")
+
+
+def key_balance(actual: DataFrame, baseline: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Rows per key on both sides and whether they differ; only keys and row digests are shuffled."""
+    rest = [c for c in columns if c not in set(keys)]
+    digest = "__digest"
+    sides = [df.select(*(col(k) for k in keys), row_digest(df, rest).alias(digest)) for df in (actual, baseline)]
+    if [dict(actual.dtypes)[c] for c in rest] != [dict(baseline.dtypes)[c] for c in rest]:
+        balance = row_balance(actual, baseline, keys, columns)  # types differ: let Spark find the common ones
+    else:
+        balance = row_balance(*sides, keys, [digest])
+    return balance.groupBy(*(col(k) for k in keys)).agg(
+        F.sum("in_actual").alias("actual_rows"),
+        F.sum("in_baseline").alias("baseline_rows"),
+        F.max(F.col("in_actual") != F.col("in_baseline")).alias("__differs"),
+    )
+
+
 def compare_rows(
     actual: DataFrame, baseline: DataFrame, keys: Sequence[str], columns: Sequence[str] | None = None
 ) -> DataFrame:
     """Status of every key: missing, extra, identical or different."""
     compared = list(columns) if columns is not None else common_columns(actual, baseline)
-    balance = row_balance(actual, baseline, keys, compared)
-    per_key = balance.groupBy(*(col(k) for k in keys)).agg(
-        F.sum("in_actual").alias("actual_rows"),
-        F.sum("in_baseline").alias("baseline_rows"),
-        F.max(F.col("in_actual") != F.col("in_baseline")).alias("__differs"),
-    )
+    per_key = key_balance(actual, baseline, keys, compared)
     status = (
         F.when(F.col("actual_rows") == 0, MISSING)
         .when(F.col("baseline_rows") == 0, EXTRA)
@@ -140,11 +163,18 @@ def match_rates(
 ) -> DataFrame:
     """Share of baseline rows whose key holds an equal value, per column.
 
-    Rows equal as a whole match in every column and are only counted; just the
-    rest is compared column by column.
+    Digests tell which keys differ at all; rows of the others match in every
+    column and are only counted. Full rows move for differing keys alone, and of
+    these, rows equal as a whole are counted and just the rest is compared
+    column by column.
     """
     columns = list(tolerances)
-    balance = row_balance(actual, baseline, keys, columns)
+    per_key = materialize(key_balance(actual, baseline, keys, columns), "key-balance")
+    differing = materialize(per_key.filter("__differs").select(*(col(k).alias(f"__at_{k}") for k in keys)), "differing-keys")
+    at = [col(k).eqNullSafe(col(f"__at_{k}")) for k in keys]
+    actual, baseline = (df.join(differing, at, "left_semi") for df in (actual, baseline))
+    equal = F.lit(per_key.filter("not __differs").agg(F.coalesce(F.sum("baseline_rows"), F.lit(0))).first()[0])
+    balance = materialize(row_balance(actual, baseline, keys, columns), "row-balance")
     same = F.least("in_actual", "in_baseline")
     rest = balance.withColumns({"__a": F.col("in_actual") - same, "__b": F.col("in_baseline") - same}).filter(
         (F.col("__a") > 0) | (F.col("__b") > 0)
@@ -161,8 +191,8 @@ def match_rates(
     )
     names = F.array(*(F.lit(c) for c in columns))
     whole = (
-        balance.agg(F.sum(same).alias("matched"), F.sum("in_baseline").alias("baseline_rows"))
-        .select(F.explode(names).alias("column_name"), "matched", "baseline_rows")
+        balance.agg(F.coalesce(F.sum(same), F.lit(0)).alias("matched"), F.coalesce(F.sum("in_baseline"), F.lit(0)).alias("baseline_rows"))
+        .select(F.explode(names).alias("column_name"), (F.col("matched") + equal).alias("matched"), (F.col("baseline_rows") + equal).alias("baseline_rows"))
     )
     limit = F.coalesce(*(F.when(F.col("column_name") == c, F.lit(float(t))) for c, t in tolerances.items()))
     summed = whole.unionByName(partly).groupBy("column_name").agg(

@@ -7,42 +7,35 @@ are spread over all tasks.
 
 from __future__ import annotations
 
+import csv
 import io
 import zipfile
 import zlib
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.names import CORRUPT
-from millrace.sources.files import CSV_OPTIONS
+from millrace.sources.files import bind_by_name
+from millrace.sources.storage import open_file
 
 MEMBER_SCHEMA = "archive string, member string, size bigint, error string"
-LINE_SCHEMA = "archive string, member string, line_no bigint, line string"
+RECORD_SCHEMA = "archive string, member string, line_no bigint, line string, header string, error string"
 MEMBERS = pa.schema([("archive", pa.string()), ("member", pa.string()), ("size", pa.int64()), ("error", pa.string())])
-LINES = pa.schema([("archive", pa.string()), ("member", pa.string()), ("line_no", pa.int64()), ("line", pa.string())])
+RECORDS = pa.schema([
+    ("archive", pa.string()), ("member", pa.string()), ("line_no", pa.int64()), ("line", pa.string()), ("header", pa.string()), ("error", pa.string()),
+])
 BATCH_LINES = 5000
 BATCH_CHARACTERS = 4 << 20
-READ_BYTES = 1 << 20
+#: A quoted field that is still open after so many characters was never meant to be quoted.
+RECORD_CHARACTERS = 1 << 24
+DAMAGE = (zipfile.BadZipFile, zlib.error, OSError, EOFError, NotImplementedError, RuntimeError, ValueError)
 
 CORRUPT_ARCHIVE = "corrupt or invalid archive"
 ARCHIVE_NOT_FOUND = "archive not found: file does not exist"
 
 
-def open_file(path: str):
-    """Seekable reader for a local or shared-folder path."""
-    if path.startswith("file:"):
-        return open("/" + path[len("file:"):].lstrip("/"), "rb")
-    if "://" not in path:
-        return open(path, "rb")
-    from pyarrow import fs
-
-    system, name = fs.FileSystem.from_uri(path)
-    return system.open_input_file(name)
-
-
 def archives(spark: SparkSession, path: str) -> DataFrame:
     """Paths of the archives in a folder; contents are not read."""
     found = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").option("recursiveFileLookup", True).load(path)
@@ -73,72 +66,91 @@ def _list_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             yield _batch(MEMBERS, rows)
 
 
-def _member_error(archive: str, member: str) -> str | None:
-    """Read the member to its end against its checksum, keeping nothing."""
-    try:
-        with open_file(archive) as source, zipfile.ZipFile(source) as bundle, bundle.open(member) as data:
-            while data.read(READ_BYTES):
-                pass
-    except (zipfile.BadZipFile, zlib.error, OSError, EOFError, NotImplementedError, RuntimeError):
-        return CORRUPT_ARCHIVE
-    return None
-
-
-def _check_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        rows = [
-            (r["archive"], r["member"], r["size"], r["error"] or _member_error(r["archive"], r["member"]))
-            for r in batch.to_pylist()
-        ]
-        yield _batch(MEMBERS, rows)
-
-
-def _read_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _still_quoted(line: str, quoted: bool, delimiter: str) -> bool:
+    """Whether a quoted field is open after the line. A quote opens one only where a field begins."""
+    if '"' not in line:
+        return quoted
+    begins, last = not quoted, ""
+    for c in line:
+        if quoted:
+            quoted = c != '"'
+            begins = False
+        elif c == '"' and begins:
+            quoted, begins = True, False
+        elif c == '"' and not begins and last == '"':
+            quoted = True  # a doubled quote inside a quoted field
+        else:
+            begins = c == delimiter
+        last = c
+    return quoted
+
+
+def records_of(lines: Iterable[str], delimiter: str = ",") -> Iterator[str]:
+    """Physical lines joined to records: a line break inside a quoted field belongs to the field."""
+    held: list[str] = []
+    size, quoted = 0, False
+    for line in lines:
+        text = line.rstrip("\r\n")
+        quoted = _still_quoted(text, quoted, delimiter)
+        held.append(text)
+        size += len(text)
+        if quoted and size > RECORD_CHARACTERS:
+            yield from held
+        elif not quoted:
+            yield "\n".join(held)
+        else:
+            continue
+        held, size, quoted = [], 0, False
+    yield from held
+
+
+def _read_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All records of each member, in one reading that also checks it; then a last row with the error, if any."""
     for batch in batches:
         for row in batch.to_pylist():
-            archive, member = row["archive"], row["member"]
-            with open_file(archive) as source, zipfile.ZipFile(source) as bundle, bundle.open(member) as data:
-                rows, size = [], 0
-                text = io.TextIOWrapper(data, encoding="utf-8-sig", errors="replace")
-                for number, line in enumerate(text, 1):
-                    rows.append((archive, member, number, line.rstrip("\r\n")))
-                    size += len(line)
-                    if len(rows) >= BATCH_LINES or size >= BATCH_CHARACTERS:
-                        yield _batch(LINES, rows)
-                        rows, size = [], 0
-                if rows:
-                    yield _batch(LINES, rows)
-
-
-def archive_members(paths: DataFrame) -> DataFrame:
-    """Members of the archives with an error where an archive is missing or damaged.
-
-    Every member is read once against its checksum before anything is loaded.
+            archive, member, error, header = row["archive"], row["member"], row["error"], None
+            rows, size = [], 0
+            if error is None:
+                try:
+                    with open_file(archive) as source, zipfile.ZipFile(source) as bundle, bundle.open(member) as data:
+                        text = io.TextIOWrapper(data, encoding="utf-8-sig", errors="replace")
+                        for number, record in enumerate(records_of(text), 1):
+                            header = record if number == 1 else header
+                            rows.append((archive, member, number, record, header, None))
+                            size += len(record) + len(header)
+                            if len(rows) >= BATCH_LINES or size >= BATCH_CHARACTERS:
+                                yield _batch(RECORDS, rows)
+                                rows, size = [], 0
+                except DAMAGE:
+                    error = CORRUPT_ARCHIVE
+            yield _batch(RECORDS, [*rows, (archive, member, 0, None, header, error)])
+
+
+def expand_archives(paths: DataFrame) -> DataFrame:
+    """Records of all members, each member read once; row 0 of a member holds its error or none.
+
+    Write the result before it is used: the rows of a damaged archive are known
+    only when all its members have been read.
     """
     listed = _spread(paths.select("archive").distinct(), "archive").mapInArrow(_list_members, MEMBER_SCHEMA)
-    return _spread(listed, "archive", "member").mapInArrow(_check_members, MEMBER_SCHEMA)
-
-
-def sound_members(members: DataFrame) -> DataFrame:
-    """Members of archives without any error; a damaged archive gives nothing."""
-    damaged = members.filter(F.col("error").isNotNull()).select("archive").distinct()
-    return members.filter(F.col("error").isNull()).join(damaged, "archive", "left_anti")
+    return _spread(listed, "archive", "member").mapInArrow(_read_records, RECORD_SCHEMA)
 
 
-def archive_errors(members: DataFrame) -> DataFrame:
+def expanded_errors(expanded: DataFrame) -> DataFrame:
     """One row per damaged or missing archive."""
-    return members.filter(F.col("error").isNotNull()).groupBy("archive").agg(F.min("error").alias("error"))
+    return expanded.filter(F.col("error").isNotNull()).groupBy("archive").agg(F.min("error").alias("error"))
 
 
-def member_lines(members: DataFrame) -> DataFrame:
-    """Numbered text lines of the given members."""
-    return _spread(members.select("archive", "member"), "archive", "member").mapInArrow(_read_lines, LINE_SCHEMA)
+def sound_records(expanded: DataFrame) -> DataFrame:
+    """Records of archives without any error; a damaged archive gives nothing."""
+    return expanded.filter("line_no > 0").join(expanded_errors(expanded).select("archive"), "archive", "left_anti")
 
 
-def lines_as_csv(lines: DataFrame, columns: Sequence[str], *, header: bool = True, delimiter: str = ",") -> DataFrame:
-    """Raw rows of CSV lines: the member as ``path``, text columns and the corrupt column."""
-    schema = ", ".join(f"`{c}` string" for c in [*columns, CORRUPT])
-    data = lines.filter((F.col("line_no") > (1 if header else 0)) & (F.trim("line") != ""))
-    options = {k: v for k, v in CSV_OPTIONS.items() if k != "columnPruning"}
-    fields = F.from_csv(F.col("line"), schema, {**options, "sep": delimiter})
-    return data.select(F.col("member").alias("path"), fields.alias("f")).select("path", "f.*")
+def records_as_csv(records: DataFrame, columns: Sequence[str], *, header: bool = True, delimiter: str = ",") -> DataFrame:
+    """Raw rows of CSV records: the member as ``path``, text columns bound by header name and the corrupt column."""
+    named = records.withColumnRenamed("member", "path").filter(F.trim("line") != "")
+    if not header:
+        return bind_by_name(named, [(None, list(columns))], columns, delimiter)
+    data = named.filter("line_no > 1")
+    headers = [r.header for r in records.filter("line_no = 1").select("header").distinct().collect()]
+    return bind_by_name(data, [(h, next(csv.reader([h], delimiter=delimiter), [])) for h in headers], columns, delimiter)

@@ -2,16 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import csv
+import io
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions import filenames
 from millrace.names import CORRUPT, FAILED, FILE, FILE_DATE, PROCESSED_AT
+from millrace.sources.storage import open_file
+
+#: A header is expected within so many bytes.
+HEADER_BYTES = 1 << 20
 
 # Quoting of RFC 4180: a quote inside a quoted field is written twice.
 CSV_OPTIONS = {
@@ -47,12 +54,16 @@ def with_file_metadata(
 
 
 def read_csv(
-    spark: SparkSession, path: str | list[str], columns: Sequence[str], *, header: bool = True, delimiter: str = ","
+    spark: SparkSession, path: str | list[str], columns: Sequence[str], *, header: bool = True, delimiter: str = ",", multi_line: bool = True
 ) -> DataFrame:
-    """All-text rows; a line with the wrong number of fields keeps its text in the corrupt column."""
+    """All-text rows bound by position; a record with the wrong number of fields keeps its text in the corrupt column.
+
+    A quoted field may hold line breaks, so one task reads a file; ``multi_line``
+    off splits large files that are known to have none.
+    """
     raw = (
         spark.read.schema(text_schema(columns))
-        .options(**CSV_OPTIONS, header=header, sep=delimiter, enforceSchema=True)
+        .options(**CSV_OPTIONS, header=header, sep=delimiter, enforceSchema=True, multiLine=multi_line)
         .csv(path)
     )
     # Spark refuses a query that needs nothing but the corrupt column. Tying it to a
@@ -61,6 +72,82 @@ def read_csv(
     return raw.withColumn(CORRUPT, F.when(F.coalesce(F.col(CORRUPT) != other, F.lit(True)), F.col(CORRUPT)))
 
 
+def _first_records(delimiter: str):
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            paths, headers = batch.column("path").to_pylist(), []
+            for path in paths:
+                with open_file(path) as file:
+                    text = file.read(HEADER_BYTES).decode("utf-8-sig", errors="replace")
+                headers.append(next(csv.reader(io.StringIO(text, newline=""), delimiter=delimiter), []))
+            yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(headers, pa.list_(pa.string()))], ["path", "header"])
+
+    return read
+
+
+def file_headers(spark: SparkSession, path: str, delimiter: str = ",") -> DataFrame:
+    """``path`` and ``header`` (column names) of each CSV file; tasks read the first record alone."""
+    files = spark.read.format("binaryFile").load(path).select("path")
+    return files.mapInArrow(_first_records(delimiter), "path string, header array<string>")
+
+
+def _places(header: Sequence[str], columns: Sequence[str]) -> dict[str, int]:
+    """Where each wanted column stands; names match without regard to case and outer blanks, the first of equal ones."""
+    names: dict[str, int] = {}
+    for place, name in enumerate(header):
+        names.setdefault(name.strip().lower(), place)
+    return {c: names[c.lower()] for c in columns if c.lower() in names}
+
+
+def _by_place(fields: Column, header: Sequence[str], columns: Sequence[str]) -> list[Column]:
+    places = _places(header, columns)
+    return [(fields[f"_{places[c]}"] if c in places else F.lit(None).cast("string")).alias(c) for c in columns]
+
+
+def bind_by_name(lines: DataFrame, headers: Sequence[tuple], columns: Sequence[str], delimiter: str = ",") -> DataFrame:
+    """Rows of ``path``, ``line`` (and ``header``) parsed by the header they came with: ``path``, the columns, the corrupt column.
+
+    ``headers``: the header line (None for all rows) and its names. There are as many as kinds of files.
+    """
+    options = {**{k: v for k, v in CSV_OPTIONS.items() if k != "columnPruning"}, "sep": delimiter, "multiLine": "true"}
+    frames = []
+    for line, names in headers or [(None, list(columns))]:
+        mine = lines if line is None else lines.filter(F.col("header") == line)
+        schema = ", ".join([*(f"`_{n}` string" for n in range(len(names))), f"`{CORRUPT}` string"])
+        parsed = mine.select("path", F.from_csv(F.col("line"), schema, options).alias("f"))
+        frames.append(parsed.select("path", *_by_place(F.col("f"), names, columns), F.col("f")[CORRUPT].alias(CORRUPT)))
+    result = frames[0]
+    for frame in frames[1:]:
+        result = result.unionByName(frame)
+    return result
+
+
+def read_csv_by_name(spark: SparkSession, path: str, columns: Sequence[str], *, delimiter: str = ",", multi_line: bool = True) -> DataFrame:
+    """Raw rows of CSV files with headers, bound by column name: ``path``, the columns, the corrupt column.
+
+    Files are grouped by header, one read per kind. A column that a file lacks is
+    NULL in its rows, see :func:`missing_by_file`; one that nobody asked for is dropped.
+    """
+    kinds = file_headers(spark, path, delimiter).groupBy("header").agg(F.collect_list("path").alias("paths")).collect()
+    frames = []
+    for kind in kinds:
+        names = [f"_{n}" for n in range(len(kind.header))]
+        rows = read_csv(spark, list(kind.paths), names or ["_0"], delimiter=delimiter, multi_line=multi_line)
+        fields = F.struct(*(F.col(n) for n in names)) if names else F.lit(None).cast("struct<_0:string>")
+        frames.append(rows.select(F.col("_metadata.file_path").alias("path"), *_by_place(fields, kind.header, columns), F.col(CORRUPT)))
+    result = frames[0] if frames else spark.createDataFrame([], T.StructType([T.StructField("path", T.StringType()), *text_schema(columns)]))
+    for frame in frames[1:]:
+        result = result.unionByName(frame)
+    return result
+
+
+def missing_by_file(headers: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``path`` and ``column_name`` of each column that a file's header lacks."""
+    names = F.transform("header", lambda h: F.lower(F.trim(h)))
+    wanted = F.explode(F.array(*(F.lit(c) for c in columns)).cast("array<string>")).alias("column_name")
+    return headers.select("path", names.alias("names"), wanted).filter(~F.array_contains("names", F.lower("column_name"))).select("path", "column_name")
+
+
 def read_json(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
     return (
         spark.read.schema(text_schema(columns))

@@ -37,7 +37,7 @@ def file_stream(
         schema = spark.read.format(fmt).option("pathGlobFilter", names).load(path).schema
     reader = spark.readStream.format(fmt).schema(schema).option("pathGlobFilter", names)
     if fmt == "csv":
-        reader = reader.options(**CSV_OPTIONS, header=header)
+        reader = reader.options(**CSV_OPTIONS, header=header, multiLine=True)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return with_file_metadata(reader.load(path), F.col("_metadata.file_path"), run_ts, (fmt,))

@@ -43,7 +43,7 @@ def test_file_dates(one):
 
 
 def test_received_name(one):
-    got = one([("dbfs:/a/b/data_20251108.csv",), ("/x/y.parquet",)], "name string",
+    got = one([("file:/a/b/data_20251108.csv",), ("/x/y.parquet",)], "name string",
               filenames.received_name(F.col("name")), filenames.received_name(F.col("name"), ("csv", "parquet")))
     assert got == [("data_20251108", "data_20251108"), ("", "y")]
 

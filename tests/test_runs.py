@@ -189,11 +189,11 @@ def test_archives(spark, tmp_path):
     good = (tmp_path / "five.zip").read_bytes()
     (tmp_path / "cut.zip").write_bytes(good[: len(good) // 2])
     paths = [f"{tmp_path}/{n}.zip" for n in ("five", "broken", "cut", "nowhere")]
-    members = arc.archive_members(spark.createDataFrame([(p,) for p in paths], "archive string"))
-    errors = {os.path.basename(r.archive): r.error for r in arc.archive_errors(members).collect()}
+    expanded = arc.expand_archives(spark.createDataFrame([(p,) for p in paths], "archive string"))
+    errors = {os.path.basename(r.archive): r.error for r in arc.expanded_errors(expanded).collect()}
     assert set(errors) == {"broken.zip", "cut.zip", "nowhere.zip"}
     assert "not found" in errors["nowhere.zip"] and "corrupt" in errors["broken.zip"]
-    rows = arc.lines_as_csv(arc.member_lines(arc.sound_members(members)), ["a", "b"])
+    rows = arc.records_as_csv(arc.sound_records(expanded), ["b", "a"])
     tables = rows.withColumn("t", src.table_of_file(F.col("path"))).groupBy("t").count().collect()
     assert sorted(tables) == [(f"t{i}", 100) for i in range(5)]
 

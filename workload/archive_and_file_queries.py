@@ -21,6 +21,7 @@ from millrace.session import fresh_dir, materialize
 from millrace.sources import archives as arc
 from millrace.sources import files as src
 from millrace.sources.rule_tables import normalize_column_rules, normalize_table_rules, rule_errors
+from millrace.sources.storage import create_file
 from millrace.streaming.loader import file_stream, load_new_files, process_new_files
 from workload import inputs as inp
 from workload.registry import query
@@ -46,8 +47,8 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def archive_expansion(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = fresh_dir(spark, "archives")
     inp.write_archives(order_lines(spark, sf_dir), folder)
-    members = materialize(arc.archive_members(arc.archives(spark, folder)), "members")
-    rows = arc.lines_as_csv(arc.member_lines(arc.sound_members(members)), inp.ORDER_COLUMNS, header=False)
+    expanded = materialize(arc.expand_archives(arc.archives(spark, folder)), "expanded")
+    rows = arc.records_as_csv(arc.sound_records(expanded), inp.ORDER_COLUMNS, header=False)
     named = rows.withColumn(FILE, filenames.received_name(F.col("path")))
     return named.groupBy(FILE).agg(
         F.count(F.lit(1)).alias("row_count"),
@@ -74,9 +75,8 @@ def damaged_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
                 with arc.open_file(path) as whole:
                     content = whole.read()
                 target = f"{folder}/damaged/{os.path.basename(path)}"
-                os.makedirs(os.path.dirname(target), exist_ok=True)
                 middle = len(content) // 2
-                with open(target, "wb") as broken:
+                with create_file(target) as broken:
                     broken.write(content[:middle] + bytes(64) + content[middle + 64:])
                 paths.append(target)
             yield pa.RecordBatch.from_pydict({"archive": pa.array(paths, pa.string())})
@@ -84,9 +84,9 @@ def damaged_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     sound = materialize(arc.archives(spark, folder), "sound")
     damaged = materialize(sound.mapInArrow(damage, "archive string"), "damaged")
     absent = sound.select(F.concat("archive", F.lit(".gone")).alias("archive"))
-    members = materialize(arc.archive_members(sound.unionByName(damaged).unionByName(absent)), "members")
-    lines = arc.member_lines(arc.sound_members(members)).groupBy("archive").agg(F.count(F.lit(1)).alias("n"))
-    failed = arc.archive_errors(members).select(F.col("error").alias("kind"), F.lit(0).cast("bigint").alias("n"))
+    expanded = materialize(arc.expand_archives(sound.unionByName(damaged).unionByName(absent)), "expanded")
+    lines = arc.sound_records(expanded).groupBy("archive").agg(F.count(F.lit(1)).alias("n"))
+    failed = arc.expanded_errors(expanded).select(F.col("error").alias("kind"), F.lit(0).cast("bigint").alias("n"))
     return (
         lines.select(F.lit("sound").alias("kind"), "n").unionByName(failed)
         .groupBy("kind").agg(F.count(F.lit(1)).alias("archives"), F.sum("n").alias("line_count"))
@@ -169,14 +169,36 @@ def direct_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("supplier_20250101_000000").alias("file"), F.col("s_suppkey").cast("string").alias("key"), F.col("s_name").alias("name")
     )
     inp.write_named_files(customer.unionByName(supplier), "file", folder, "csv", header=True)
-    raw = src.read_csv(spark, f"{folder}/*.csv", ["key", "name"])
-    named = src.with_file_metadata(raw, F.col("_metadata.file_path"), inp.RUN_TS)
+    raw = src.read_csv_by_name(spark, f"{folder}/*.csv", ["key", "name"])
+    named = src.with_file_metadata(raw, F.col("path"), inp.RUN_TS).drop("path")
     named.withColumn("table_name", src.table_of_file(F.col(FILE))).write.partitionBy("table_name").parquet(target)
     return spark.read.parquet(target).groupBy("table_name").agg(
         F.count(F.lit(1)).alias("row_count"), F.sum(F.col("key").cast("bigint")).alias("key_sum")
     )
 
 
+@query(
+    "headers_by_name", "A6 D1",
+    """SELECT 'customer_' || (c_custkey % 3) AS kind, count(*) AS row_count, sum(c_custkey)::BIGINT AS key_sum,
+      count(*) FILTER (c_custkey % 3 <> 2) AS names, max(CASE WHEN c_custkey % 3 <> 2 THEN c_name END) AS last_name,
+      CASE WHEN c_custkey % 3 = 2 THEN 'name' END AS missing FROM customer GROUP BY c_custkey % 3""",
+)
+def headers_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files whose headers are in order, reordered and short: values go by name, a missing column is reported per file."""
+    folder = fresh_dir(spark, "headers")
+    rows = inp.table(spark, sf_dir, "customer").select((F.col("c_custkey") % 3).alias("kind"), F.col("c_custkey").cast("string").alias("key"), F.col("c_name").alias("name"))
+    for kind, columns in enumerate((["key", "name"], ["name", "key"], ["key"])):
+        mine = rows.filter(F.col("kind") == kind).select(F.lit(f"customer_{kind}").alias("file"), *columns)
+        inp.write_named_files(mine, "file", f"{folder}/{kind}", "csv", header=True)
+    wanted = ["key", "name"]
+    kind = filenames.received_name(F.col("path")).alias("kind")
+    read = src.read_csv_by_name(spark, f"{folder}/*/*.csv", wanted).groupBy(kind).agg(
+        F.count(F.lit(1)).alias("row_count"), F.sum(F.col("key").cast("bigint")).alias("key_sum"), F.count("name").alias("names"), F.max("name").alias("last_name")
+    )
+    missing = src.missing_by_file(src.file_headers(spark, f"{folder}/*/*.csv"), wanted).select(kind, F.col("column_name").alias("missing"))
+    return read.join(missing, "kind", "left")
+
+
 @query(
     "flat_file_inventory", "A7",
     """WITH kinds AS (SELECT source, 'doc_' || source || CASE CAST(substr(source, 4) AS INTEGER) % 3
@@ -210,11 +232,12 @@ RFC_FILES = "'clients_20250101_' || lpad(CAST(c_nationkey % 5 AS VARCHAR), 6, '0
 
 
 def rfc_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers as CSV lines: every tenth label holds a bare delimiter, every tenth a quoted one."""
+    """Customers as CSV lines: every tenth label holds a bare delimiter, every tenth a quoted one, every tenth a quoted line break."""
     key = F.col("c_custkey")
     label = (
         F.when(key % 10 == 0, F.concat("c_name", F.lit(","), "c_mktsegment"))
         .when(key % 10 == 1, F.concat(F.lit('"'), "c_name", F.lit(","), "c_mktsegment", F.lit('"')))
+        .when(key % 10 == 2, F.concat(F.lit('"'), "c_name", F.lit("\n"), "c_mktsegment", F.lit('"')))
         .otherwise(F.col("c_name"))
     )
     name = F.concat(F.lit("clients_20250101_"), F.lpad((F.col("c_nationkey") % 5).cast("string"), 6, "0"))
@@ -356,19 +379,20 @@ def source_file_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     UNION ALL SELECT 'supplier', count(*), sum(s_suppkey)::BIGINT FROM supplier""",
 )
 def many_tables_at_once(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Five tables in one archive, expanded and written as five tables by one job."""
+    """Five tables in archives that hold a share of each, expanded and written as five tables by one job."""
+    batches = max(2, inp.table(spark, sf_dir, "customer").count() // 500)
     sources = {"nation": "n_nationkey", "region": "r_regionkey", "part": "p_partkey", "customer": "c_custkey", "supplier": "s_suppkey"}
     lines = None
     for name, key in sources.items():
         rows = inp.table(spark, sf_dir, name).select(
-            F.lit("batch.zip").alias("archive"), F.lit(f"{name}_20250101_000000.csv").alias("member"),
+            F.concat(F.lit("batch"), F.pmod(F.col(key), F.lit(batches)).cast("string"), F.lit(".zip")).alias("archive"), F.lit(f"{name}_20250101_000000.csv").alias("member"),
             F.concat(F.col(key).cast("string"), F.lit(","), F.col(f"{name[0]}_name")).alias("line"),
         )
         lines = rows if lines is None else lines.unionByName(rows)
     folder, target = fresh_dir(spark, "archives"), fresh_dir(spark, "tables")
     inp.write_archives(lines, folder)
-    members = materialize(arc.archive_members(arc.archives(spark, folder)), "members")
-    rows = arc.lines_as_csv(arc.member_lines(arc.sound_members(members)), ["key", "name"], header=False)
+    expanded = materialize(arc.expand_archives(arc.archives(spark, folder)), "expanded")
+    rows = arc.records_as_csv(arc.sound_records(expanded), ["key", "name"], header=False)
     named = src.with_file_metadata(rows, F.col("path"), inp.RUN_TS).drop("path", CORRUPT)
     named.withColumn("table_name", src.table_of_file(F.col(FILE))).write.partitionBy("table_name").parquet(target)
     return spark.read.parquet(target).groupBy("table_name").agg(

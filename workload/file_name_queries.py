@@ -53,7 +53,7 @@ def ntz(c: str) -> Column:
 def file_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Metadata columns from the path; only they and the data columns remain."""
     files = base_names(spark, sf_dir).select(
-        "event_id", F.concat(F.lit("dbfs:/mnt/landing/"), "base", "ending").alias("path")
+        "event_id", F.concat(F.lit("/landing/in/"), "base", "ending").alias("path")
     )
     rows = with_file_metadata(files, F.col("path"), inp.RUN_TS).drop("path")
     return rows.withColumns({c: ntz(c) for c in ("FILE_EXTRACTION_DATE", "FILE_PROCESS_DATE")})

@@ -6,7 +6,6 @@ cells. Both forms use only expressions that mean the same in both engines.
 
 from __future__ import annotations
 
-import os
 import zipfile
 from collections.abc import Iterator
 from datetime import datetime
@@ -20,6 +19,7 @@ from millrace.plans.ingest import JudgedTable, judge
 from millrace.rules import ColumnRule, TableRule
 from millrace.session import configure, materialize
 from millrace.sources.files import hadoop_path, with_file_metadata
+from millrace.sources.storage import create_file
 
 RUN_TS = datetime(2025, 1, 15, 10, 30, 0)
 ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
@@ -182,8 +182,7 @@ def write_archives(lines: DataFrame, directory: str) -> int:
     """
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        os.makedirs(directory, exist_ok=True)
-        name = member = bundle = out = None
+        name = member = bundle = out = target = None
         written = []
         for batch in batches:
             for archive, inner, line in zip(*(batch.column(c).to_pylist() for c in ("archive", "member", "line"))):
@@ -191,7 +190,10 @@ def write_archives(lines: DataFrame, directory: str) -> int:
                     if bundle is not None:
                         out.close()
                         bundle.close()
-                    bundle = zipfile.ZipFile(f"{directory}/{archive}", "w", zipfile.ZIP_DEFLATED)
+                    if target is not None:
+                        target.close()
+                    target = create_file(f"{directory}/{archive}")
+                    bundle = zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED)
                     written.append(archive)
                     name, member, out = archive, None, None
                 if inner != member:
@@ -202,7 +204,9 @@ def write_archives(lines: DataFrame, directory: str) -> int:
         if bundle is not None:
             out.close()
             bundle.close()
+            target.close()
         yield pa.RecordBatch.from_pydict({"archive": pa.array(written, pa.string())})
 
-    sorted_lines = lines.repartition(8, "archive").sortWithinPartitions("archive", "member")
+    tasks = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sorted_lines = lines.repartition(tasks, "archive").sortWithinPartitions("archive", "member")
     return sorted_lines.mapInArrow(write, "archive string").count()
