@@ -16,8 +16,10 @@ from millrace.names import CORRUPT, FILE
 from millrace.operators.error_rows import bad_values, table_errors
 from millrace.operators.metrics import load_messages
 from millrace.plans.ingest import judge
+from millrace.plans.landing import land_archives
 from millrace.rules import ColumnRule, TableRule
 from millrace.session import fresh_dir, materialize
+from millrace.sinks.tables import TableStore
 from millrace.sources import archives as arc
 from millrace.sources import files as src
 from millrace.sources.rule_tables import normalize_column_rules, normalize_table_rules, rule_errors
@@ -57,6 +59,31 @@ def archive_expansion(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "landing_run", "A1 A2 A13 C14",
+    f"""WITH {inp.RAW_ORDERS} SELECT file AS "FILE_NAME_RECEIVED", CASE WHEN file LIKE '%000000' THEN 1 ELSE 2 END AS landed_by_run, count(*) AS row_count,
+      count(*) FILTER (o_totalprice = 'abc') AS bad_prices, sum(CAST(o_orderkey AS BIGINT))::BIGINT AS key_sum, count(*) AS logged_rows
+    FROM raw GROUP BY file""",
+)
+def landing_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archives with header lines land in two waves and three runs: each is taken once, rows are counted exactly."""
+    folder, store = fresh_dir(spark, "landing"), TableStore(spark, fresh_dir(spark, "store"))
+    lines = order_lines(spark, sf_dir).withColumn("archive", F.concat(F.split_part("member", F.lit("."), F.lit(1)), F.lit(".zip")))
+    header = lines.select("archive", "member").distinct().withColumn("line", F.lit(",".join(inp.ORDER_COLUMNS)))
+    whole = header.withColumn("at", F.lit(0)).unionByName(lines.withColumn("at", F.lit(1)))
+    early = F.col("member").contains("_000000.")
+    for number, wave in enumerate([whole.filter(early), whole.filter(~early), None]):
+        if wave is not None:
+            inp.write_archives(wave, f"{folder}/{number}", "at")
+        land_archives(spark, folder, {"orders": inp.ORDER_COLUMNS}, store, inp.RUN_TS + timedelta(days=number))
+    log = store.read("landing_log").select(F.col("filename").alias(FILE), F.col("row_count").alias("logged_rows"))
+    run = F.datediff(F.col("FILE_PROCESS_DATE"), F.lit(inp.RUN_TS.date())) + 1
+    rows = store.read("orders_raw").groupBy(FILE, run.alias("landed_by_run")).agg(
+        F.count(F.lit(1)).alias("row_count"), F.count_if(F.col("o_totalprice") == "abc").alias("bad_prices"), F.sum(F.col("o_orderkey").cast("bigint")).alias("key_sum")
+    )
+    return rows.join(log, FILE)
+
+
 @query(
     "damaged_archives", "A2",
     """WITH years AS (SELECT DISTINCT year(o_orderdate) AS y FROM orders), n AS (SELECT count(*) AS n FROM years)

@@ -175,7 +175,7 @@ def write_named_files(df: DataFrame, name: str, directory: str, fmt: str = "csv"
     return written
 
 
-def write_archives(lines: DataFrame, directory: str) -> int:
+def write_archives(lines: DataFrame, directory: str, *order: str) -> int:
     """ZIP files from rows (archive, member, line); returns their number.
 
     Each task streams its archives, so nothing is held as a whole.
@@ -208,5 +208,5 @@ def write_archives(lines: DataFrame, directory: str) -> int:
         yield pa.RecordBatch.from_pydict({"archive": pa.array(written, pa.string())})
 
     tasks = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sorted_lines = lines.repartition(tasks, "archive").sortWithinPartitions("archive", "member")
+    sorted_lines = lines.repartition(tasks, "archive").sortWithinPartitions("archive", "member", *order)
     return sorted_lines.mapInArrow(write, "archive string").count()

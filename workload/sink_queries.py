@@ -83,6 +83,36 @@ def merge_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "ingest_again", "A3 B2 B6",
+    f"""WITH {inp.VERDICT_ORDERS} SELECT file AS "FILE_NAME_RECEIVED", CASE WHEN file LIKE '%000000' THEN '20250115' ELSE '20250116' END AS loaded_on,
+      count(*) AS row_count, sum(k)::BIGINT AS key_sum FROM good GROUP BY file""",
+)
+def ingest_again(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the files, then all of them, then all again: each file is in the history once, from the first run that saw it."""
+    store, rule = store_for(spark), TableRule("orders")
+    landed = inp.landed_orders(spark, sf_dir)
+    for day, raw in enumerate([landed.filter(F.col(FILE).endswith("000000")), landed, landed]):
+        ingest_table(raw, rule, inp.ORDER_RULES, store, inp.RUN_TS + timedelta(days=day))
+    runs = store.read("execution_log").select(F.col("filename").alias(FILE), F.date_format("log_ts", "yyyyMMdd").alias("loaded_on")).distinct()
+    counts = store.read("orders_all").groupBy(FILE).agg(F.count(F.lit(1)).alias("row_count"), F.sum("o_orderkey").alias("key_sum"))
+    return counts.join(runs, FILE)
+
+
+@query(
+    "late_delivery", "B3 B5",
+    f"""WITH {inp.VERDICT_ORDERS}, g AS (SELECT * FROM good WHERE substr(file, 8, 4)::INTEGER >= 1998)
+    SELECT file AS "FILE_NAME_RECEIVED", count(*) AS row_count, sum(k)::BIGINT AS key_sum FROM g GROUP BY file""",
+)
+def late_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A full snapshot of several dates, then a late delivery of older files: the last table stays what the snapshot made it."""
+    store, landed = store_for(spark), inp.landed_orders(spark, sf_dir)
+    year = F.substring(FILE, 8, 4).cast("int")
+    for day, raw in enumerate([landed.filter(year >= 1998), landed.filter(year < 1998)]):
+        ingest_table(raw, inp.ORDER_TABLE, inp.ORDER_RULES, store, inp.RUN_TS + timedelta(days=day))
+    return store.read("orders_last").groupBy(FILE).agg(F.count(F.lit(1)).alias("row_count"), F.sum("o_orderkey").alias("key_sum"))
+
+
 @query(
     "merge_upsert", "B4",
     """SELECT o_orderkey, o_custkey, CASE WHEN o_orderstatus = 'F' THEN 'X' ELSE o_orderstatus END AS o_orderstatus FROM orders
