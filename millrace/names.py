@@ -33,6 +33,7 @@ DEFAULT_ERROR_NUMBER = "000000007"
 FILE_REJECTED_ERROR = "000000008"
 MISSING_COLUMN_ERROR = "000000010"
 
+# The columns of error rows and of the execution log that reports search for.
 ERROR_SCHEMA = T.StructType(
     [
         T.StructField("table_name", T.StringType()),

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from millrace.functions.tolerances import FAIL_FAST_PERCENT, is_tolerance_text
 from millrace.names import EXECUTION_LOG_SCHEMA, FAILED, FILE, MISSING_COLUMN_ERROR, PROCESSED_AT, SUCCESS, col, sum_of
 from millrace.operators.error_rows import bad_values, cell_and_column_errors, file_errors, line_errors, union_errors
+from millrace.operators.gates import critical_gate, duplicate_gate, threshold_gates
 from millrace.operators.metrics import execution_log
 from millrace.operators.quality import duplicate_key_errors, mandatory_nulls
 from millrace.operators.shape import missing_columns, presence_errors
@@ -115,6 +116,17 @@ def run_name(table: str, run_ts: datetime) -> str:
     return f"{table}-{run_ts:%Y%m%dT%H%M%S}"
 
 
+def _gated_verdict(typed: TypedTable, rule: TableRule, merge_keys: Sequence[str]) -> DataFrame:
+    """The written verdict on each file, after the limits and gates that the rule names."""
+    verdict = materialize(threshold_gates(file_verdict(file_counts(typed, rule), typed, rule), typed, rule), "verdict")
+    if rule.duplicate_tolerance and merge_keys:
+        verdict = materialize(duplicate_gate(verdict, typed, rule, merge_keys), "verdict")
+    if rule.critical_errors:
+        errors = JudgedTable(rule, typed, verdict).errors(merge_keys)
+        verdict = materialize(critical_gate(verdict, errors, rule.critical_errors), "verdict")
+    return verdict
+
+
 def _deliveries(raw: DataFrame) -> DataFrame:
     """The files of a raw table, each with the time it was processed, if known."""
     time = F.col(PROCESSED_AT).cast("string") if PROCESSED_AT in raw.columns else F.lit(None).cast("string")
@@ -164,8 +176,8 @@ def ingest_table(
 
     typed = type_columns(fresh, rules, trim=rule.trim, fill_defaults=True)
     typed = replace(typed, frame=materialize(typed.frame, "typed"))
-    judged = JudgedTable(rule, typed, materialize(file_verdict(file_counts(typed, rule), typed, rule), "verdict"))
     merge_keys = [r.name for r in rules if r.merge_key]
+    judged = JudgedTable(rule, typed, _gated_verdict(typed, rule, merge_keys))
     accepted = judged.accepted()
     outcome = judged.outcome()
     if outcome.passed:

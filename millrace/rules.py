@@ -109,6 +109,13 @@ class TableRule:
     trim: bool = True
     file_tolerance: str = "10%"
     line_tolerance: float = 0.10
+    # Limits beyond the tolerance, each off unless given: shares of a file in percent, ...
+    stop_percent: float | None = None
+    rejected_percent: float | None = None
+    invalid_percent: float | None = None
+    # ... repeated merge keys, as a tolerance text, and error numbers that no accepted file may have.
+    duplicate_tolerance: str | None = None
+    critical_errors: tuple[str, ...] = ()
 
     @property
     def last_table_name(self) -> str:

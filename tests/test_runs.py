@@ -425,3 +425,30 @@ def test_the_run_stops_on_exact_counts(spark, tmp_path):
     log = run(spark, book, store, AT, scan=lambda rule: RawScan("READY", raw)).collect()
     assert [(r.table_name, r.error_count) for r in log] == [("one", 2000)] or [(r.table_name, r.error_count) for r in log] == [("one", 4000)]
     assert "errors" in log[0].error_message
+
+
+def refused(spark, tmp_path, rule, rules, rows, columns):
+    store = TableStore(spark, str(tmp_path))
+    raw = spark.createDataFrame(rows, f"{FILE} string, {columns}, yyyy int, mm int, dd int")
+    return {r.filename: (r.status, r.error_message) for r in ingest_table(raw, rule, rules, store, AT).collect()}, store
+
+
+def test_limits_of_a_rule_refuse_files(spark, tmp_path):
+    rows = [("a", "x" if i < 6 else str(i), 2025, 1, 1) for i in range(100)] + [("b", str(i), 2025, 1, 1) for i in range(100)]
+    rules = (ColumnRule("c0", 0, "INTEGER"),)
+    for n, (field, value) in enumerate([("stop_percent", 6.0), ("invalid_percent", 50.0), (None, None), ("stop_percent", 7.0)]):
+        rule = TableRule("t", file_tolerance="50%", **({field: value} if field else {}))
+        got, store = refused(spark, tmp_path / str(n), rule, rules, rows, "c0 string")
+        assert got["b"][0] == "SUCCESS"
+        assert got["a"][0] == ("REJECTED" if n < 2 else "SUCCESS"), field
+        assert store.exists("quarantine") == (n < 2)
+
+
+def test_repeated_keys_and_critical_errors_refuse_files(spark, tmp_path):
+    rows = [("a", str(i // 2), "1", 2025, 1, 1) for i in range(20)] + [("b", str(i), "1" if i else "x", 2025, 1, 1) for i in range(20)]
+    rules = (ColumnRule("c0", 0, "INTEGER", merge_key=True), ColumnRule("c1", 1, "INTEGER", action="LOG_ONLY"))
+    got, store = refused(spark, tmp_path / "d", TableRule("t", duplicate_tolerance="20%"), rules, rows, "c0 string, c1 string")
+    assert got["a"][0] == "REJECTED" and "RLD" in got["a"][1] and got["b"][0] == "SUCCESS"
+    assert {r[FILE] for r in store.read("t_all").collect()} == {"b"}
+    got, store = refused(spark, tmp_path / "c", TableRule("t", critical_errors=("000000009",)), rules, rows, "c0 string, c1 string")
+    assert got["b"][0] == "REJECTED" and "critical" in got["b"][1]
