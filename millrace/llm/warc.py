@@ -298,8 +298,11 @@ def resolve(chunks: DataFrame) -> DataFrame:
         chunks.where("is_last").select("record_id", "page_id", "record_type", "refers_to_id", "bytes_so_far", "digest_so_far", "declared_digest"),
         "warc-records",
     )
-    responses = records.where(F.col("record_type") == "response").groupBy("record_id").agg(
-        F.max("page_id").alias("of_page"), F.max("bytes_so_far").alias("of_bytes"), F.max("digest_so_far").alias("of_digest")
+    responses = materialize(
+        records.where(F.col("record_type") == "response").groupBy("record_id").agg(
+            F.max("page_id").alias("of_page"), F.max("bytes_so_far").alias("of_bytes"), F.max("digest_so_far").alias("of_digest")
+        ),
+        "warc-responses",  # written, so that the join below can split a response that most records refer to
     )
     read = records.alias("r").join(responses.alias("o"), F.col("r.refers_to_id") == F.col("o.record_id"), "left")
     digest = F.coalesce("of_digest", "digest_so_far")
