@@ -10,7 +10,9 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -34,6 +36,32 @@ HEADLINE = [
 ]
 
 
+#: Reference scenarios: files in one archive, rows per file.
+SCENARIOS = [(10, 1000), (50, 500)]
+
+
+def landing_seconds(spark: SparkSession, files: int, rows: int) -> float:
+    """Seconds from an archive in a landing folder to accepted rows and a log."""
+    from datetime import datetime
+
+    from millrace.plans.ingest import ingest_table
+    from millrace.plans.landing import land_archives
+    from millrace.rules import ColumnRule, TableRule
+    from millrace.sinks.tables import TableStore
+
+    folder = tempfile.mkdtemp(prefix="millrace-bench-", dir="/tmp")
+    with zipfile.ZipFile(f"{folder}/load.zip", "w", zipfile.ZIP_DEFLATED) as bundle:
+        for n in range(files):
+            bundle.writestr(f"site_20250115_{n:06d}.csv", "code,label,amount\n" + "".join(f"{i},name {i},{i}.50\n" for i in range(rows)))
+    store, at = TableStore(spark, f"{folder}/store"), datetime(2025, 1, 15, 10, 30)
+    rules = (ColumnRule("code", 1, "LONG", merge_key=True), ColumnRule("label", 2), ColumnRule("amount", 3, "DECIMAL(15,2)"))
+    started = time.monotonic()
+    land_archives(spark, folder, {"site": ["code", "label", "amount"]}, store, at)
+    log = ingest_table(store.read("site_raw"), TableRule("site"), rules, store, at).collect()
+    assert len(log) == files and all(r.status == "SUCCESS" for r in log)
+    return time.monotonic() - started
+
+
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -60,6 +88,8 @@ def main() -> None:
             if number:
                 runs.append(time.monotonic() - started)
         seconds[name] = round(statistics.median(runs), 3)
+    for files, rows in SCENARIOS if not chosen else []:
+        seconds[f"land_{files}x{rows}"] = round(statistics.median([landing_seconds(spark, files, rows) for _ in range(4)][1:]), 3)
     spark.stop()
     sf = os.path.basename(folder.rstrip("/")).removeprefix("sf")
     print(json.dumps({
