@@ -35,22 +35,21 @@ def bands(least: Column) -> Column:
 
 
 def _shingles(line: Column) -> Column:
-    """All distinct five-character shingles, hashed; the whole line if it is shorter."""
-
-    def of(c: Column) -> Column:
-        runs = F.transform(F.sequence(F.lit(0), F.size(c) - SHINGLE), lambda i: F.xxhash64(*(c[i + k] for k in range(SHINGLE))))
-        return F.array_distinct(F.when(F.size(c) >= SHINGLE, runs).otherwise(F.array(F.xxhash64(F.array_join(c, "")))))
-
-    return let(F.array_remove(F.split(F.lower(line), ""), ""), of)
+    """All distinct five-character shingles; the whole line if it is shorter."""
+    runs = F.regexp_extract_all(line, F.lit(rf"(?s)(?=(.{{{SHINGLE}}}))"), 1)
+    return F.array_distinct(F.when(F.length(line) >= SHINGLE, runs).otherwise(F.array(line)))
 
 
 def similar(pairs: DataFrame, lines: DataFrame) -> DataFrame:
     """Of pairs ``a``, ``b`` those whose lines (``node``, ``line``) reach the similarity, by exact Jaccard."""
     x = lines.select(F.col("node").alias("a"), F.col("line").alias("left"))
     y = lines.select(F.col("node").alias("b"), F.col("line").alias("right"))
-    both = pairs.join(x, "a").join(y, "b").withColumn("s", F.array(_shingles(F.col("left")), _shingles(F.col("right"))))
-    common = let(F.col("s"), lambda s: F.size(F.array_intersect(s[0], s[1])) / F.size(F.array_union(s[0], s[1])))
-    return both.where(common >= SIMILARITY).select("a", "b")
+    sets = F.array(_shingles(F.lower("left")), _shingles(F.lower("right")))
+
+    def jaccard(s: Column) -> Column:
+        return let(F.size(F.array_intersect(s[0], s[1])), lambda common: common / (F.size(s[0]) + F.size(s[1]) - common))
+
+    return pairs.join(x, "a").join(y, "b").where(let(sets, jaccard) >= SIMILARITY).select("a", "b")
 
 
 def _occurrences(docs: DataFrame) -> DataFrame:
