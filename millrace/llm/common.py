@@ -96,11 +96,18 @@ def connected_components(edges: DataFrame) -> DataFrame:
     return materialize(star.select(F.col("hi").alias("node"), F.col("lo").alias("component")).union(roots), "components")
 
 
-def link_groups(members: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def link_groups(
+    members: DataFrame,
+    verify: Callable[[DataFrame], DataFrame],
+    signatures: Callable[[DataFrame], DataFrame] | None = None,
+    alike: Callable[[Column, Column], Column] | None = None,
+) -> DataFrame:
     """Components of all verified pairs that share a bucket, without listing all pairs of a bucket.
 
     ``members``: ``bucket``, ``node`` and, if present, ``home`` (a pair needs one
     home row). ``verify`` takes pairs ``a``, ``b`` and keeps the right ones.
+    ``signatures`` gives ``node``, ``signature`` of some nodes, and ``alike`` whether
+    two signatures are near enough for ``verify`` to look at the pair at all.
 
     1. Each node of a bucket is compared with the bucket's smallest node.
     2. Components of the links found so far are formed.
@@ -124,8 +131,12 @@ def link_groups(members: DataFrame, verify: Callable[[DataFrame], DataFrame]) ->
     sizes = placed.groupBy("bucket", "component").agg(F.count("*").alias("n"))
     main = sizes.groupBy("bucket").agg(F.max_by("component", "n").alias("main"), F.count("*").alias("parts")).where("parts > 1").drop("parts")
     mixed = materialize(placed.join(main, "bucket"), "mixed-buckets")
+    if signatures is not None:
+        mixed = materialize(mixed.join(signatures(mixed.select("node").distinct()), "node"), "mixed-signatures")
     outside = mixed.where(F.col("component") != F.col("main"))
     x, y = outside.alias("x"), mixed.alias("y")
     apart = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.component") != F.col("y.component")) & (F.col("x.home") | F.col("y.home"))
+    if alike is not None:
+        apart = apart & alike(F.col("x.signature"), F.col("y.signature"))
     across = x.join(y, apart).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
     return connected_components(stars.union(verify(across).select("a", "b")))

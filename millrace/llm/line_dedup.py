@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,9 +12,11 @@ from millrace.llm.common import kept_apart, let, link_groups, materialize, text_
 #: Two lines are near duplicates if their sets of five-character shingles have at least this Jaccard similarity.
 SHINGLE = 5
 SIMILARITY = 0.8
-#: Signatures sample the shingles that start words, twelve characters long; a sketch holds the least hashes.
-ANCHORED = r"(?s)(?=(?<!\S)(\S.{0,11}))"
+#: Signatures sample the shingles that start words, twenty characters long, as shorter ones are too common; a sketch holds the least hashes.
+ANCHORED = r"(?s)(?=(?<!\S)(\S.{0,19}))"
 SKETCH = 12
+#: Lines of similarity 0.8 share about two thirds of these, hardly ever less than this.
+ANCHORED_SIMILARITY = 0.4
 HASH_BITS = 31
 BROADCAST_BYTES = 32 << 20
 
@@ -40,16 +44,23 @@ def _shingles(line: Column) -> Column:
     return F.array_distinct(F.when(F.length(line) >= SHINGLE, runs).otherwise(F.array(line)))
 
 
+def _anchored(line: Column) -> Column:
+    return F.array_distinct(F.regexp_extract_all(line, F.lit(ANCHORED), 1))
+
+
 def similar(pairs: DataFrame, lines: DataFrame) -> DataFrame:
     """Of pairs ``a``, ``b`` those whose lines (``node``, ``line``) reach the similarity, by exact Jaccard."""
     x = lines.select(F.col("node").alias("a"), F.col("line").alias("left"))
     y = lines.select(F.col("node").alias("b"), F.col("line").alias("right"))
-    sets = F.array(_shingles(F.lower("left")), _shingles(F.lower("right")))
 
-    def jaccard(s: Column) -> Column:
-        return let(F.size(F.array_intersect(s[0], s[1])), lambda common: common / (F.size(s[0]) + F.size(s[1]) - common))
+    def jaccard(of: Callable[[Column], Column]) -> Column:
+        sets = F.array(of(F.lower("left")), of(F.lower("right")))
+        common = lambda s: F.size(F.array_intersect(s[0], s[1]))
+        return let(sets, lambda s: let(common(s), lambda n: n / (F.size(s[0]) + F.size(s[1]) - n)))
 
-    return pairs.join(x, "a").join(y, "b").where(let(sets, jaccard) >= SIMILARITY).select("a", "b")
+    # The few shingles at word starts first: lines that merely share a passage rarely get beyond them.
+    worth = (jaccard(_anchored) >= ANCHORED_SIMILARITY) & (jaccard(_shingles) >= SIMILARITY)
+    return pairs.join(x, "a").join(y, "b").where(worth).select("a", "b")
 
 
 def _occurrences(docs: DataFrame) -> DataFrame:
@@ -61,6 +72,20 @@ def _occurrences(docs: DataFrame) -> DataFrame:
     return split.where(F.trim("line") != "")
 
 
+def _alike(a: Column, b: Column) -> Column:
+    """Whether two sketches share a third of the shorter one.
+
+    Lines of similarity 0.8 share about two thirds; chance alone, where two lines
+    meet in a bucket of common shingles, gives the two entries of that bucket.
+    """
+    return 3 * F.size(F.array_intersect(a, b)) >= F.least(F.size(a), F.size(b))
+
+
+def _few(nodes: DataFrame) -> DataFrame:
+    """Nodes to be broadcast if they are few enough, else joined."""
+    return F.broadcast(nodes) if 16 * nodes.count() <= BROADCAST_BYTES else nodes
+
+
 def _linked(found: DataFrame, docs: DataFrame) -> DataFrame:
     """``node``, ``component`` of all lines with a near duplicate."""
     members = found.select("node", F.explode(bands(F.col("sketch"))).alias("bucket"))
@@ -68,12 +93,13 @@ def _linked(found: DataFrame, docs: DataFrame) -> DataFrame:
     def verify(pairs: DataFrame) -> DataFrame:
         pairs = materialize(pairs.select("a", "b"), "line-pairs")
         wanted = materialize(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "candidate-lines")
-        if 16 * wanted.count() <= BROADCAST_BYTES:
-            wanted = F.broadcast(wanted)
-        lines = _occurrences(docs).select(F.xxhash64("line").alias("node"), "line").join(wanted, "node").groupBy("node").agg(F.min("line").alias("line"))
+        lines = _occurrences(docs).select(F.xxhash64("line").alias("node"), "line").join(_few(wanted), "node").groupBy("node").agg(F.min("line").alias("line"))
         return similar(pairs, materialize(lines, "candidate-texts"))
 
-    return link_groups(members, verify)
+    def signatures(nodes: DataFrame) -> DataFrame:
+        return found.join(_few(materialize(nodes, "mixed-lines")), "node").groupBy("node").agg(F.first("sketch").alias("signature"))
+
+    return link_groups(members, verify, signatures, _alike)
 
 
 def line_decisions(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
