@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,8 +13,6 @@ SIMILARITY = 0.8
 #: Signatures sample the shingles that start words, twenty characters long, as shorter ones are too common; a sketch holds the least hashes.
 ANCHORED = r"(?s)(?=(?<!\S)(\S.{0,19}))"
 SKETCH = 12
-#: Lines of similarity 0.8 share about two thirds of these, hardly ever less than this.
-ANCHORED_SIMILARITY = 0.4
 HASH_BITS = 31
 BROADCAST_BYTES = 32 << 20
 
@@ -44,23 +40,15 @@ def _shingles(line: Column) -> Column:
     return F.array_distinct(F.when(F.length(line) >= SHINGLE, runs).otherwise(F.array(line)))
 
 
-def _anchored(line: Column) -> Column:
-    return F.array_distinct(F.regexp_extract_all(line, F.lit(ANCHORED), 1))
-
-
 def similar(pairs: DataFrame, lines: DataFrame) -> DataFrame:
     """Of pairs ``a``, ``b`` those whose lines (``node``, ``line``) reach the similarity, by exact Jaccard."""
     x = lines.select(F.col("node").alias("a"), F.col("line").alias("left"))
     y = lines.select(F.col("node").alias("b"), F.col("line").alias("right"))
 
-    def jaccard(of: Callable[[Column], Column]) -> Column:
-        sets = F.array(of(F.lower("left")), of(F.lower("right")))
-        common = lambda s: F.size(F.array_intersect(s[0], s[1]))
-        return let(sets, lambda s: let(common(s), lambda n: n / (F.size(s[0]) + F.size(s[1]) - n)))
-
-    # The few shingles at word starts first: lines that merely share a passage rarely get beyond them.
-    worth = (jaccard(_anchored) >= ANCHORED_SIMILARITY) & (jaccard(_shingles) >= SIMILARITY)
-    return pairs.join(x, "a").join(y, "b").where(worth).select("a", "b")
+    sets = F.array(_shingles(F.lower("left")), _shingles(F.lower("right")))
+    common = lambda s: F.size(F.array_intersect(s[0], s[1]))
+    jaccard = let(sets, lambda s: let(common(s), lambda n: n / (F.size(s[0]) + F.size(s[1]) - n)))
+    return pairs.join(x, "a").join(y, "b").where(jaccard >= SIMILARITY).select("a", "b")
 
 
 def _occurrences(docs: DataFrame) -> DataFrame:

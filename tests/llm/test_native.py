@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.common import connected_components, link_groups
 from millrace.llm.decontamination import decontaminate
-from millrace.llm.line_dedup import dedup_lines, line_decisions
+from millrace.llm.line_dedup import dedup_lines, line_decisions, similar
 from millrace.llm.mixing import fill, mix
 from millrace.llm.urls import judge_urls
 
@@ -81,6 +81,14 @@ def test_near_duplicate_lines_match_brute_force(spark):
         assert kept.get(doc_id) == ("\n".join(rest) if "".join(rest).strip() or text == "" else None)
 
 
+def test_only_the_exact_similarity_decides_a_pair(spark):
+    lines = ["all rights reserved by the owner 2019", "all rights reserved by the owner 2018", "stone river cloud", "stone river cloud.", "所有权利均由本网站的所有者保留不得转载", "所有权利均由本网站的所有者保留不得转载。", "stone river amber"]
+    pairs = [(a, b) for b in range(len(lines)) for a in range(b)]
+    exact = {(a, b) for a, b in pairs if len(shingles(lines[a]) & shingles(lines[b])) >= 0.8 * len(shingles(lines[a]) | shingles(lines[b]))}
+    found = similar(spark.createDataFrame(pairs, "a bigint, b bigint"), spark.createDataFrame(list(enumerate(lines)), "node bigint, line string"))
+    assert {tuple(r) for r in found.collect()} == exact == {(0, 1), (2, 3), (4, 5)}
+
+
 def test_levels_are_filled_until_no_source_is_above_its_cap(spark):
     sources = spark.createDataFrame([("a", 5, 10), ("b", 2, 1000), ("c", 1, 100), ("d", 5, 0), ("e", 0, 50)], "source string, weight bigint, source_size bigint")
     found = {r["source"]: r["target"] for r in fill(sources, 3).collect()}
