@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,34 +12,86 @@ from millrace.llm.common import kept_apart, let, link_groups, materialize, text_
 #: Two lines are near duplicates if their sets of five-character shingles have at least this Jaccard similarity.
 SHINGLE = 5
 SIMILARITY = 0.8
-#: Signatures sample the shingles that start words, twenty characters long, as shorter ones are too common; a sketch holds the least hashes.
-ANCHORED = r"(?s)(?=(?<!\S)(\S.{0,19}))"
-SKETCH = 12
-HASH_BITS = 31
+#: Lines of up to SHORT distinct shingles meet in neighbours of their least hashes, lines of LONG or more in bands of bins.
+#: Similar lines differ in size by a fifth at most, so that both have one of the two in common.
+SHORT, LONG = 50, 40
+LEAST = 12
+#: Bands of BAND_BINS bins each; the least hash of every bin is an independent sample. A pair of similarity 0.8 shares a band with 0.998.
+BANDS, BAND_BINS = 16, 5
+BIN = -(-(1 << 63) // (BANDS * BAND_BINS))
+#: Words of 64 bits in a parity bitmap.
+WORDS = 8
+WORD = (1 << 63) // WORDS
 BROADCAST_BYTES = 32 << 20
 
 
+def _hashes(line: Column) -> Column:
+    """63-bit hashes of all distinct shingles of a line, ascending."""
+    return F.sort_array(F.array_distinct(F.transform(_runs(F.lower(line)), lambda s: F.xxhash64(s).bitwiseAND(F.lit((1 << 63) - 1)))))
+
+
+def _ranges(hashes: Column, width: int, number: int, of: Callable[[Column], Column]) -> Column:
+    """``of`` the hashes in each range of ``width`` hash values."""
+    starts = F.array(*(F.lit(k * width) for k in range(number)))
+
+    def cut(marked: Column) -> Column:
+        places = F.concat(F.transform(starts, lambda x: F.array_position(marked, x)), F.array(F.size(marked).cast("bigint") + 1))
+        return let(places, lambda p: F.transform(F.sequence(F.lit(0), F.lit(number - 1)), lambda k: let(F.slice(marked, (p[k] + 1).cast("int"), (p[k + 1] - p[k] - 1).cast("int")), of)))
+
+    return let(F.sort_array(F.concat(starts, hashes)), cut)
+
+
+def _neighbours(hashes: Column) -> Column:
+    """A bucket of each two neighbours of the least hashes; of the only hash of a line of one shingle."""
+    pairs = F.transform(F.sequence(F.lit(0), F.least(F.size(hashes), F.lit(LEAST)) - 2), lambda i: F.xxhash64(F.slice(hashes, i + 1, 2)))
+    return F.when(F.size(hashes) > 1, pairs).otherwise(F.transform(hashes, lambda x: F.xxhash64(F.array(x))))
+
+
+def _bands(hashes: Column) -> Column:
+    """A bucket of the least hashes of the bins of each band; a band without any has none."""
+    bin_of = lambda x: F.call_function("div", x, F.lit(BIN))
+    least = F.filter(hashes, lambda x, i: (i == 0) | (bin_of(x) != bin_of(hashes[F.greatest(i - 1, F.lit(0))])))
+    keys = _ranges(least, BIN * BAND_BINS, BANDS, lambda of: F.when(F.size(of) > 0, F.xxhash64(of)))
+    return F.filter(keys, lambda key: key.isNotNull())
+
+
+def _parity(hashes: Column) -> Column:
+    """A bitmap in which each hash turns one bit: two of them differ in no more bits than the sets in hashes."""
+    turned = lambda bits, x: bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), x.bitwiseAND(F.lit(63)).cast("int")))
+    return _ranges(hashes, WORD, WORDS, lambda of: F.aggregate(of, F.lit(0).cast("bigint"), turned))
+
+
 def sketch(line: Column) -> Column:
-    """The least hashes of a line's shingles, ascending: equal shares of two sketches estimate the similarity."""
-    hashes = F.transform(F.regexp_extract_all(F.lower(line), F.lit(ANCHORED), 1), lambda s: F.xxhash64(s).bitwiseAND(F.lit((1 << HASH_BITS) - 1)).cast("int"))
-    return F.slice(F.sort_array(F.array_distinct(hashes)), 1, SKETCH)
+    """``buckets`` in which the line meets similar ones, and its ``signature`` for ``may_be_similar``."""
 
+    def of(hashes: Column) -> Column:
+        none = F.array().cast("array<bigint>")
+        short = F.when(F.size(hashes) <= SHORT, _neighbours(hashes)).otherwise(none)
+        long = F.when(F.size(hashes) >= LONG, _bands(hashes)).otherwise(none)
+        words = let(_parity(hashes), lambda w: F.struct(F.size(hashes).alias("size"), *(w[k].alias(f"w{k}") for k in range(WORDS))))
+        return F.struct(F.concat(short, long).alias("buckets"), words.alias("signature"))
 
-def bands(least: Column) -> Column:
-    """Bucket of each two neighbours of a sketch; of the single entry of a shorter one."""
-    wide = F.lit(1 << HASH_BITS)
+    return let(_hashes(line), of)
 
-    def of(s: Column) -> Column:
-        pairs = F.transform(F.sequence(F.lit(0), F.size(s) - 2), lambda i: s[i].cast("bigint") * wide + s[i + 1])
-        return F.when(F.size(s) > 1, pairs).otherwise(F.transform(s, lambda x: -1 - x.cast("bigint")))
 
-    return let(least, of)
+def may_be_similar(a: Column, b: Column) -> Column:
+    """False only for lines whose similarity is under 0.8.
 
+    Sets of similarity 0.8 or more differ in a ninth of the sum of their sizes at
+    most, and their parity bitmaps and sizes in no more than that.
+    """
+    differing = sum((F.bit_count(a[f"w{k}"].bitwiseXOR(b[f"w{k}"])) for k in range(1, WORDS)), F.bit_count(a["w0"].bitwiseXOR(b["w0"])))
+    return 9 * F.greatest(differing, F.abs(a["size"] - b["size"])) <= a["size"] + b["size"]
 
-def _shingles(line: Column) -> Column:
-    """All distinct five-character shingles; the whole line if it is shorter."""
+
+def _runs(line: Column) -> Column:
+    """All five-character shingles; the whole line if it is shorter."""
     runs = F.regexp_extract_all(line, F.lit(rf"(?s)(?=(.{{{SHINGLE}}}))"), 1)
-    return F.array_distinct(F.when(F.length(line) >= SHINGLE, runs).otherwise(F.array(line)))
+    return F.when(F.length(line) >= SHINGLE, runs).otherwise(F.array(line))
+
+
+def _shingles(line: Column) -> Column:
+    return F.array_distinct(_runs(line))
 
 
 def similar(pairs: DataFrame, lines: DataFrame) -> DataFrame:
@@ -60,15 +114,6 @@ def _occurrences(docs: DataFrame) -> DataFrame:
     return split.where(F.trim("line") != "")
 
 
-def _alike(a: Column, b: Column) -> Column:
-    """Whether two sketches share a third of the shorter one.
-
-    Lines of similarity 0.8 share about two thirds; chance alone, where two lines
-    meet in a bucket of common shingles, gives the two entries of that bucket.
-    """
-    return 3 * F.size(F.array_intersect(a, b)) >= F.least(F.size(a), F.size(b))
-
-
 def _few(nodes: DataFrame) -> DataFrame:
     """Nodes to be broadcast if they are few enough, else joined."""
     return F.broadcast(nodes) if 16 * nodes.count() <= BROADCAST_BYTES else nodes
@@ -76,18 +121,18 @@ def _few(nodes: DataFrame) -> DataFrame:
 
 def _linked(found: DataFrame, docs: DataFrame) -> DataFrame:
     """``node``, ``component`` of all lines with a near duplicate."""
-    members = found.select("node", F.explode(bands(F.col("sketch"))).alias("bucket"))
+    members = found.select("node", F.explode("sketch.buckets").alias("bucket"))
+    known = materialize(found.groupBy("node").agg(F.first("sketch.signature").alias("signature")), "line-signatures")
 
     def verify(pairs: DataFrame) -> DataFrame:
-        pairs = materialize(pairs.select("a", "b"), "line-pairs")
+        x, y = known.select(F.col("node").alias("a"), F.col("signature").alias("x")), known.select(F.col("node").alias("b"), F.col("signature").alias("y"))
+        worth = pairs.select("a", "b").join(x, "a").join(y, "b").where(may_be_similar(F.col("x"), F.col("y"))).select("a", "b")
+        pairs = materialize(worth, "line-pairs")
         wanted = materialize(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "candidate-lines")
         lines = _occurrences(docs).select(F.xxhash64("line").alias("node"), "line").join(_few(wanted), "node").groupBy("node").agg(F.min("line").alias("line"))
         return similar(pairs, materialize(lines, "candidate-texts"))
 
-    def signatures(nodes: DataFrame) -> DataFrame:
-        return found.join(_few(materialize(nodes, "mixed-lines")), "node").groupBy("node").agg(F.first("sketch").alias("signature"))
-
-    return link_groups(members, verify, signatures, _alike)
+    return link_groups(members, verify, lambda nodes: known.join(nodes, "node"), may_be_similar)
 
 
 def line_decisions(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -97,10 +142,11 @@ def line_decisions(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     last), then of the smaller text digest, then the first. Blank lines are never
     removed. Only documents that lose a line have a row.
 
-    Equal lines collapse to one node before any band is formed. Lines share a
-    bucket if two neighbouring entries of their sketches agree, which nearly
-    all pairs of similarity 0.8 do (tests measure it); every candidate pair that can
-    join two components is verified by the exact Jaccard similarity.
+    Equal lines collapse to one node before any pair is formed. Sketches sample all
+    shingles; two lines of similarity 0.8 share a bucket with 0.998, more similar
+    ones nearly always (tests measure it). Of the candidate pairs that can join
+    two components, an upper bound of the similarity leaves out dissimilar ones, and
+    the exact Jaccard similarity decides the rest.
     """
     plain = docs.select(F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
     lines = _occurrences(plain)

@@ -89,6 +89,22 @@ def test_only_the_exact_similarity_decides_a_pair(spark):
     assert {tuple(r) for r in found.collect()} == exact == {(0, 1), (2, 3), (4, 5)}
 
 
+def test_short_lines_typos_end_edits_and_unspaced_lines_match_brute_force(spark):
+    rng = random.Random(8)
+    line = lambda n: words(rng, [n])[0]
+    han = lambda n: "".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(n))
+    pairs = [(x, x + ".") for n in (1, 2, 3, 4, 6, 8) for x in [line(n) for _ in range(12)]]
+    pairs += [(x, x + "。") for x in [han(n) for n in (9, 14, 30, 60) for _ in range(6)]] + [(x, chr(0x4DFF) + x) for x in [han(30) for _ in range(6)]]
+    pairs += [(x, f"{x[:k]}#{x[k:]}") for x in [line(n) for n in (8, 12, 20, 40) for _ in range(6)] for k in [rng.randrange(len(x))]]
+    pairs += [(x, x + "2") for x in [f"https://example.org/{rng.randrange(10**30)}/page-{k}" for k in range(12)]]
+    lines = [x for pair in pairs for x in pair]
+    docs = list(enumerate(lines))
+    expected = brute_lines(docs)
+    found = {(r["doc_id"], p) for r in line_decisions(spark.createDataFrame(docs, "doc_id bigint, text string")).collect() for p in r["removed"]}
+    assert not found - expected
+    assert len(expected) > 0.9 * len(pairs) and len(found) >= 0.99 * len(expected)
+
+
 def test_levels_are_filled_until_no_source_is_above_its_cap(spark):
     sources = spark.createDataFrame([("a", 5, 10), ("b", 2, 1000), ("c", 1, 100), ("d", 5, 0), ("e", 0, 50)], "source string, weight bigint, source_size bigint")
     found = {r["source"]: r["target"] for r in fill(sources, 3).collect()}
