@@ -158,31 +158,20 @@ def _estimates(counts: DataFrame, lower: DataFrame | None, order: int, size: int
 
 @dataclass
 class Table:
-    """Grams of one order as sorted hashes with a log probability (or log weight) per language."""
+    """Grams of one order, ascending, with a log probability (or log weight) per language."""
 
-    hashes: np.ndarray
+    keys: np.ndarray
     values: np.ndarray
 
-    def __post_init__(self):
-        self.places = np.full(1 << SLOT_BITS, -1, np.int32)
-        self.places[self.hashes >> np.uint32(32 - SLOT_BITS)] = np.arange(len(self.hashes))
+    def find(self, grams: np.ndarray) -> np.ndarray:
+        """The place of each gram; -1 if it is not there."""
+        if not len(self.keys):
+            return np.full(len(grams), -1, np.int64)
+        place = np.minimum(np.searchsorted(self.keys, grams), len(self.keys) - 1)
+        return np.where(self.keys[place] == grams, place, -1)
 
-    def find(self, hashes: np.ndarray) -> np.ndarray:
-        if not len(self.hashes):
-            return np.full(len(hashes), -1, np.int32)
-        place = self.places[hashes >> np.uint32(32 - SLOT_BITS)]
-        return np.where(self.hashes[place] == hashes, place, -1)
 
-
-def _mix(grams: np.ndarray, order: int) -> np.ndarray:
-    """The 32-bit hash of a gram of some order."""
-    value = (grams + np.uint64(order)) * np.uint64(0x9E3779B97F4A7C15)
-    value ^= value >> np.uint64(32)
-    value *= np.uint64(0xD6E8FEB86659FD93)
-    return (value >> np.uint64(32)).astype(np.uint32)
-
-
-def _table(rows: DataFrame, key: str, weight: str, value: str, size: int, order: int) -> Table:
+def _table(rows: DataFrame, key: str, weight: str, value: str, size: int) -> Table:
     """Collect the commonest gram of each slot with the logs of its values: at most 2**SLOT_BITS rows whatever the corpus."""
     weights = sum((F.col(f"{weight}{k}") for k in range(1, size)), F.col(f"{weight}0"))
     entry = F.struct(F.col(key).alias("gram"), F.array(*(F.log(f"{value}{k}").cast("float") for k in range(size))).alias("value"))
@@ -190,11 +179,8 @@ def _table(rows: DataFrame, key: str, weight: str, value: str, size: int, order:
     found = slots.select("best.gram", "best.value").toArrow()
     grams = found.column("gram").to_numpy().view(np.uint64) if found.num_rows else np.zeros(0, np.uint64)
     values = np.array(found.column("value").to_pylist(), np.float32).reshape(-1, size)
-    hashes = _mix(grams, order)
-    order_of = np.argsort(hashes, kind="stable")
-    hashes, values = hashes[order_of], values[order_of]
-    first = np.append(True, np.diff(hashes >> np.uint32(32 - SLOT_BITS)) != 0)[: len(hashes)]
-    return Table(hashes[first], np.ascontiguousarray(values[first]))
+    ascending = np.argsort(grams)
+    return Table(grams[ascending], np.ascontiguousarray(values[ascending]))
 
 
 @dataclass
@@ -236,13 +222,13 @@ class Model:
         rest = np.arange(len(grams))
         for order in range(ORDER, 0, -1):
             low = grams[rest] & np.uint64((1 << UNIT_BITS * order) - 1)
-            place = self.grams[order - 1].find(_mix(low, order))
+            place = self.grams[order - 1].find(low)
             hit = place >= 0
             logs[rest[hit]] += self.grams[order - 1].values[place[hit]]
             rest, low = rest[~hit], low[~hit]
             if not len(rest):
                 break
-            context = self.contexts[order - 1].find(_mix(low >> np.uint64(UNIT_BITS), order))
+            context = self.contexts[order - 1].find(low >> np.uint64(UNIT_BITS))
             known = context >= 0
             logs[rest[known]] += self.contexts[order - 1].values[context[known]]
         else:
@@ -282,8 +268,8 @@ def train(labelled: DataFrame, calibration_rows: int = CALIBRATION_ROWS) -> Mode
     grams, contexts, lower = [], [], None
     for order in range(1, ORDER + 1):
         lower, weights = _estimates(orders[order - 1], lower, order, size, alphabet)
-        grams.append(_table(lower, "gram", "n", "p", size, order))
-        contexts.append(_table(weights, "context", "t", "left", size, order))
+        grams.append(_table(lower, "gram", "n", "p", size))
+        contexts.append(_table(weights, "context", "t", "left", size))
     model = Model(languages, grams, contexts, -float(np.log(alphabet)), np.zeros(size), np.ones(size), 1.0, 0.0)
     _calibrate(model, labelled, calibration_rows)
     return model

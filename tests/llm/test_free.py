@@ -167,6 +167,18 @@ def test_kneser_ney_probabilities_sum_to_one_and_tell_languages(spark):
     assert {r["lang_pred"] for r in langid.identify(odd, model).collect()} == {"und"}
 
 
+def many_grams():
+    rng = random.Random(4)
+    return {lang: ["".join(chr(first + rng.randrange(400)) for _ in range(120)) for _ in range(80)] for lang, first in (("u", 0x4E00), ("v", 0x5600))}
+
+
+def test_every_gram_of_a_table_is_found():
+    grams = np.unique(np.concatenate([g for texts in many_grams().values() for t in texts for g in langid._pieces(t)]))
+    held = langid.Table(grams, np.zeros((len(grams), 2), np.float32))
+    assert len(grams) > 18000 and (held.find(grams) == np.arange(len(grams))).all()
+    assert (held.find(grams + np.uint64(1 << 63)) == -1).all()
+
+
 def test_long_texts_count_alike_in_blocks(monkeypatch):
     text = "Été comme hiver 12 " * 400
     whole = np.concatenate(list(langid._pieces(text)))
