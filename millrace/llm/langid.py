@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, replace
 from functools import cache
 
 import numpy as np
@@ -12,12 +12,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StringType, StructField, StructType
 
-from millrace.llm.common import kept_apart, materialize, restored, smallest_rows
+from millrace.llm.common import kept_apart, materialize, restored, smallest_rows, text_key, text_or_empty
 
 ORDER = 4
 UNIT_BITS = 16
-#: A model keeps at most one gram per slot, so its size has a bound whatever the corpus.
-SLOT_BITS = 20
+#: Tables of up to this size in all are looked up in memory, larger ones are joined.
+BROADCAST_BYTES = 64 << 20
 BLOCK = 1 << 19
 FLUSH_GRAMS = 1 << 20
 CALIBRATION_ROWS = 3000
@@ -171,18 +171,19 @@ class Table:
         return np.where(self.keys[place] == grams, place, -1)
 
 
-def _table(rows: DataFrame, key: str, weight: str, value: str, size: int) -> Table:
-    """Collect the commonest gram of each slot with the logs of its values: at most 2**SLOT_BITS rows whatever the corpus."""
-    weights = sum((F.col(f"{weight}{k}") for k in range(1, size)), F.col(f"{weight}0"))
-    entry = F.struct(F.col(key).alias("gram"), F.array(*(F.log(f"{value}{k}").cast("float") for k in range(size))).alias("value"))
-    slots = rows.groupBy(F.pmod(F.xxhash64(key), F.lit(1 << SLOT_BITS)).alias("slot")).agg(F.max_by(entry, weights).alias("best"))
-    found = slots.select("best.gram", "best.value").toArrow()
+def _table(rows: DataFrame, size: int) -> Table:
+    """Collect all of ``gram``, ``logs``; to be called for tables of a known, small size only."""
+    found = rows.toArrow().combine_chunks()
     grams = found.column("gram").to_numpy().view(np.uint64) if found.num_rows else np.zeros(0, np.uint64)
-    values = np.array(found.column("value").to_pylist(), np.float32).reshape(-1, size)
+    values = found.column("logs").combine_chunks().flatten().to_numpy().reshape(-1, size) if found.num_rows else np.zeros((0, size), np.float32)
     ascending = np.argsort(grams)
     return Table(grams[ascending], np.ascontiguousarray(values[ascending]))
 
 
+def _logs(rows: DataFrame, key: str, value: str, size: int) -> DataFrame:
+    return rows.select(F.col(key).alias("gram"), F.array(*(F.log(f"{value}{k}").cast("float") for k in range(size))).alias("logs"))
+
+
 @dataclass
 class Model:
     languages: list[str]
@@ -193,6 +194,8 @@ class Model:
     spread: np.ndarray
     slope: float
     offset: float
+    #: Per order the grams and the contexts as written tables of ``gram``, ``logs``, if they are too large for ``grams`` and ``contexts``.
+    written: list[tuple[DataFrame, DataFrame]] | None = None
 
     def entropies(self, texts: list[str]) -> np.ndarray:
         """Cross-entropy per character (nats) of each text under each language; blocks bound the memory."""
@@ -246,7 +249,7 @@ class Model:
         return best, sure * np.exp(-odd / PLAUSIBLE_SPREADS)
 
 
-def train(labelled: DataFrame, calibration_rows: int = CALIBRATION_ROWS) -> Model | None:
+def train(labelled: DataFrame, calibration_rows: int = CALIBRATION_ROWS, broadcast_bytes: int = BROADCAST_BYTES) -> Model | None:
     """Fit the models on all rows of ``doc_id``, ``lang``, ``text``; None without any.
 
     Counts cover every character of every row. Highest-order probabilities come
@@ -254,6 +257,9 @@ def train(labelled: DataFrame, calibration_rows: int = CALIBRATION_ROWS) -> Mode
     with its discount. A gram that some language lacks has its backed-off
     probability there, so that one look-up serves all languages. The confidence
     is calibrated on ``calibration_rows`` rows, those of the smallest hash of the id.
+
+    The model keeps every gram: in memory if all tables take ``broadcast_bytes`` or
+    less, else as written tables that texts are joined with.
     """
     labelled = labelled.where("lang is not null and text is not null")
     languages = sorted(r[0] for r in labelled.select("lang").distinct().collect())
@@ -265,12 +271,16 @@ def train(labelled: DataFrame, calibration_rows: int = CALIBRATION_ROWS) -> Mode
         kinds = orders[0].withColumn("gram", _low(F.col("gram"), order)).groupBy("gram")
         orders.insert(0, materialize(kinds.agg(*(F.count_if(F.col(f"n{k}") > 0).alias(f"n{k}") for k in range(size))), "gram-kinds"))
     alphabet = max(2, orders[0].count() + 1)
-    grams, contexts, lower = [], [], None
+    written, lower = [], None
     for order in range(1, ORDER + 1):
         lower, weights = _estimates(orders[order - 1], lower, order, size, alphabet)
-        grams.append(_table(lower, "gram", "n", "p", size))
-        contexts.append(_table(weights, "context", "t", "left", size))
-    model = Model(languages, grams, contexts, -float(np.log(alphabet)), np.zeros(size), np.ones(size), 1.0, 0.0)
+        written.append((_logs(lower, "gram", "p", size), _logs(weights, "context", "left", size)))
+    entries = sum(rows.count() for pair in written for rows in pair)
+    model = Model(languages, [], [], -float(np.log(alphabet)), np.zeros(size), np.ones(size), 1.0, 0.0)
+    if entries * (8 + 4 * size) <= broadcast_bytes:
+        model.grams, model.contexts = [_table(g, size) for g, _ in written], [_table(c, size) for _, c in written]
+    else:
+        model.written = written
     _calibrate(model, labelled, calibration_rows)
     return model
 
@@ -301,7 +311,48 @@ def _calibrate(model: Model, labelled: DataFrame, rows: int) -> None:
     model.slope, model.offset = float(beta[0]), float(beta[1])
 
 
+def _text_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for piece in _pieces(text) if has_letter(text) else ():
+                grams, n = np.unique(piece, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array([key] * len(grams), pa.binary()), pa.array(grams.view(np.int64)), pa.array(n.astype(np.int64))], ["text_id", "gram", "n"])
+
+
+def _gram_logs(grams: DataFrame, model: Model) -> DataFrame:
+    """``gram`` and its log probabilities ``logs`` under all languages, by joins: each order takes what the one above lacks."""
+    size = len(model.languages)
+    plus = lambda a, b: F.transform(a, lambda x, k: x + b[k])
+    rest, done = grams.select("gram").distinct().withColumn("sum", F.array(*[F.lit(0.0)] * size)), []
+    for order in range(ORDER, 0, -1):
+        of_grams, of_contexts = model.written[order - 1]
+        low = rest.withColumn("low", _low(F.col("gram"), order) if order < ORDER else F.col("gram"))
+        low = low.withColumn("context", F.shiftrightunsigned("low", UNIT_BITS))
+        low = low.join(of_grams.select(F.col("gram").alias("low"), F.col("logs").alias("own")), "low", "left")
+        low = low.join(of_contexts.select(F.col("gram").alias("context"), F.col("logs").alias("left")), "context", "left")
+        either = F.when(F.col("own").isNotNull(), plus(F.col("sum"), F.col("own"))).when(F.col("left").isNotNull(), plus(F.col("sum"), F.col("left"))).otherwise(F.col("sum"))
+        tried = materialize(low.select("gram", either.alias("sum"), F.col("own").isNotNull().alias("found")), "gram-logs")
+        done.append(tried.where("found").select("gram", "sum"))
+        rest = tried.where("not found").select("gram", "sum")
+    for part in done:
+        rest = rest.union(part) if part is not done[0] else rest.select("gram", F.transform("sum", lambda x: x + model.floor)).union(part)
+    return rest.toDF("gram", "logs")
+
+
+def _joined_entropies(rows: DataFrame, model: Model) -> DataFrame:
+    """Add ``entropies`` by joins, for tables of any size; a text is known by its digest, so repeats only scale both sums."""
+    rows = rows.withColumn("text_id", text_key(text_or_empty(F.col("text"))))
+    grams = materialize(rows.where("text is not null").select("text_id", "text").mapInArrow(_text_grams, "text_id binary, gram bigint, n bigint"), "text-grams")
+    scored = grams.join(materialize(_gram_logs(grams, model), "all-gram-logs"), "gram")
+    sums = [F.sum(F.col("n") * F.col("logs")[k]).alias(f"s{k}") for k in range(len(model.languages))]
+    found = scored.groupBy("text_id").agg(F.sum("n").alias("size"), *sums)
+    entropies = F.array(*(-F.col(f"s{k}") / F.col("size") for k in range(len(model.languages))))
+    return rows.join(materialize(found.select("text_id", entropies.alias("entropies")), "text-entropies"), "text_id", "left").drop("text_id")
+
+
 def _entropy_rows(rows: DataFrame, model: Model) -> DataFrame:
+    if model.written is not None:
+        return _joined_entropies(rows, model)
     shared = rows.sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf(ArrayType(DoubleType()))
@@ -330,18 +381,33 @@ def identify(docs: DataFrame, model: Model | None, text: str = "text", reject_be
     """
     rows = kept_apart(docs, text=text)
     languages = model.languages if model else []
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    joined = model is not None and model.written is not None
+    shared = docs.sparkSession.sparkContext.broadcast(replace(model, written=None) if joined else model)
+    result = StructType([StructField("lang_pred", StringType()), StructField("score", DoubleType())])
 
-    @F.arrow_udf(StructType([StructField("lang_pred", StringType()), StructField("score", DoubleType())]))
-    def predict(texts: pa.Array) -> pa.Array:
-        found = texts.to_pylist()
-        known = [at for at, t in enumerate(found) if languages and has_letter(t)]
-        names, scores = [UNDETERMINED] * len(found), [0.0] * len(found)
+    def judged(size: int, known: list[int], entropies: Callable[[], np.ndarray]) -> pa.StructArray:
+        names, scores = [UNDETERMINED] * size, [0.0] * size
         if known:
-            best, sure = shared.value.judge(shared.value.entropies([found[at] for at in known]))
+            best, sure = shared.value.judge(entropies())
             for at, b, s in zip(known, best.tolist(), sure.tolist()):
                 names[at], scores[at] = languages[b], s
         return pa.StructArray.from_arrays([pa.array(names), pa.array(scores, pa.float64())], ["lang_pred", "score"])
 
-    found = rows.select("row", predict("text").alias("found")).select("row", "found.lang_pred", "found.score")
+    @F.arrow_udf(result)
+    def predict(texts: pa.Array) -> pa.Array:
+        found = texts.to_pylist()
+        known = [at for at, t in enumerate(found) if languages and has_letter(t)]
+        return judged(len(found), known, lambda: shared.value.entropies([found[at] for at in known]))
+
+    @F.arrow_udf(result)
+    def predict_scored(entropies: pa.Array) -> pa.Array:
+        found = entropies.to_pylist()
+        known = [at for at, e in enumerate(found) if e is not None]
+        return judged(len(found), known, lambda: np.array([found[at] for at in known]))
+
+    if joined:
+        found = _entropy_rows(rows, model).select("row", predict_scored("entropies").alias("found"))
+    else:
+        found = rows.select("row", predict("text").alias("found"))
+    found = found.select("row", "found.lang_pred", "found.score")
     return restored(found.withColumn("rejected", F.col("score") < reject_below), docs.columns, "lang_pred", "score", "rejected")

@@ -179,6 +179,29 @@ def test_every_gram_of_a_table_is_found():
     assert (held.find(grams + np.uint64(1 << 63)) == -1).all()
 
 
+def test_every_counted_gram_is_found(spark):
+    texts = many_grams()
+    rows = [(k, lang, t) for lang in texts for k, t in enumerate(texts[lang])]
+    model = langid.train(spark.createDataFrame(rows, "doc_id bigint, lang string, text string"))
+    grams = np.unique(np.concatenate([g for _, _, t in rows for g in langid._pieces(t)]))
+    assert len(model.grams[3].keys) == len(grams) > 18000 and (model.grams[3].find(grams) >= 0).all()
+    assert (model.grams[3].find(grams + np.uint64(1 << 63)) == -1).all()
+
+
+def test_tables_too_large_for_memory_are_joined_whole(spark):
+    texts = many_grams()
+    rows = [(k, lang, t) for lang in texts for k, t in enumerate(texts[lang][:20])]
+    learned = spark.createDataFrame(rows, "doc_id bigint, lang string, text string")
+    asked = [t[60:] + other[:60] + " xyz" for a, b in zip(texts["u"], texts["v"]) for t, other in ((a, b[:5]), (b, a[:5]))] + ["123", None, "", rows[0][2], rows[0][2]]
+    table = spark.createDataFrame([(k, t) for k, t in enumerate(asked)], "doc_id bigint, text string")
+    inside, outside = langid.train(learned), langid.train(learned, broadcast_bytes=0)
+    assert inside.written is None and not outside.grams and sum(g.count() for g, _ in outside.written) == sum(len(t.keys) for t in inside.grams)
+    expected, found = ({r["doc_id"]: r for r in langid.identify(table, m).collect()} for m in (inside, outside))
+    assert expected.keys() == found.keys() == set(range(len(asked)))
+    for k, r in expected.items():
+        assert found[k]["lang_pred"] == r["lang_pred"] and abs(found[k]["score"] - r["score"]) < 1e-3
+
+
 def test_long_texts_count_alike_in_blocks(monkeypatch):
     text = "Été comme hiver 12 " * 400
     whole = np.concatenate(list(langid._pieces(text)))
