@@ -89,3 +89,56 @@ SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hi
        coalesce(items_sha256, sha256('')) AS items_sha256, n_hit IS NOT NULL AS contaminated
 FROM docs d LEFT JOIN counts USING (doc_id) LEFT JOIN listed USING (doc_id)
 """
+
+#: CRC-32 of a decimal number: its bytes and eight shifts for each, reduced from all ones.
+CRC32 = r"""xor(list_reduce([4294967295] || flatten(list_transform(string_split(doc_id::VARCHAR, ''), lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1])),
+    lambda x, y: CASE WHEN y >= 0 THEN xor(x, y) WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END), 4294967295)"""
+
+
+def _field(value: str) -> str:
+    return f"coalesce(strlen(({value})::VARCHAR) || ':' || ({value})::VARCHAR, '-')"
+
+
+def _record(n_chars: str) -> str:
+    return "sha256(" + " || ".join(map(_field, ("doc_id", "source", "lang", n_chars, "text"))) + ")"
+
+
+MANIFEST = rf"""
+WITH RECURSIVE leaves AS (
+    SELECT doc_id, lang, {_record("n_chars")} AS leaf, CASE WHEN {CRC32} % 7 = 0 THEN {_record("n_chars::HUGEINT + 1")} END AS claimed FROM documents
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place, count(*) OVER (PARTITION BY lang) AS nodes FROM leaves
+), tree AS (
+    SELECT lang, 0 AS level, place, leaf AS digest, nodes FROM placed
+    UNION ALL
+    SELECT lang, level + 1, place // 2, sha256(string_agg(digest, '' ORDER BY place)), (any_value(nodes) + 1) // 2
+    FROM tree WHERE nodes > 1 GROUP BY lang, level, place // 2
+), subroots AS (
+    SELECT lang, digest, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS place, count(*) OVER () AS nodes FROM tree WHERE nodes = 1
+), top AS (
+    SELECT 0 AS level, place, digest, nodes FROM subroots
+    UNION ALL
+    SELECT level + 1, place // 2, sha256(string_agg(digest, '' ORDER BY place)), (any_value(nodes) + 1) // 2
+    FROM top WHERE nodes > 1 GROUP BY level, place // 2
+), steps AS (
+    SELECT p.lang, p.place, list(CASE WHEN s.digest IS NULL THEN '' WHEN a.place % 2 = 1 THEN 'L' || s.digest ELSE 'R' || s.digest END ORDER BY a.level) AS path
+    FROM placed p JOIN tree a ON a.lang IS NOT DISTINCT FROM p.lang AND a.place = p.place >> a.level AND a.nodes > 1
+    LEFT JOIN tree s ON s.lang IS NOT DISTINCT FROM a.lang AND s.level = a.level AND s.place = xor(a.place, 1)
+    GROUP BY p.lang, p.place
+), top_steps AS (
+    SELECT r.lang, list(CASE WHEN s.digest IS NULL THEN '' WHEN a.place % 2 = 1 THEN 'L' || s.digest ELSE 'R' || s.digest END ORDER BY a.level) AS path
+    FROM subroots r JOIN top a ON a.place = r.place >> a.level AND a.nodes > 1
+    LEFT JOIN top s ON s.level = a.level AND s.place = xor(a.place, 1)
+    GROUP BY r.lang
+), proofs AS (
+    SELECT p.doc_id, p.leaf, coalesce(p.claimed, p.leaf) AS shown, r.digest AS subroot, coalesce(s.path, []) || coalesce(t.path, []) AS path
+    FROM placed p JOIN subroots r ON r.lang IS NOT DISTINCT FROM p.lang
+    LEFT JOIN steps s ON s.lang IS NOT DISTINCT FROM p.lang AND s.place = p.place
+    LEFT JOIN top_steps t ON t.lang IS NOT DISTINCT FROM p.lang
+), folded AS (
+    SELECT *, (SELECT digest FROM top WHERE nodes = 1) AS root, sha256(coalesce(list_aggregate(list_transform(path, lambda x: x[2:]), 'string_agg', ''), '')) AS proof_sha256,
+           list_reduce([shown] || path, lambda x, y: sha256(CASE WHEN y = '' THEN x WHEN y[1] = 'L' THEN y[2:] || x ELSE x || y[2:] END)) AS folded_root
+    FROM proofs
+)
+SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified FROM folded
+"""
