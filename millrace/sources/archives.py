@@ -28,8 +28,6 @@ RECORDS = pa.schema([
 ])
 BATCH_LINES = 5000
 BATCH_CHARACTERS = 4 << 20
-#: A quoted field that is still open after so many characters was never meant to be quoted.
-RECORD_CHARACTERS = 1 << 24
 DAMAGE = (zipfile.BadZipFile, zlib.error, OSError, EOFError, NotImplementedError, RuntimeError, ValueError)
 
 CORRUPT_ARCHIVE = "corrupt or invalid archive"
@@ -86,22 +84,21 @@ def _still_quoted(line: str, quoted: bool, delimiter: str) -> bool:
 
 
 def records_of(lines: Iterable[str], delimiter: str = ",") -> Iterator[str]:
-    """Physical lines joined to records: a line break inside a quoted field belongs to the field."""
+    """Physical lines joined to records: a line break inside a quoted field belongs to the field.
+
+    A record is as long as its quotes say; one that is never closed holds the rest of the lines.
+    """
     held: list[str] = []
-    size, quoted = 0, False
+    quoted = False
     for line in lines:
         text = line.rstrip("\r\n")
         quoted = _still_quoted(text, quoted, delimiter)
         held.append(text)
-        size += len(text)
-        if quoted and size > RECORD_CHARACTERS:
-            yield from held
-        elif not quoted:
+        if not quoted:
             yield "\n".join(held)
-        else:
-            continue
-        held, size, quoted = [], 0, False
-    yield from held
+            held = []
+    if held:
+        yield "\n".join(held)
 
 
 def _read_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -107,38 +107,31 @@ def _by_place(fields: Column, header: Sequence[str], columns: Sequence[str]) ->
 def bind_by_name(lines: DataFrame, headers: Sequence[tuple], columns: Sequence[str], delimiter: str = ",") -> DataFrame:
     """Rows of ``path``, ``line`` (and ``header``) parsed by the header they came with: ``path``, the columns, the corrupt column.
 
-    ``headers``: the header line (None for all rows) and its names. There are as many as kinds of files.
+    ``headers``: the header line (None for all rows) and its names. There are as many as kinds of files, and all
+    kinds are parsed in one pass.
     """
     options = {**{k: v for k, v in CSV_OPTIONS.items() if k != "columnPruning"}, "sep": delimiter, "multiLine": "true"}
-    frames = []
-    for line, names in headers or [(None, list(columns))]:
-        mine = lines if line is None else lines.filter(F.col("header") == line)
+    kinds = list(headers) or [(None, list(columns))]
+    parsed = []
+    for k, (line, names) in enumerate(kinds):
         schema = ", ".join([*(f"`_{n}` string" for n in range(len(names))), f"`{CORRUPT}` string"])
-        parsed = mine.select("path", F.from_csv(F.col("line"), schema, options).alias("f"))
-        frames.append(parsed.select("path", *_by_place(F.col("f"), names, columns), F.col("f")[CORRUPT].alias(CORRUPT)))
-    result = frames[0]
-    for frame in frames[1:]:
-        result = result.unionByName(frame)
-    return result
+        fields = F.from_csv(F.col("line"), schema, options)
+        parsed.append((fields if line is None else F.when(F.col("header") == line, fields)).alias(f"f{k}"))
+    bound = [_by_place(F.col(f"f{k}"), names, columns) for k, (_, names) in enumerate(kinds)]
+    values = [F.coalesce(*each).alias(c) for c, each in zip(columns, zip(*bound))]
+    corrupt = F.coalesce(*(F.col(f"f{k}")[CORRUPT] for k in range(len(kinds)))).alias(CORRUPT)
+    return lines.select("path", *parsed).select("path", *values, corrupt)
 
 
-def read_csv_by_name(spark: SparkSession, path: str, columns: Sequence[str], *, delimiter: str = ",", multi_line: bool = True) -> DataFrame:
+def read_csv_by_name(spark: SparkSession, path: str, columns: Sequence[str], *, delimiter: str = ",") -> DataFrame:
     """Raw rows of CSV files with headers, bound by column name: ``path``, the columns, the corrupt column.
 
-    Files are grouped by header, one read per kind. A column that a file lacks is
-    NULL in its rows, see :func:`missing_by_file`; one that nobody asked for is dropped.
+    Large files are read in ranges. A column that a file lacks is NULL in its rows,
+    see :func:`missing_by_file`; one that nobody asked for is dropped.
     """
-    kinds = file_headers(spark, path, delimiter).groupBy("header").agg(F.collect_list("path").alias("paths")).collect()
-    frames = []
-    for kind in kinds:
-        names = [f"_{n}" for n in range(len(kind.header))]
-        rows = read_csv(spark, list(kind.paths), names or ["_0"], delimiter=delimiter, multi_line=multi_line)
-        fields = F.struct(*(F.col(n) for n in names)) if names else F.lit(None).cast("struct<_0:string>")
-        frames.append(rows.select(F.col("_metadata.file_path").alias("path"), *_by_place(fields, kind.header, columns), F.col(CORRUPT)))
-    result = frames[0] if frames else spark.createDataFrame([], T.StructType([T.StructField("path", T.StringType()), *text_schema(columns)]))
-    for frame in frames[1:]:
-        result = result.unionByName(frame)
-    return result
+    from millrace.sources.split_csv import read_csv_split
+
+    return read_csv_split(spark, path, columns, delimiter=delimiter)
 
 
 def missing_by_file(headers: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from millrace.names import PARTITIONS
+from millrace.session import materialize
 from millrace.sources.files import CSV_OPTIONS, text_schema, with_file_metadata
+from millrace.sources.split_csv import RANGE_BYTES, read_csv_split
 
 
 def file_stream(
@@ -61,6 +63,27 @@ def process_new_files(stream: DataFrame, handle: Callable[[DataFrame, int], None
     return finish(writer.start, stream.sparkSession)
 
 
+def load_large_files(
+    spark: SparkSession, path: str, target: str, checkpoint: str, columns: Sequence[str], *, run_ts: datetime | None = None,
+    files_per_batch: int | None = None, glob: str = "*.csv", delimiter: str = ",", range_bytes: int = RANGE_BYTES,
+) -> int:
+    """Append all CSV files not loaded before, each read in ranges by many tasks; returns the number of files.
+
+    The stream carries only paths and sizes. A batch that is repeated overwrites what it had written.
+    """
+    reader = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length bigint, content binary")
+    reader = reader.option("pathGlobFilter", glob)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+
+    def load(batch: DataFrame, number: int) -> None:
+        files = materialize(batch.select("path", "length"), "new-files")
+        rows = with_file_metadata(read_csv_split(batch.sparkSession, files, columns, delimiter=delimiter, range_bytes=range_bytes), F.col("path"), run_ts)
+        rows.drop("path").write.mode("overwrite").partitionBy(*PARTITIONS).parquet(f"{target}/batch={number}")
+
+    return process_new_files(reader.load(path).select("path", "length"), load, checkpoint)
+
+
 class _Rows(StreamingQueryListener):
     """Input rows of every batch of the queries started while it listens. Events arrive in order, the end last."""
 

@@ -23,10 +23,11 @@ from millrace.sinks.tables import TableStore
 from millrace.sources import archives as arc
 from millrace.sources import files as src
 from millrace.sources.rule_tables import normalize_column_rules, normalize_table_rules, rule_errors
+from millrace.sources.split_csv import read_csv_split
 from millrace.sources.storage import create_file
-from millrace.streaming.loader import file_stream, load_new_files, process_new_files
+from millrace.streaming.loader import file_stream, load_large_files, load_new_files, process_new_files
 from workload import inputs as inp
-from workload.registry import query
+from workload.registry import QUERIES, query
 
 
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -304,6 +305,49 @@ def rfc4180_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table_errors(values, judged.verdict, judged.typed, judged.rule)
 
 
+#: Small, so that the files of the given tables are cut as large files are.
+SPLIT_BYTES = 4096
+
+
+def split_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    staged = fresh_dir(spark, "rfc")
+    inp.write_named_files(rfc_lines(spark, sf_dir), "file", staged, "text")
+    raw = read_csv_split(spark, f"{staged}/*.text", ["custkey", "label"], header=False, range_bytes=SPLIT_BYTES)
+    return src.with_file_metadata(raw, F.col("path"), inp.RUN_TS, ("text",))
+
+
+@query("split_file_lines", "A8 A3 H9 E16", QUERIES["rfc4180_lines"].sql)
+def split_file_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same files read in byte ranges whose borders cut quoted line breaks."""
+    return load_messages(judge(split_raw(spark, sf_dir), RFC_TABLE, RFC_RULES).verdict)
+
+
+@query(
+    "split_file_cells", "A8 A6 A3",
+    """SELECT l_orderkey % 7 AS part, count(*) AS row_count, sum(l_linenumber)::BIGINT AS line_sum, count(*) FILTER (l_linenumber % 3 = 0) AS broken,
+      max(CASE l_linenumber % 3 WHEN 0 THEN l_partkey::VARCHAR || chr(10) || '"' || l_returnflag || '", ' || l_linestatus
+        WHEN 1 THEN l_partkey::VARCHAR || ',' || l_returnflag ELSE l_partkey::VARCHAR END) AS last_note
+    FROM lineitem GROUP BY 1""",
+)
+def split_file_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines in files with a header, loaded by a file stream that reads them in ranges; notes hold delimiters, quotes and line breaks."""
+    folder, target, state = (fresh_dir(spark, n) for n in ("landing", "tables", "checkpoint"))
+    part = F.col("l_partkey").cast("string")
+    note = (
+        F.when(F.col("l_linenumber") % 3 == 0, F.concat(part, F.lit('\n"'), "l_returnflag", F.lit('", '), "l_linestatus"))
+        .when(F.col("l_linenumber") % 3 == 1, F.concat(part, F.lit(","), "l_returnflag")).otherwise(part)
+    )
+    rows = inp.table(spark, sf_dir, "lineitem").select(
+        (F.col("l_orderkey") % 7).cast("string").alias("part"), F.col("l_linenumber").cast("string").alias("line"), note.alias("note")
+    )
+    rows.write.option("header", True).option("quoteAll", True).option("escape", '"').option("maxRecordsPerFile", 50_000).csv(folder)
+    load_large_files(spark, folder, target, state, ["part", "line", "note"], run_ts=inp.RUN_TS, range_bytes=1 << 18)
+    return spark.read.parquet(target).groupBy(F.col("part").cast("bigint").alias("part")).agg(
+        F.count(F.lit(1)).alias("row_count"), F.sum(F.col("line").cast("bigint")).alias("line_sum"),
+        F.count_if(F.contains("note", F.lit("\n"))).alias("broken"), F.max("note").alias("last_note"),
+    )
+
+
 @query(
     "raw_scan_status", "A9",
     """SELECT 'orders' AS table_name, 'READY' AS scan_status, count(*) AS row_count FROM orders
