@@ -38,24 +38,29 @@ def mandatory_null(rule: ColumnRule) -> Column:
     return missing if rule.is_text else missing & ~col(bad_name(rule))
 
 
+def counter_columns(table: TypedTable, rule: TableRule) -> tuple[dict[str, Column], Column]:
+    """What is counted of a file's rows, as conditions by name, and the date of a row; ``over_n`` are lines over the n-th limit."""
+    no_value = any_of([mandatory_null(r) for r in table.rules if not r.nullable])
+    remaining = col(FLAGS) < GONE
+    counters = {"total_rows": F.lit(True), "corrupt_rows": col(CORRUPT_LINE), "dropped_rows": col(DROPPED)}
+    counters |= {bad_count_name(r): col(bad_name(r)) for r in table.checked}
+    counters |= {"null_rows": remaining & no_value}
+    counters |= {f"over_{n}": remaining & (col(FLAGS) > n) for n in line_limits(table, rule)}
+    return counters, load_date(table.kept)
+
+
 def file_counts(table: TypedTable, rule: TableRule) -> DataFrame:
     """Row, corrupt, removed and invalid-cell counts of every file.
 
     One hash aggregate with map-side partial counts, whatever the number of
     files and columns, so one dominant file is no bottleneck.
     """
-    bad = [F.count_if(col(bad_name(r))).alias(bad_count_name(r)) for r in table.checked]
-    no_value = any_of([mandatory_null(r) for r in table.rules if not r.nullable])
-    remaining = col(FLAGS) < GONE
-    over = [F.count_if(remaining & (col(FLAGS) > n)) for n in line_limits(table, rule)]
+    counters, date = counter_columns(table, rule)
+    over = [F.count_if(c) for name, c in counters.items() if name.startswith("over_")]
     return table.frame.groupBy(FILE).agg(
-        F.count(F.lit(1)).alias("total_rows"),
-        F.count_if(col(CORRUPT_LINE)).alias("corrupt_rows"),
-        F.count_if(col(DROPPED)).alias("dropped_rows"),
-        *bad,
+        *(F.count_if(c).alias(name) for name, c in counters.items() if not name.startswith("over_")),
         F.array(*over).alias("lines_over"),
-        F.count_if(remaining & no_value).alias("null_rows"),
-        F.max(load_date(table.kept)).alias("load_date"),
+        F.max(date).alias("load_date"),
     )
 
 

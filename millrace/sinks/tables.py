@@ -13,11 +13,14 @@ from pyspark.sql import types as T
 
 from millrace.names import PARTITIONS, any_of, col
 from millrace.session import materialize
+from millrace.sinks.schemas import as_schema, merged
 from millrace.sources.files import hadoop_path
 
 SNAPSHOT_FORMAT = "%Y%m%dT%H%M%S"
 SCHEMA_FILE = "_schema.json"
 BUCKETS_FILE = "_buckets.json"
+#: Marks a table in which a column changed its type, so that each run is read with its own schema.
+CHANGED_FILE = "_changed"
 BUCKET, RUN = "bucket", "run_id"
 #: A merged table gets a bucket for so many rows of its first load, between these numbers of buckets.
 ROWS_PER_BUCKET = 250_000
@@ -71,14 +74,12 @@ class TableStore:
         return self._has(f"{self.root}/_finished/{run}")
 
     def _remember(self, path: str, schema: T.StructType) -> None:
-        """Keep the schema of all rows below ``path``: earlier columns, then new ones."""
+        """Keep the schema of all rows below ``path``: earlier columns, then new ones; a changed type becomes one that takes both."""
         known = self._schema(path)
-        fields = {f.name: f for f in (known.fields if known else [])}
-        for field in schema:
-            if field.name in fields and fields[field.name].dataType != field.dataType:
-                raise ValueError(f"column {field.name} was {fields[field.name].dataType.simpleString()}, now {field.dataType.simpleString()}")
-            fields.setdefault(field.name, T.StructField(field.name, field.dataType))
-        self._put(f"{path}/{SCHEMA_FILE}", T.StructType(list(fields.values())).json())
+        grown = merged(known, schema)
+        if known and any(grown[f.name].dataType != f.dataType for f in [*known, *schema]):
+            self._put(f"{path}/{CHANGED_FILE}", "")
+        self._put(f"{path}/{SCHEMA_FILE}", grown.json())
 
     def _schema(self, path: str) -> T.StructType | None:
         found = f"{path}/{SCHEMA_FILE}"
@@ -129,8 +130,28 @@ class TableStore:
         return self._read_parts(self.path(name), [f"{self.path(name)}/{RUN}={run}"], (RUN,))
 
     def _read_parts(self, base: str, parts: Sequence[str], technical: Sequence[str], schema: T.StructType | None = None) -> DataFrame:
+        """Rows of some runs' folders. Where types changed each run is read with its own; runs of equal types are one scan."""
         schema = schema or self._schema(base)
-        return self.spark.read.schema(schema).option("basePath", base).parquet(*parts).drop(*technical)
+        if not self._has(f"{base}/{CHANGED_FILE}"):
+            return self.spark.read.schema(schema).option("basePath", base).parquet(*parts).drop(*technical)
+        kinds: dict[str, list[str]] = {}
+        own: dict[str, str] = {}
+        for part in parts:
+            run = part[len(base) :].strip("/").split("/")[0]
+            if run not in own:
+                own[run] = (self._schema(f"{base}/{run}") or schema).json()
+            kinds.setdefault(own[run], []).append(part)
+        frames = []
+        for kind, folders in kinds.items():
+            # Columns that came after this run read as NULL.
+            written = T.StructType.fromJson(json.loads(kind))
+            later = [f for f in schema if f.name not in written.fieldNames()]
+            rows = self.spark.read.schema(T.StructType([*written, *later])).option("basePath", base).parquet(*folders)
+            frames.append(as_schema(rows.drop(*technical), T.StructType([f for f in schema if f.name not in technical])))
+        result = frames[0]
+        for frame in frames[1:]:
+            result = result.union(frame)
+        return result
 
     def _read_snapshot(self, name: str, folder: str) -> DataFrame:
         schema = self._schema(folder)
@@ -141,10 +162,14 @@ class TableStore:
         return self.spark.read.schema(schema).parquet(folder) if schema else self.spark.read.parquet(folder)
 
     def append(self, name: str, df: DataFrame, partition_by: Sequence[str] = PARTITIONS, run: str | None = None) -> None:
-        """Add rows, new columns allowed. A run that repeats an append overwrites its own rows."""
+        """Add rows; new columns and changed types are allowed, see :func:`millrace.sinks.schemas.wider`.
+
+        A run that repeats an append overwrites its own rows.
+        """
         folder = f"{self.path(name)}/{RUN}={run or f'auto-{uuid.uuid4().hex}'}"
         self._remember(self.path(name), df.schema)
         _balanced(df, partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(folder)
+        self._put(f"{folder}/{SCHEMA_FILE}", merged(None, df.schema).json())
 
     def overwrite_partitions(self, name: str, df: DataFrame, partition_by: Sequence[str] = PARTITIONS) -> None:
         """Replace only the partitions that ``df`` has rows for."""
@@ -179,17 +204,23 @@ class TableStore:
         new = batch.withColumn(BUCKET, F.pmod(spread, F.lit(count)).cast("int"))
         touched = [r[0] for r in new.select(BUCKET).distinct().collect()]  # at most MOST_BUCKETS
         base, label = f"{self.path(name)}/_data", run or f"auto-{uuid.uuid4().hex}"
-        schema = T.StructType([T.StructField(f.name, f.dataType) for f in new.schema])
+        known = self._schema(folders[-1][2]) if folders else None
+        schema = merged(known, new.schema)
+        changed = [k for k in keys if known and k in known.fieldNames() and known[k].dataType != new.schema[k].dataType]
+        if changed:
+            raise ValueError(f"a merge key cannot change its type: {', '.join(changed)}")  # its hash names the bucket
+        if known and any(schema[f.name].dataType != f.dataType for f in [*known, *new.schema]):
+            self._put(f"{base}/{CHANGED_FILE}", "")
+        new = as_schema(new, schema)
         old_parts = [before["parts"][str(b)] for b in touched if str(b) in before["parts"]] if before else []
         if old_parts:
-            known = self._schema(folders[-1][2])
-            old = self._read_parts(base, [f"{base}/{p}" for p in old_parts], (RUN,), known)
+            old = self._read_parts(base, [f"{base}/{p}" for p in old_parts], (RUN,), schema)
             lost = new.filter(~keyless).select(BUCKET, *(col(k) for k in keys))
             kept = old.filter(~keyless).join(lost, [BUCKET, *keys], "left_anti").unionByName(old.filter(keyless))
-            new = kept.unionByName(new, allowMissingColumns=True)
-            schema = T.StructType([T.StructField(f.name, f.dataType) for f in new.schema])
+            new = kept.unionByName(new)
         target = f"{base}/{RUN}={label}"
         _balanced(new, [BUCKET, *partition_by]).write.mode("overwrite").partitionBy(BUCKET, *partition_by).parquet(target)
+        self._put(f"{target}/{SCHEMA_FILE}", schema.json())
         number, folder = self._next_snapshot(name, at, run)
         parts = {**(before["parts"] if before else {}), **{str(b): f"{RUN}={label}/{BUCKET}={b}" for b in touched}}
         self._remember(folder, schema)

@@ -26,6 +26,7 @@ from millrace.sources.rule_tables import normalize_column_rules, normalize_table
 from millrace.sources.split_csv import read_csv_split
 from millrace.sources.storage import create_file
 from millrace.streaming.loader import file_stream, load_large_files, load_new_files, process_new_files
+from millrace.streaming.partial_files import PART_SIGN, judge_parts, mark_stream, part_stream, verdicts_of_parts
 from workload import inputs as inp
 from workload.registry import QUERIES, query
 
@@ -489,3 +490,21 @@ def stream_file_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     process_new_files(stream, handle, state)
     return spark.read.parquet(target).select(FILE, "total_rows", "status", "accepted_rows")
+
+
+@query(
+    "verdicts_of_file_parts", "A3 E12",
+    f"""WITH {inp.VERDICT_ORDERS} SELECT file AS "FILE_NAME_RECEIVED", total AS total_rows, status, accepted AS accepted_rows, 'COMPLETE' AS reason FROM verdict""",
+)
+def verdicts_of_file_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders delivered in interleaved parts over several batches: a file is judged once its mark says that it is whole."""
+    folder, marks, target, state = (fresh_dir(spark, n) for n in ("landing", "marks", "verdicts", "checkpoint"))
+    raw = inp.raw_orders(spark, sf_dir)
+    piece = F.pmod(F.xxhash64("o_orderkey"), F.lit(3)).cast("string")
+    parts = raw.withColumn("part", F.concat(F.col(FILE), F.lit(PART_SIGN), piece)).drop(FILE)
+    inp.write_named_files(parts, "part", folder, "csv", header=True, quoteAll=True, emptyValue="", nullValue="")
+    raw.groupBy(F.col(FILE).alias("file")).agg(F.count(F.lit(1)).alias("expected")).write.option("header", True).csv(marks)
+    rows = part_stream(spark, folder, inp.ORDER_COLUMNS, run_ts=inp.RUN_TS, files_per_batch=12)
+    verdicts = verdicts_of_parts(rows, mark_stream(spark, marks), inp.ORDER_TABLE, inp.ORDER_RULES, timeout_ms=3_600_000)
+    judge_parts(verdicts.select(FILE, "total_rows", "status", "accepted_rows", "reason"), target, state)
+    return spark.read.parquet(target)

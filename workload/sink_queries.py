@@ -48,6 +48,32 @@ def append_with_new_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "append_with_changed_types", "B1",
+    """SELECT 'decimal(22,2)' AS price_type, 'string' AS code_type, 'double' AS rate_type, o_orderstatus, count(*) AS row_count,
+      sum(CASE WHEN o_orderstatus = 'F' THEN floor(o_totalprice) ELSE CAST(o_totalprice AS DECIMAL(15,2)) END)::DECIMAL(22,2) AS price,
+      max(CASE WHEN o_orderstatus = 'F' THEN CAST(o_custkey AS VARCHAR) ELSE 'C' || o_custkey END) AS last_code,
+      sum(CASE WHEN o_orderstatus = 'F' THEN o_custkey ELSE o_custkey / 2::DOUBLE END)::DOUBLE AS rates FROM orders GROUP BY o_orderstatus""",
+)
+def append_with_changed_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deliveries with whole prices, then decimal ones; number codes, then text; the table's types take them all."""
+    store, orders = store_for(spark), inp.table(spark, sf_dir, "orders")
+    key, price = F.col("o_custkey"), F.col("o_totalprice")
+    shapes = {
+        "F": [F.floor(price).cast("bigint"), key.cast("int"), key.cast("int")],
+        "O": [price.cast("decimal(15,2)"), F.concat(F.lit("C"), key.cast("string")), key / F.lit(2.0)],
+        "P": [price.cast("decimal(15,2)"), F.concat(F.lit("C"), key.cast("string")), (key / F.lit(2.0)).cast("double")],
+    }
+    for status, columns in shapes.items():
+        rows = orders.filter(F.col("o_orderstatus") == status)
+        store.append("orders", rows.select("o_orderstatus", *(c.alias(n) for c, n in zip(columns, ("price", "code", "rate")))), ())
+    read = store.read("orders")
+    kinds = dict(read.dtypes)
+    return read.groupBy("o_orderstatus").agg(
+        F.count(F.lit(1)).alias("row_count"), F.sum("price").cast("decimal(22,2)").alias("price"), F.max("code").alias("last_code"), F.sum("rate").alias("rates")
+    ).select(*(F.lit(kinds[c]).alias(f"{c}_type") for c in ("price", "code", "rate")), "*")
+
+
 @query(
     "full_snapshot_ingest", "B2 B3 B5 B6",
     f"""WITH {inp.VERDICT_ORDERS}, g AS (SELECT file, substr(file, 8, 4)::INTEGER AS yyyy, k FROM good)
