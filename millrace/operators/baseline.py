@@ -12,6 +12,9 @@ from millrace.session import materialize
 
 ROWS = "*"
 ROW_COUNT_PERCENT = 5.0
+#: So many columns are compared in one pass over all cells.
+NARROW_COLUMNS = 8
+SHORT_KINDS = {"boolean", "tinyint", "smallint", "int", "bigint", "float", "double", "date", "timestamp"}
 
 
 def common_columns(actual: DataFrame, baseline: DataFrame) -> list[str]:
@@ -116,26 +119,23 @@ def row_balance(actual: DataFrame, baseline: DataFrame, keys: Sequence[str], col
     )
 
 
-def row_digest(df: DataFrame, columns: Sequence[str]) -> Column:
-    """SHA-256 of a row: NULLs and the length of each value are part of it, so that different rows never look alike."""
+def row_hashes(df: DataFrame, columns: Sequence[str]) -> tuple[Column, Column]:
+    """Two 64-bit hashes of a row. Which cells are NULL is part of them, for Spark's hash passes over NULLs; -0.0 equals 0.0."""
     kinds = dict(df.dtypes)
-    parts = []
-    for c in columns:
-        value = col(c) + F.lit(0).cast(kinds[c]) if kinds[c] in ("float", "double") else F.hex(c) if kinds[c] == "binary" else col(c)
-        text = value.cast("string")
-        parts.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("N")))
-    return F.sha2(F.concat_ws("|", *parts), 256) if parts else F.lit("")
+    values = [col(c) + F.lit(0).cast(kinds[c]) if kinds[c] in ("float", "double") else col(c) for c in columns]
+    nulls = F.concat(F.lit(""), *(F.when(col(c).isNull(), "1").otherwise("0") for c in columns))
+    return F.xxhash64(F.lit(1), nulls, *values), F.xxhash64(F.lit(2), nulls, *values)
 
 
 def key_balance(actual: DataFrame, baseline: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """Rows per key on both sides and whether they differ; only keys and row digests are shuffled."""
+    """Rows per key on both sides and whether they differ; only keys and 128 bits of hashes of a row are shuffled."""
     rest = [c for c in columns if c not in set(keys)]
-    digest = "__digest"
-    sides = [df.select(*(col(k) for k in keys), row_digest(df, rest).alias(digest)) for df in (actual, baseline)]
     if [dict(actual.dtypes)[c] for c in rest] != [dict(baseline.dtypes)[c] for c in rest]:
         balance = row_balance(actual, baseline, keys, columns)  # types differ: let Spark find the common ones
     else:
-        balance = row_balance(*sides, keys, [digest])
+        hashes = ["__hash_1", "__hash_2"]
+        sides = [df.select(*(col(k) for k in keys), *(h.alias(n) for h, n in zip(row_hashes(df, rest), hashes))) for df in (actual, baseline)]
+        balance = row_balance(*sides, keys, hashes)
     return balance.groupBy(*(col(k) for k in keys)).agg(
         F.sum("in_actual").alias("actual_rows"),
         F.sum("in_baseline").alias("baseline_rows"),
@@ -158,23 +158,46 @@ def compare_rows(
     return per_key.withColumn("row_status", status).drop("__differs")
 
 
+def _short(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Keys and cells, each of 16 bytes at most: cells of other kinds are replaced by two hashes."""
+    kinds = dict(df.dtypes)
+
+    def cell(c: str) -> Column:
+        if kinds[c] in SHORT_KINDS or kinds[c].startswith("decimal"):
+            return col(c)
+        return F.when(col(c).isNotNull(), F.struct(F.xxhash64(F.lit(1), col(c)), F.xxhash64(F.lit(2), col(c)))).alias(c)
+
+    return df.select(*(col(k) for k in keys), *(cell(c) for c in columns if c not in set(keys)))
+
+
 def match_rates(
     actual: DataFrame, baseline: DataFrame, keys: Sequence[str], tolerances: dict[str, float]
 ) -> DataFrame:
     """Share of baseline rows whose key holds an equal value, per column.
 
-    Digests tell which keys differ at all; rows of the others match in every
+    Hashes tell which keys differ at all; rows of the others match in every
     column and are only counted. Full rows move for differing keys alone, and of
     these, rows equal as a whole are counted and just the rest is compared
-    column by column.
+    column by column. Of a few columns all cells move at once, long ones as
+    hashes of 128 bits.
     """
     columns = list(tolerances)
-    per_key = materialize(key_balance(actual, baseline, keys, columns), "key-balance")
+    if len(columns) <= NARROW_COLUMNS and all(dict(actual.dtypes)[c] == dict(baseline.dtypes)[c] for c in columns):
+        balance = row_balance(*(_short(df, keys, columns) for df in (actual, baseline)), keys, columns)
+        return _rates(balance, keys, tolerances, F.lit(0), F.coalesce(F.sum("in_baseline"), F.lit(0)))
+    per_key = key_balance(actual, baseline, keys, columns)
     differing = materialize(per_key.filter("__differs").select(*(col(k).alias(f"__at_{k}") for k in keys)), "differing-keys")
+    all_rows = baseline.count()
     at = [col(k).eqNullSafe(col(f"__at_{k}")) for k in keys]
     actual, baseline = (df.join(differing, at, "left_semi") for df in (actual, baseline))
-    equal = F.lit(per_key.filter("not __differs").agg(F.coalesce(F.sum("baseline_rows"), F.lit(0))).first()[0])
+    equal = F.lit(all_rows) - F.coalesce(F.sum("in_baseline"), F.lit(0))
     balance = materialize(row_balance(actual, baseline, keys, columns), "row-balance")
+    return _rates(balance, keys, tolerances, equal, F.lit(all_rows).cast("bigint"))
+
+
+def _rates(balance: DataFrame, keys: Sequence[str], tolerances: dict[str, float], equal: Column, all_rows: Column) -> DataFrame:
+    """Match rates from a row balance, ``equal`` baseline rows beyond it that match everywhere, and the number of baseline rows."""
+    columns = list(tolerances)
     same = F.least("in_actual", "in_baseline")
     rest = balance.withColumns({"__a": F.col("in_actual") - same, "__b": F.col("in_baseline") - same}).filter(
         (F.col("__a") > 0) | (F.col("__b") > 0)
@@ -191,8 +214,8 @@ def match_rates(
     )
     names = F.array(*(F.lit(c) for c in columns))
     whole = (
-        balance.agg(F.coalesce(F.sum(same), F.lit(0)).alias("matched"), F.coalesce(F.sum("in_baseline"), F.lit(0)).alias("baseline_rows"))
-        .select(F.explode(names).alias("column_name"), (F.col("matched") + equal).alias("matched"), (F.col("baseline_rows") + equal).alias("baseline_rows"))
+        balance.agg((F.coalesce(F.sum(same), F.lit(0)) + equal).alias("matched"), all_rows.alias("baseline_rows"))
+        .select(F.explode(names).alias("column_name"), "matched", "baseline_rows")
     )
     limit = F.coalesce(*(F.when(F.col("column_name") == c, F.lit(float(t))) for c, t in tolerances.items()))
     summed = whole.unionByName(partly).groupBy("column_name").agg(

@@ -8,12 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators import baseline as base
+from millrace.operators.digest_tree import compare_with_digests, save_digests
 from millrace.operators.metrics import dataset_metrics
 from millrace.plans.compare import compare_tables, validate_datasets
 from millrace.session import fresh_dir
 from millrace.sinks.tables import TableStore
 from workload import inputs as inp
-from workload.registry import query
+from workload.registry import QUERIES, query
 
 # The current orders: some are gone, some are new, some prices and priorities differ.
 ACTUAL_SQL = """actual AS (SELECT CASE WHEN o_orderkey % 83 = 0 THEN o_orderkey + 1000000000 ELSE o_orderkey END AS o_orderkey, o_custkey, o_orderstatus,
@@ -95,6 +96,31 @@ def keyed_row_statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return base.compare_rows(*both(spark, sf_dir), ["o_orderkey"])
 
 
+@query("digest_tree_statuses", "J4 B9", QUERIES["keyed_row_statuses"].sql)
+def digest_tree_statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same statuses from digests stored with the baseline: of it only ranges that differ are read."""
+    store = TableStore(spark, fresh_dir(spark, "store"))
+    actual, baseline = both(spark, sf_dir)
+    save_digests(store, baseline, "orders", ["o_orderkey"], inp.RUN_TS, base.common_columns(actual, baseline))
+    return compare_with_digests(store, actual, "orders")
+
+
+@query(
+    "digest_tree_changes", "J4 B9",
+    """SELECT c_custkey, CASE WHEN c_custkey % 500 = 0 THEN 'MISSING' ELSE 'DIFFERENT' END AS row_status, CASE WHEN c_custkey % 500 = 0 THEN 0 ELSE 1 END AS actual_rows,
+      1 AS baseline_rows FROM customer WHERE c_custkey % 500 = 0 OR c_custkey % 400 = 1""",
+)
+def digest_tree_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Few changes: only the keys that differ, from the few ranges that hold them."""
+    store = TableStore(spark, fresh_dir(spark, "store"))
+    customer = inp.table(spark, sf_dir, "customer")
+    save_digests(store, customer, "customer", ["c_custkey"], inp.RUN_TS)
+    now = customer.where("c_custkey % 500 <> 0").withColumn(
+        "c_name", F.when(F.col("c_custkey") % 400 == 1, F.lit(None)).otherwise(F.col("c_name")).cast("string")
+    )
+    return compare_with_digests(store, now, "customer", only_differences=True)
+
+
 @query(
     "repeated_key_statuses", "J4",
     """WITH a AS (SELECT l_orderkey, l_linenumber, l_partkey, count(*) AS n FROM lineitem GROUP BY ALL),
