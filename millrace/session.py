@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,6 +50,39 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
     return f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+_open = threading.local()
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Remove at the end what :func:`materialize` writes inside; :func:`keep` takes a result out of the scope.
+
+    Nothing that is used after the scope may read a table written in it. Results that are
+    kept have their lineage cut, so that lost executors never ask for a removed table.
+    """
+    stack = _open.__dict__.setdefault("scopes", [])
+    paths: list[str] = []
+    stack.append(paths)
+    try:
+        yield
+    finally:
+        stack.remove(paths)
+        for path in paths:
+            handle = spark._jvm.org.apache.hadoop.fs.Path(path)
+            handle.getFileSystem(spark._jsc.hadoopConfiguration()).delete(handle, True)
+
+
+def keep(df: DataFrame, label: str) -> DataFrame:
+    """:func:`materialize` for the scope around the present one."""
+    stack = _open.__dict__.setdefault("scopes", [])
+    inner = stack.pop() if stack else None
+    try:
+        return materialize(df, label)
+    finally:
+        if inner is not None:
+            stack.append(inner)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
@@ -57,5 +93,7 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = fresh_dir(spark, label)
+    if scopes := _open.__dict__.get("scopes"):
+        scopes[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
