@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import kept_apart, let, link_groups, materialize, text_key, text_or_empty
+from millrace.llm.common import keep, kept_apart, let, link_groups, materialize, scratch_scope, text_key, text_or_empty
 
 #: Two lines are near duplicates if their sets of five-character shingles have at least this Jaccard similarity.
 SHINGLE = 5
@@ -16,62 +18,136 @@ SIMILARITY = 0.8
 #: Similar lines differ in size by a fifth at most, so that both have one of the two in common.
 SHORT, LONG = 50, 40
 LEAST = 12
-#: Bands of BAND_BINS bins each; the least hash of every bin is an independent sample. A pair of similarity 0.8 shares a band with 0.998.
-BANDS, BAND_BINS = 16, 5
-BIN = -(-(1 << 63) // (BANDS * BAND_BINS))
+#: Bands of BAND_BINS bins each; the least hash of every bin is a sample, an empty bin borrows that of another one.
+#: A pair of similarity 0.8 shares a band with 0.992, one of 0.85 with 0.9995.
+BANDS, BAND_BINS = 16, 6
+BINS = BANDS * BAND_BINS
+BORROWS = 64
 #: Words of 64 bits in a parity bitmap.
 WORDS = 8
-WORD = (1 << 63) // WORDS
 BROADCAST_BYTES = 32 << 20
+#: Lines and code points that are sketched at once, and nodes that a task remembers so as to sketch equal lines once.
+CHUNK_LINES, CHUNK_POINTS = 1 << 14, 1 << 20
+REMEMBERED = 1 << 20
+#: Bits of a shingle hash; the place of a line within its chunk stands above them.
+HASH_BITS = 50
+#: Odd multipliers of the five code points of a shingle and of the mixing steps, by the golden ratio.
+GOLDEN = 0x9E3779B97F4A7C15
+MULTIPLIERS = [np.uint64((GOLDEN * (2 * k + 1)) % (1 << 64) | 1) for k in range(SHINGLE + 2)]
+SKETCH = pa.schema([("node", pa.int64()), ("size", pa.int32()), *((f"w{k}", pa.int64()) for k in range(WORDS)), ("buckets", pa.list_(pa.int64()))])
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    for k in (SHINGLE, SHINGLE + 1):
+        x = (x ^ (x >> np.uint64(31))) * MULTIPLIERS[k]
+    return x ^ (x >> np.uint64(29))
+
+
+def _shingle_hashes(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The place of the line and the hash of all distinct shingles of some lines, by line, then hash."""
+    points = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    lengths = np.fromiter(map(len, lines), np.int64, len(lines))
+    ends = np.cumsum(lengths)
+    width = len(points) - SHINGLE + 1
+    hashes = np.zeros(max(width, 0), np.uint64)
+    for k in range(SHINGLE):
+        hashes += (points[k : k + max(width, 0)] + np.uint64(k)) * MULTIPLIERS[k]
+    line = np.repeat(np.arange(len(lines)), lengths)[: max(width, 0)]
+    inside = np.arange(max(width, 0)) + SHINGLE <= ends[line]
+    # A line shorter than a shingle is one shingle.
+    short = np.flatnonzero((lengths < SHINGLE) & (lengths > 0))
+    whole = np.array([sum((ord(c) + k) * int(MULTIPLIERS[k]) for k, c in enumerate(lines[i])) % (1 << 64) ^ GOLDEN for i in short], np.uint64)
+    line, hashes = np.concatenate([line[inside], short]), np.concatenate([hashes[inside], whole])
+    keys = line.astype(np.uint64) << np.uint64(HASH_BITS) | _mixed(hashes) >> np.uint64(64 - HASH_BITS)
+    keys.sort()
+    keys = keys[np.concatenate([[True], keys[1:] != keys[:-1]])] if len(keys) else keys
+    return (keys >> np.uint64(HASH_BITS)).astype(np.int64), keys & np.uint64((1 << HASH_BITS) - 1)
+
+
+def _starts(*of: np.ndarray) -> np.ndarray:
+    """Where a new group of equal values begins."""
+    new = np.zeros(len(of[0]), bool)
+    new[:1] = True
+    for values in of:
+        new[1:] |= values[1:] != values[:-1]
+    return np.flatnonzero(new)
+
+
+def _buckets(line: np.ndarray, hashes: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``line`` and bucket: neighbours of the least hashes for short lines, bands of bins for long ones."""
+    first = np.cumsum(size) - size
+    rank = np.arange(len(line)) - first[line]
+    near = np.flatnonzero((size[line] <= SHORT) & (rank < LEAST) & ((rank + 1 < np.minimum(size[line], LEAST)) | (size[line] == 1)))
+    after = np.where(size[line[near]] > 1, hashes[np.minimum(near + 1, len(hashes) - 1)], np.uint64(0))
+    short = _mixed(hashes[near] * MULTIPLIERS[0] + _mixed(after + MULTIPLIERS[1]))
+    long, keys = _bands(line, hashes, np.flatnonzero(size >= LONG))
+    return np.concatenate([line[near], np.repeat(long, BANDS)]), np.concatenate([short, keys.ravel()])
+
+
+def _bands(line: np.ndarray, hashes: np.ndarray, long: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The long lines and, per line, a key of each band: of the least hashes of its bins."""
+    none = np.uint64((1 << 64) - 1)
+    row = np.full(int(line[-1]) + 1 if len(line) else 0, -1)
+    row[long] = np.arange(len(long))
+    bins = (hashes >> np.uint64(HASH_BITS - 32)) * np.uint64(BINS) >> np.uint64(32)
+    least = _starts(line, bins) if len(line) else np.zeros(0, np.int64)
+    least = least[row[line[least]] >= 0]
+    found = np.full((len(long), BINS), none)
+    found[row[line[least]], bins[least].astype(np.int64)] = hashes[least]
+    filled = found.copy()
+    for turn in range(1, BORROWS + 1):
+        empty = filled == none
+        if not empty.any():
+            break
+        lender = (_mixed(np.arange(BINS, dtype=np.uint64) + np.uint64(turn * BINS)) % np.uint64(BINS)).astype(np.int64)
+        filled = np.where(empty, found[:, lender], filled)
+    places = _mixed(np.arange(BINS, dtype=np.uint64))
+    keys = _mixed(filled + places).reshape(len(long), BANDS, BAND_BINS).sum(2, dtype=np.uint64)
+    return long, _mixed(keys)
+
+
+def _parity(line: np.ndarray, hashes: np.ndarray, lines: int) -> np.ndarray:
+    """Bitmaps in which each hash turns one bit: two of them differ in no more bits than the sets in hashes."""
+    words = np.zeros((lines, WORDS), np.uint64)
+    if len(line):
+        word = hashes >> np.uint64(HASH_BITS - 3)
+        group = _starts(line, word)
+        words[line[group], word[group].astype(np.int64)] = np.bitwise_xor.reduceat(np.uint64(1) << (hashes & np.uint64(63)), group)
+    return words
+
+
+def sketch(nodes: np.ndarray, lines: list[str]) -> pa.RecordBatch:
+    """``buckets`` in which each line meets similar ones, and its distinct shingles (``size``, parity words) for ``may_be_similar``."""
+    line, hashes = _shingle_hashes(lines)
+    size = np.bincount(line, minlength=len(lines))
+    owner, bucket = _buckets(line, hashes, size)
+    order = np.argsort(owner, kind="stable")
+    ends = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(lines)))]).astype(np.int32)
+    words = _parity(line, hashes, len(lines))
+    buckets = pa.ListArray.from_arrays(pa.array(ends), pa.array(bucket[order].view(np.int64)))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(nodes), pa.array(size.astype(np.int32)), *(pa.array(words[:, k].copy().view(np.int64)) for k in range(WORDS)), buckets], schema=SKETCH
+    )
 
 
-def _hashes(line: Column) -> Column:
-    """63-bit hashes of all distinct shingles of a line, ascending."""
-    return F.sort_array(F.array_distinct(F.transform(_runs(F.lower(line)), lambda s: F.xxhash64(s).bitwiseAND(F.lit((1 << 63) - 1)))))
-
-
-def _ranges(hashes: Column, width: int, number: int, of: Callable[[Column], Column]) -> Column:
-    """``of`` the hashes in each range of ``width`` hash values."""
-    starts = F.array(*(F.lit(k * width) for k in range(number)))
-
-    def cut(marked: Column) -> Column:
-        places = F.concat(F.transform(starts, lambda x: F.array_position(marked, x)), F.array(F.size(marked).cast("bigint") + 1))
-        return let(places, lambda p: F.transform(F.sequence(F.lit(0), F.lit(number - 1)), lambda k: let(F.slice(marked, (p[k] + 1).cast("int"), (p[k + 1] - p[k] - 1).cast("int")), of)))
-
-    return let(F.sort_array(F.concat(starts, hashes)), cut)
-
-
-def _neighbours(hashes: Column) -> Column:
-    """A bucket of each two neighbours of the least hashes; of the only hash of a line of one shingle."""
-    pairs = F.transform(F.sequence(F.lit(0), F.least(F.size(hashes), F.lit(LEAST)) - 2), lambda i: F.xxhash64(F.slice(hashes, i + 1, 2)))
-    return F.when(F.size(hashes) > 1, pairs).otherwise(F.transform(hashes, lambda x: F.xxhash64(F.array(x))))
-
-
-def _bands(hashes: Column) -> Column:
-    """A bucket of the least hashes of the bins of each band; a band without any has none."""
-    bin_of = lambda x: F.call_function("div", x, F.lit(BIN))
-    least = F.filter(hashes, lambda x, i: (i == 0) | (bin_of(x) != bin_of(hashes[F.greatest(i - 1, F.lit(0))])))
-    keys = _ranges(least, BIN * BAND_BINS, BANDS, lambda of: F.when(F.size(of) > 0, F.xxhash64(of)))
-    return F.filter(keys, lambda key: key.isNotNull())
-
-
-def _parity(hashes: Column) -> Column:
-    """A bitmap in which each hash turns one bit: two of them differ in no more bits than the sets in hashes."""
-    turned = lambda bits, x: bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), x.bitwiseAND(F.lit(63)).cast("int")))
-    return _ranges(hashes, WORD, WORDS, lambda of: F.aggregate(of, F.lit(0).cast("bigint"), turned))
-
-
-def sketch(line: Column) -> Column:
-    """``buckets`` in which the line meets similar ones, and its ``signature`` for ``may_be_similar``."""
-
-    def of(hashes: Column) -> Column:
-        none = F.array().cast("array<bigint>")
-        short = F.when(F.size(hashes) <= SHORT, _neighbours(hashes)).otherwise(none)
-        long = F.when(F.size(hashes) >= LONG, _bands(hashes)).otherwise(none)
-        words = let(_parity(hashes), lambda w: F.struct(F.size(hashes).alias("size"), *(w[k].alias(f"w{k}") for k in range(WORDS))))
-        return F.struct(F.concat(short, long).alias("buckets"), words.alias("signature"))
-
-    return let(_hashes(line), of)
+def _sketch_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sketches of ``node``, ``line``; equal lines of a task once as far as it remembers them."""
+    seen: set[int] = set()
+    held: list[tuple[int, str]] = []
+    points = 0
+    for batch in batches:
+        for node, line in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            if node in seen:
+                continue
+            if len(seen) < REMEMBERED:
+                seen.add(node)
+            held.append((node, line))
+            points += len(line)
+            if len(held) == CHUNK_LINES or points >= CHUNK_POINTS:
+                yield sketch(np.array([n for n, _ in held], np.int64), [t for _, t in held])
+                held, points = [], 0
+    if held:
+        yield sketch(np.array([n for n, _ in held], np.int64), [t for _, t in held])
 
 
 def may_be_similar(a: Column, b: Column) -> Column:
@@ -119,20 +195,32 @@ def _few(nodes: DataFrame) -> DataFrame:
     return F.broadcast(nodes) if 16 * nodes.count() <= BROADCAST_BYTES else nodes
 
 
-def _linked(found: DataFrame, docs: DataFrame) -> DataFrame:
+def _linked(docs: DataFrame) -> DataFrame:
     """``node``, ``component`` of all lines with a near duplicate."""
-    members = found.select("node", F.explode("sketch.buckets").alias("bucket"))
-    known = materialize(found.groupBy("node").agg(F.first("sketch.signature").alias("signature")), "line-signatures")
+    lines = _occurrences(docs).select(F.xxhash64("line").alias("node"), F.lower("line").alias("line"))
+    words = ", ".join(f"w{k} bigint" for k in range(WORDS))
+    sketches = materialize(lines.mapInArrow(_sketch_lines, f"node bigint, size int, {words}, buckets array<bigint>"), "line-sketches")
+    members = sketches.select("node", "size", F.explode("buckets").alias("bucket"))
+    signature = F.struct("size", *(f"w{k}" for k in range(WORDS)), "buckets").alias("signature")
+
+    def signatures(nodes: DataFrame) -> DataFrame:
+        return sketches.join(_few(nodes), "node").groupBy("node").agg(F.first(signature).alias("signature"))
 
     def verify(pairs: DataFrame) -> DataFrame:
+        pairs = materialize(pairs.select("a", "b"), "line-pairs")
+        known = materialize(signatures(materialize(_nodes_of(pairs), "paired-lines")), "line-signatures")
         x, y = known.select(F.col("node").alias("a"), F.col("signature").alias("x")), known.select(F.col("node").alias("b"), F.col("signature").alias("y"))
-        worth = pairs.select("a", "b").join(x, "a").join(y, "b").where(may_be_similar(F.col("x"), F.col("y"))).select("a", "b")
-        pairs = materialize(worth, "line-pairs")
-        wanted = materialize(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "candidate-lines")
-        lines = _occurrences(docs).select(F.xxhash64("line").alias("node"), "line").join(_few(wanted), "node").groupBy("node").agg(F.min("line").alias("line"))
-        return similar(pairs, materialize(lines, "candidate-texts"))
+        worth = pairs.join(x, "a").join(y, "b").where(may_be_similar(F.col("x"), F.col("y"))).select("a", "b")
+        pairs = materialize(worth, "candidate-pairs")
+        wanted = materialize(_nodes_of(pairs), "candidate-lines")
+        texts = _occurrences(docs).select(F.xxhash64("line").alias("node"), "line").join(_few(wanted), "node").groupBy("node").agg(F.min("line").alias("line"))
+        return similar(pairs, materialize(texts, "candidate-texts"))
 
-    return link_groups(members, verify, lambda nodes: known.join(nodes, "node"), may_be_similar)
+    return link_groups(members, verify, signatures, may_be_similar, lambda a, b: 9 * F.abs(a - b) <= a + b)
+
+
+def _nodes_of(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
 
 
 def line_decisions(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -143,31 +231,33 @@ def line_decisions(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     removed. Only documents that lose a line have a row.
 
     Equal lines collapse to one node before any pair is formed. Sketches sample all
-    shingles; two lines of similarity 0.8 share a bucket with 0.998, more similar
+    shingles; two lines of similarity 0.8 share a bucket with 0.992, of 0.85 with 0.9995, more similar
     ones nearly always (tests measure it). Of the candidate pairs that can join
     two components, an upper bound of the similarity leaves out dissimilar ones, and
-    the exact Jaccard similarity decides the rest.
+    the exact Jaccard similarity decides the rest. Tables on the way are removed.
+
+    Null and empty texts have no line to remove, long ones are split in lines like any other; rows that repeat id and text are
+    one document. An empty table gives an empty result.
     """
     plain = docs.select(F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
-    lines = _occurrences(plain)
-    found = materialize(
-        lines.select("doc_id", "text_id", "place", F.xxhash64("line").alias("node"), text_key(F.col("line")).alias("key"), sketch(F.col("line")).alias("sketch")),
-        "lines",
-    )
-    linked = _linked(found.select("node", "sketch"), plain)
-    # A line without near duplicates is its own full digest; 64-bit nodes only name linked lines.
-    own = found.select("doc_id", "text_id", "place", "node", "key").join(linked, "node", "left")
-    grouped = materialize(
-        own.select(
-            "doc_id", "text_id", "place", F.coalesce(F.concat(F.lit("c").cast("binary"), F.col("component").cast("string").cast("binary")), F.col("key")).alias("group"),
-            F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "text_id", "place").alias("at"),
-        ),
-        "line-groups",
-    )
-    repeated = grouped.groupBy("group").agg(F.min("at").alias("kept"), F.max("at").alias("last")).where("kept != last").select("group", "kept")
-    repeated = materialize(repeated, "repeated-lines")
-    lost = grouped.join(repeated, "group").where(F.col("at") != F.col("kept"))
-    return materialize(lost.groupBy("doc_id", "text_id").agg(F.sort_array(F.collect_set("place")).alias("removed")), "removed-lines")
+    with scratch_scope(docs.sparkSession):
+        found = materialize(
+            _occurrences(plain).select("doc_id", "text_id", "place", F.xxhash64("line").alias("node"), F.substring(text_key(F.col("line")), 1, 16).alias("key")), "lines"
+        )
+        linked = _linked(plain)
+        # A line without near duplicates is its own digest of 128 bits; 64-bit nodes only name linked lines.
+        own = found.join(linked, "node", "left")
+        grouped = materialize(
+            own.select(
+                "doc_id", "text_id", "place", F.coalesce(F.concat(F.lit("c").cast("binary"), F.col("component").cast("string").cast("binary")), F.col("key")).alias("group"),
+                F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "text_id", "place").alias("at"),
+            ),
+            "line-groups",
+        )
+        repeated = grouped.groupBy("group").agg(F.min("at").alias("kept"), F.max("at").alias("last")).where("kept != last").select("group", "kept")
+        repeated = materialize(repeated, "repeated-lines")
+        lost = grouped.join(repeated, "group").where(F.col("at") != F.col("kept"))
+        return keep(lost.groupBy("doc_id", "text_id").agg(F.sort_array(F.collect_set("place")).alias("removed")), "removed-lines")
 
 
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
