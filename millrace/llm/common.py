@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.session import keep, materialize, scratch_scope
+from millrace.session import free_shuffles, keep, materialize, scratch_scope
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 SPACES = r"[\x20\x09-\x0D]+"
@@ -103,32 +103,10 @@ def _star_steps(star: DataFrame) -> DataFrame:
         return keep(rest.union(least.select("hi", F.col("least").alias("lo"))).distinct(), "small-star")
 
 
-#: Rounds in which the nodes of a bucket are compared with one of them, before all pairs of different components are.
-HUB_ROUNDS = 2
-
-
 def _any_size(a: Column, b: Column) -> Column:
     return F.lit(True)
 
 
-def _hub_links(placed: DataFrame, turn: int, verify: Callable[[DataFrame], DataFrame], sizes_alike: Callable[[Column, Column], Column]) -> DataFrame:
-    """Right pairs of each bucket's hub of this turn with the bucket's nodes in other components.
-
-    The hub is the smallest node in the first turn, later the one of the smallest hash
-    in the bucket's largest component.
-    """
-    if turn == 0:
-        hubs = placed.groupBy("bucket").agg(F.min_by(F.struct("node", "component", "home", "size"), "node").alias("hub"))
-    else:
-        sizes = placed.groupBy("bucket", "component").agg(F.count("*").alias("n"), F.min_by(F.struct("node", "component", "home", "size"), F.xxhash64("node", F.lit(turn))).alias("hub"))
-        hubs = sizes.groupBy("bucket").agg(F.max_by("hub", F.struct("n", "component")).alias("hub"))
-    hubs = materialize(hubs.select("bucket", F.col("hub.node").alias("hub"), F.col("hub.component").alias("at"), F.col("hub.home").alias("hub_home"), F.col("hub.size").alias("hub_size")), "hubs")
-    near = (F.col("component") != F.col("at")) & (F.col("home") | F.col("hub_home")) & sizes_alike(F.col("size"), F.col("hub_size"))
-    met = placed.join(hubs, "bucket").where(near)
-    pairs = met.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
-    return verify(pairs).select("a", "b")
-
-
 def link_groups(
     members: DataFrame,
     verify: Callable[[DataFrame], DataFrame],
@@ -143,37 +121,37 @@ def link_groups(
     ``signatures`` gives ``node``, ``signature`` (with an array ``buckets`` of all its buckets) of some nodes, and ``alike`` whether
     two signatures are near enough for ``verify`` to look at the pair at all.
 
-    1. In a few rounds each node of a bucket is compared with a hub of the bucket, and components of all links found
-       so far are formed; buckets of one component need no more rounds.
-    2. Only pairs of one bucket that then lie in *different* components are compared,
+    1. Each node of a bucket is compared with the bucket's smallest node.
+    2. Components of the links found so far are formed.
+    3. Only pairs of one bucket that lie in *different* components are compared,
        and of the bucket's largest component only against nodes outside it. A
        crowd of near copies is one component by then, so that this grows with
        the crowd and not with its square. A pair of several common buckets is looked at in the first of them.
        No link between components is lost.
     """
-    with scratch_scope(members.sparkSession):
+    spark = members.sparkSession
+    with scratch_scope(spark):
         if "home" not in members.columns:
             members = members.withColumn("home", F.lit(True))
         if "size" not in members.columns:
             members = members.withColumn("size", F.lit(0))
-        shared = members.groupBy("bucket").agg(F.min("node").alias("a"), F.max("node").alias("last"), F.max("home").alias("any_home"))
-        first = materialize(shared.where("a != last and any_home").select("bucket"), "shared-buckets")
-        placed = materialize(members.join(first, "bucket").distinct().withColumn("component", F.col("node")), "members")
-        links = materialize(placed.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0), "links")
-        parts = None
-        for turn in range(HUB_ROUNDS):
-            links = links.union(materialize(_hub_links(placed, turn, verify, sizes_alike), "hub-links"))
-            parts = connected_components(links).withColumnRenamed("component", "part")
-            joined = placed.drop("component").join(parts, "node", "left").select("bucket", "node", "home", "size", F.coalesce("part", "node").alias("component"))
-            several = joined.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high").select("bucket")
-            placed = materialize(joined.join(materialize(several, "mixed-buckets"), "bucket"), "placed")
-            if placed.isEmpty():
-                return keep(connected_components(links), "linked")
+        shared = members.groupBy("bucket").agg(F.min("node").alias("hub"), F.max("node").alias("last"), F.max("home").alias("any_home"))
+        hubs = materialize(shared.where("hub != last and any_home").select("bucket", "hub"), "shared-buckets")
+        placed = materialize(members.join(hubs, "bucket"), "members")
+        free_shuffles(spark)
+        pairs = placed.where(F.col("node") != F.col("hub")).select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
+        stars = materialize(verify(pairs).select("a", "b"), "star-links")
+        parts = connected_components(stars)
+        joined = placed.join(parts, "node", "left").select("bucket", "node", "home", "size", F.coalesce("component", "node").alias("component"))
+        placed = materialize(joined, "placed")
+        free_shuffles(spark)
         sizes = placed.groupBy("bucket", "component").agg(F.count("*").alias("n"))
-        main = sizes.groupBy("bucket").agg(F.max_by("component", F.struct("n", "component")).alias("main"))
-        mixed = materialize(placed.join(main, "bucket"), "mixed")
+        main = sizes.groupBy("bucket").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("parts")).where("parts > 1").drop("parts")
+        mixed = materialize(placed.join(main, "bucket"), "mixed-buckets")
+        free_shuffles(spark)
         if signatures is not None:
             mixed = materialize(mixed.join(signatures(mixed.select("node").distinct()), "node"), "mixed-signatures")
+            free_shuffles(spark)
         outside = mixed.where(F.col("component") != F.col("main"))
         x, y = outside.alias("x"), mixed.alias("y")
         apart = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.component") != F.col("y.component")) & (F.col("x.home") | F.col("y.home"))
@@ -182,5 +160,6 @@ def link_groups(
             earliest = F.array_min(F.array_intersect("x.signature.buckets", "y.signature.buckets"))
             apart = apart & alike(F.col("x.signature"), F.col("y.signature")) & (F.col("x.bucket") == earliest)
         across = x.join(y, apart).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
-        found = connected_components(links.union(verify(across).select("a", "b")))
-        return keep(found, "linked")
+        links = materialize(stars.union(verify(across).select("a", "b")), "links")
+        free_shuffles(spark)
+        return keep(connected_components(links), "linked")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import threading
 import uuid
@@ -72,6 +73,12 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
             handle.getFileSystem(spark._jsc.hadoopConfiguration()).delete(handle, True)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark remove shuffle files of finished queries: it does so when the driver's garbage is collected."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def keep(df: DataFrame, label: str) -> DataFrame:
     """:func:`materialize` for the scope around the present one."""
     stack = _open.__dict__.setdefault("scopes", [])
