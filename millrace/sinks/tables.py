@@ -125,6 +125,40 @@ class TableStore:
             return self._read_parts(self.path(name), [f"{self.path(name)}/{RUN}={r}" for r in runs], (RUN,))
         return self.spark.read.parquet(self.path(name))
 
+    def snapshot_at(self, name: str, at: datetime) -> int:
+        """The newest snapshot taken at that time or before; of equal times the last one."""
+        known = [(taken, number) for number, taken in self.snapshots(name) if taken <= at]
+        if not known:
+            raise LookupError(f"table {name} has no snapshot of {at:%Y-%m-%d %H:%M:%S} or before")
+        return max(known)[1]
+
+    def read_as_of(self, name: str, at: datetime) -> DataFrame:
+        """The table as it was at a time."""
+        return self.read(name, self.snapshot_at(name, at))
+
+    def changes(self, name: str, keys: Sequence[str], before: int, after: int) -> DataFrame:
+        """What changed between two snapshots: ``change`` and the row as it is after, or was before if it is gone.
+
+        ``change`` is inserted, updated or deleted, by key; each snapshot has one row per key. A NULL key equals nothing, so rows
+        with one are inserted or deleted as whole rows, as often as they are. Buckets that both snapshots
+        of a merged table share are not read. Columns that only one of them has are NULL in the other.
+        """
+        folders = {number: folder for number, _, folder in self._folders(name)}
+        sides = [folders[before], folders[after]]
+        parts = [json.loads(self._get(f"{f}/{BUCKETS_FILE}")) if self._has(f"{f}/{BUCKETS_FILE}") else None for f in sides]
+        if all(parts) and parts[0]["buckets"] == parts[1]["buckets"]:
+            shared = set(parts[0]["parts"].values()) & set(parts[1]["parts"].values())
+            frames = [self._read_snapshot(name, f, shared) for f in sides]
+        else:
+            frames = [self._read_snapshot(name, f) for f in sides]
+        schema = merged(frames[0].schema, frames[1].schema)
+        old, new = (as_schema(f, schema) for f in frames)
+        keyless = any_of([col(k).isNull() for k in keys])
+        columns = [c for c in schema.fieldNames()]
+        return _keyed_changes(old.filter(~keyless), new.filter(~keyless), keys, columns).unionByName(
+            _row_changes(old.filter(keyless), new.filter(keyless), columns)
+        )
+
     def read_run(self, name: str, run: str) -> DataFrame:
         """What one run appended, also before it is finished."""
         return self._read_parts(self.path(name), [f"{self.path(name)}/{RUN}={run}"], (RUN,))
@@ -153,12 +187,16 @@ class TableStore:
             result = result.union(frame)
         return result
 
-    def _read_snapshot(self, name: str, folder: str) -> DataFrame:
+    def _read_snapshot(self, name: str, folder: str, but: Sequence[str] | set[str] = ()) -> DataFrame:
+        """The rows of a snapshot; of a merged table without the bucket folders in ``but``."""
         schema = self._schema(folder)
         if self._has(f"{folder}/{BUCKETS_FILE}"):
             parts = json.loads(self._get(f"{folder}/{BUCKETS_FILE}"))["parts"]
             base = f"{self.path(name)}/_data"
-            return self._read_parts(base, [f"{base}/{p}" for p in parts.values()], (RUN, BUCKET), schema)
+            wanted = [f"{base}/{p}" for p in parts.values() if p not in but]
+            if not wanted:
+                return self.spark.createDataFrame([], T.StructType([f for f in schema if f.name != BUCKET]))
+            return self._read_parts(base, wanted, (RUN, BUCKET), schema)
         return self.spark.read.schema(schema).parquet(folder) if schema else self.spark.read.parquet(folder)
 
     def append(self, name: str, df: DataFrame, partition_by: Sequence[str] = PARTITIONS, run: str | None = None) -> None:
@@ -229,6 +267,35 @@ class TableStore:
         return number
 
 
+INSERTED, UPDATED, DELETED = "inserted", "updated", "deleted"
+
+
+def _keyed_changes(old: DataFrame, new: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Rows whose key is on one side only, or that differ in any column."""
+    rest = [c for c in columns if c not in set(keys)]
+    x = old.select(*(col(k) for k in keys), F.struct(*(col(c) for c in columns)).alias("__old"))
+    y = new.select(*(col(k) for k in keys), F.struct(*(col(c) for c in columns)).alias("__new"))
+    both = x.join(y, list(keys), "full_outer")
+    gone, came = F.col("__new").isNull(), F.col("__old").isNull()
+    same = F.lit(True)
+    for c in rest:
+        same = same & F.col("__old")[c].eqNullSafe(F.col("__new")[c])
+    change = F.when(gone, DELETED).when(came, INSERTED).when(~same, UPDATED)
+    row = F.coalesce("__new", "__old")
+    return both.select(change.alias("change"), row.alias("row")).where("change is not null").select(
+        "change", *(F.col("row")[c].alias(c) for c in columns)
+    )
+
+
+def _row_changes(old: DataFrame, new: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Whole rows that one side has more often than the other, as often as that."""
+    sides = old.withColumn("__more", F.lit(-1)).unionByName(new.withColumn("__more", F.lit(1)))
+    more = sides.groupBy(*(col(c) for c in columns)).agg(F.sum("__more").alias("__more")).where(F.col("__more") != 0)
+    times = F.explode(F.sequence(F.lit(1), F.abs(F.col("__more")).cast("int")))
+    change = F.when(F.col("__more") > 0, INSERTED).otherwise(DELETED)
+    return more.select(change.alias("change"), *(col(c) for c in columns), times.alias("__time")).drop("__time")
+
+
 def _balanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     """Few files per partition, while adaptive execution splits a partition that holds most rows."""
     return df.hint("rebalance", *(F.col(c) for c in partition_by)) if partition_by else df

@@ -149,31 +149,32 @@ TYPE_SOURCES = {
     "STRING": ("p_name", "p_name"), "INTEGER": ("p_size", "CAST(p_size AS VARCHAR)"),
     "LONG": ("p_partkey", "CAST(p_partkey AS VARCHAR)"), "FLOAT": ("p_size", "CAST(p_size AS VARCHAR)"),
     "DOUBLE": ("p_partkey", "CAST(p_partkey AS VARCHAR)"), "BOOLEAN": ("p_size % 2 = 0", "CAST(p_size % 2 = 0 AS VARCHAR)"),
-    "DATE": (None, None), "TIMESTAMP": (None, None), "DECIMAL(10,2)": ("p_size", "CAST(p_size AS VARCHAR)"),
+    "DATE": ("o_orderdate", None), "TIMESTAMP": ("o_orderdate", None), "DECIMAL(10,2)": ("p_size", "CAST(p_size AS VARCHAR)"),
 }
 
 
 @query(
     "declared_types", "D12",
     " UNION ALL ".join(
-        f"SELECT '{name}' AS declared, '{'timestamp' if name in ('DATE', 'TIMESTAMP') else TYPE_NAMES.get(name, name.lower())}' AS spark_type, "
-        "(SELECT count(*) FROM part) AS typed_cells"
+        f"SELECT '{name}' AS declared, '{'timestamp' if name in ('DATE', 'TIMESTAMP') else TYPE_NAMES.get(name, name.lower())}' AS spark_type, " + ("(SELECT count(*) FILTER (o_orderkey % 9 <> 0) FROM orders) AS typed_cells" if name in ("DATE", "TIMESTAMP") else "(SELECT count(*) FROM part) AS typed_cells")
         for name in TYPE_SOURCES
     ),
 )
 def declared_types(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every declared type name, the type its column gets and the cells that fit."""
+    """Every declared type name, the type its column gets and the cells that fit; every ninth date is none."""
     part = inp.table(spark, sf_dir, "part")
-    texts, rules = {}, []
-    for i, (name, (source, _)) in enumerate(TYPE_SOURCES.items()):
-        text = F.lit("2024-02-29") if source is None else F.expr(source).cast("string")
-        texts[f"c{i}"] = text
-        rules.append(ColumnRule(f"c{i}", i, name))
-    typed = type_columns(part.select(*(t.alias(c) for c, t in texts.items())), rules).frame
-    types = dict(typed.dtypes)
-    counts = typed.agg(*(F.count(r.name).alias(r.name) for r in rules))
-    cells = [part for r in rules for part in (F.lit(r.declared), F.lit(types[r.name]), F.col(r.name))]
-    return counts.select(F.stack(F.lit(len(rules)), *cells).alias("declared", "spark_type", "typed_cells"))
+    date = F.when(F.col("o_orderkey") % 9 == 0, "2024-02-30").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
+    orders = inp.table(spark, sf_dir, "orders").select(date.alias("o_orderdate"))
+    result = None
+    for rows, names in ((part, [n for n in TYPE_SOURCES if n not in ("DATE", "TIMESTAMP")]), (orders, ["DATE", "TIMESTAMP"])):
+        rules = [ColumnRule(f"c{i}", i, name) for i, name in enumerate(names)]
+        typed = type_columns(rows.select(*(F.expr(TYPE_SOURCES[r.declared][0]).cast("string").alias(r.name) for r in rules)), rules).frame
+        types = dict(typed.dtypes)
+        counts = typed.agg(*(F.count(r.name).alias(r.name) for r in rules))
+        cells = [cell for r in rules for cell in (F.lit(r.declared), F.lit(types[r.name]), F.col(r.name))]
+        counted = counts.select(F.stack(F.lit(len(rules)), *cells).alias("declared", "spark_type", "typed_cells"))
+        result = counted if result is None else result.unionByName(counted)
+    return result
 
 
 @query(

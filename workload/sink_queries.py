@@ -198,6 +198,52 @@ def snapshot_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return result
 
 
+@query(
+    "snapshot_changes", "B8 B4",
+    """SELECT 'merged' AS kind, CASE WHEN o_orderpriority = '1-URGENT' AND o_orderkey % 20 = 0 THEN 'inserted' ELSE 'updated' END AS change,
+      CASE WHEN o_orderpriority = '1-URGENT' AND o_orderkey % 20 = 0 THEN o_orderkey + 1000000000 ELSE o_orderkey END AS o_orderkey,
+      CASE WHEN o_orderpriority = '1-URGENT' AND o_orderkey % 20 = 0 THEN 'N' ELSE 'X' END AS o_orderstatus
+    FROM orders WHERE (o_orderpriority = '1-URGENT' AND o_orderkey % 20 = 0) OR (o_orderpriority <> '1-URGENT' AND o_orderkey % 50 = 0 AND o_orderstatus <> 'X')
+    UNION ALL SELECT 'replaced', CASE WHEN o_orderstatus = 'P' THEN 'deleted' ELSE 'updated' END, o_orderkey, CASE WHEN o_orderstatus = 'P' THEN 'P' ELSE 'G' END
+    FROM orders WHERE o_orderstatus = 'P' OR (o_orderstatus = 'F' AND o_orderkey % 10 = 0)""",
+)
+def snapshot_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a merge and a replacement changed, between the snapshots of two days found by time."""
+    store, day = store_for(spark), timedelta(days=1)
+    orders = inp.table(spark, sf_dir, "orders")
+    key, rows = F.col("o_orderkey"), orders.select("o_orderkey", "o_orderstatus")
+    new = orders.filter((F.col("o_orderpriority") == "1-URGENT") & (key % 20 == 0)).select((key + 1000000000).alias("o_orderkey"), F.lit("N").alias("o_orderstatus"))
+    changed = orders.filter((F.col("o_orderpriority") != "1-URGENT") & (key % 50 == 0)).select("o_orderkey", F.lit("X").alias("o_orderstatus"))
+    store.merge("merged", rows, ["o_orderkey"], inp.RUN_TS, ())
+    store.merge("merged", changed.unionByName(new), ["o_orderkey"], inp.RUN_TS + day, ())
+    store.replace("replaced", rows, inp.RUN_TS)
+    later = F.when((F.col("o_orderstatus") == "F") & (key % 10 == 0), "G").otherwise(F.col("o_orderstatus"))
+    store.replace("replaced", rows.filter("o_orderstatus <> 'P'").withColumn("o_orderstatus", later), inp.RUN_TS + day)
+
+    def between(name: str) -> DataFrame:
+        before, after = (store.snapshot_at(name, inp.RUN_TS + n * day + timedelta(hours=1)) for n in (0, 1))
+        return store.changes(name, ["o_orderkey"], before, after).withColumn("kind", F.lit(name))
+
+    return between("merged").unionByName(between("replaced"))
+
+
+@query(
+    "snapshot_as_of", "B8",
+    """SELECT 'first' AS moment, count(*) AS row_count, sum(c_custkey)::BIGINT AS key_sum FROM customer
+    UNION ALL SELECT 'later', count(*), sum(c_custkey)::BIGINT FROM customer WHERE c_acctbal > 0""",
+)
+def snapshot_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table as it was at two moments between its snapshots."""
+    store, customer = store_for(spark), inp.table(spark, sf_dir, "customer")
+    for hours, rows in enumerate((customer, customer.filter("c_acctbal > 0"), customer.filter("c_acctbal > 5000"))):
+        store.replace("customer", rows, inp.RUN_TS + timedelta(hours=2 * hours))
+    read = {m: store.read_as_of("customer", inp.RUN_TS + timedelta(hours=h)) for m, h in (("first", 1), ("later", 2))}
+    first, later = (
+        df.agg(F.count(F.lit(1)).alias("row_count"), F.sum("c_custkey").alias("key_sum")).select(F.lit(m).alias("moment"), "*") for m, df in read.items()
+    )
+    return first.unionByName(later)
+
+
 @query(
     "baseline_snapshot", "B9",
     """SELECT o_orderstatus, count(*) AS row_count, sum(o_orderkey)::BIGINT AS key_sum FROM orders GROUP BY 1""",
