@@ -31,9 +31,9 @@ CHUNK_LINES, CHUNK_POINTS = 1 << 14, 1 << 20
 REMEMBERED = 1 << 20
 #: Bits of a shingle hash; the place of a line within its chunk stands above them.
 HASH_BITS = 50
-#: Odd multipliers of the five code points of a shingle and of the mixing steps, by the golden ratio.
+#: Odd multipliers of the five code points of a shingle and of the mixing steps; powers, so that none is a small multiple of another.
 GOLDEN = 0x9E3779B97F4A7C15
-MULTIPLIERS = [np.uint64((GOLDEN * (2 * k + 1)) % (1 << 64) | 1) for k in range(SHINGLE + 2)]
+MULTIPLIERS = [np.uint64(pow(GOLDEN, k + 1, 1 << 64)) for k in range(SHINGLE + 2)]
 SKETCH = pa.schema([("node", pa.int64()), ("size", pa.int32()), *((f"w{k}", pa.int64()) for k in range(WORDS)), ("buckets", pa.list_(pa.int64()))])
 
 
