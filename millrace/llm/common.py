@@ -137,6 +137,8 @@ def link_groups(
             members = members.withColumn("size", F.lit(0))
         shared = members.groupBy("bucket").agg(F.min("node").alias("hub"), F.max("node").alias("last"), F.max("home").alias("any_home"))
         hubs = materialize(shared.where("hub != last and any_home").select("bucket", "hub"), "shared-buckets")
+        del shared
+        free_shuffles(spark)
         placed = materialize(members.join(hubs, "bucket"), "members")
         free_shuffles(spark)
         pairs = placed.where(F.col("node") != F.col("hub")).select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
