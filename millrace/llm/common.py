@@ -103,6 +103,9 @@ def _star_steps(star: DataFrame) -> DataFrame:
         return keep(rest.union(least.select("hi", F.col("least").alias("lo"))).distinct(), "small-star")
 
 
+BROADCAST_BYTES = 32 << 20
+
+
 def _any_size(a: Column, b: Column) -> Column:
     return F.lit(True)
 
@@ -139,7 +142,9 @@ def link_groups(
         hubs = materialize(shared.where("hub != last and any_home").select("bucket", "hub"), "shared-buckets")
         del shared
         free_shuffles(spark)
-        placed = materialize(members.join(hubs, "bucket"), "members")
+        # Up to a measured size the buckets go to the members; beyond it the members are shuffled once more.
+        near = F.broadcast(hubs) if 16 * hubs.count() <= BROADCAST_BYTES else hubs
+        placed = materialize(members.join(near, "bucket"), "members")
         free_shuffles(spark)
         pairs = placed.where(F.col("node") != F.col("hub")).select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
         stars = materialize(verify(pairs).select("a", "b"), "star-links")

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import keep, kept_apart, let, link_groups, materialize, scratch_scope, text_key, text_or_empty
+from millrace.llm.common import BROADCAST_BYTES, keep, kept_apart, let, link_groups, materialize, scratch_scope, text_key, text_or_empty
 
 #: Two lines are near duplicates if their sets of five-character shingles have at least this Jaccard similarity.
 SHINGLE = 5
@@ -25,7 +25,6 @@ BINS = BANDS * BAND_BINS
 BORROWS = 64
 #: Words of 64 bits in a parity bitmap.
 WORDS = 8
-BROADCAST_BYTES = 32 << 20
 #: Lines and code points that are sketched at once, and nodes that a task remembers so as to sketch equal lines once.
 CHUNK_LINES, CHUNK_POINTS = 1 << 14, 1 << 20
 REMEMBERED = 1 << 20
