@@ -45,6 +45,10 @@ class TableStore:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
+    def tables(self) -> list[str]:
+        """Names of all tables, also of those that nothing is committed in."""
+        return [c for c in self._children(self.root) if not c.startswith("_")]
+
     def _children(self, path: str) -> list[str]:
         fs, handle = hadoop_path(self.spark, path)
         return sorted(s.getPath().getName() for s in fs.listStatus(handle)) if fs.exists(handle) else []

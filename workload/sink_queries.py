@@ -12,6 +12,7 @@ from millrace.plans.ingest import ingest_table, run
 from millrace.rules import RuleBook, TableRule
 from millrace.session import fresh_dir, materialize
 from millrace.sinks import ingestion
+from millrace.sinks.key_index import KeyIndex
 from millrace.sinks.tables import TableStore
 from millrace.sources.files import RawScan
 from workload import inputs as inp
@@ -316,3 +317,27 @@ def written_quality_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     errors = inp.judged_orders(spark, sf_dir).errors(["o_orderkey"])
     ingestion.write_quality_errors(store, errors, "internal", F.lit(inp.RUN_TS).cast("timestamp"))
     return store.read("quality_errors").drop("log_ts")
+
+
+KEY_LOADS = {"load_1": (0, 1994), "load_2": (1995, 1996), "load_3": (1997, 9999)}
+
+
+@query(
+    "keys_repeated_in_history", "E18 B4",
+    """WITH t AS (SELECT l_orderkey, l_linenumber, CASE WHEN year(l_shipdate) <= 1994 THEN 'load_1' WHEN year(l_shipdate) <= 1996 THEN 'load_2' ELSE 'load_3' END AS load
+        FROM lineitem),
+      c AS (SELECT l_orderkey, l_linenumber, load, count(*) AS row_count FROM t GROUP BY ALL),
+      f AS (SELECT *, min(load) OVER (PARTITION BY l_orderkey, l_linenumber) AS first_seen FROM c)
+    SELECT load, l_orderkey, l_linenumber, row_count, CASE WHEN first_seen < load THEN first_seen END AS first_load FROM f
+    WHERE row_count > 1 OR first_seen < load""",
+)
+def keys_repeated_in_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items in three loads by ship date: keys that a load repeats, within itself or from any load before."""
+    store, items = store_for(spark), inp.table(spark, sf_dir, "lineitem")
+    index = KeyIndex(store, "lineitem", ["l_orderkey", "l_linenumber"])
+    result = None
+    for load, (first, last) in KEY_LOADS.items():
+        found = index.register(items.filter(F.year("l_shipdate").between(first, last)), load).select(F.lit(load).alias("load"), "*")
+        store.finish(load)
+        result = found if result is None else result.unionByName(found)
+    return result
