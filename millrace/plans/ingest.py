@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable, Sequence
+from concurrent.futures import Future, ThreadPoolExecutor, wait
 from dataclasses import dataclass, replace
 from datetime import datetime
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +30,8 @@ from millrace.sources.files import RawScan, run_columns, scan_raw, source_files
 
 #: Table of the files that finished runs have taken.
 LOADED_FILES = "loaded_files"
+#: So many tables of a run load at the same time.
+TABLES_AT_ONCE = 4
 
 
 @dataclass(frozen=True)
@@ -147,7 +152,7 @@ def new_files(raw: DataFrame, rule: TableRule, store: TableStore) -> DataFrame:
 
 
 def ingest_table(
-    raw: DataFrame, rule: TableRule, rules: Sequence[ColumnRule], store: TableStore, run_ts: datetime, env: str = "dev"
+    raw: DataFrame, rule: TableRule, rules: Sequence[ColumnRule], store: TableStore, run_ts: datetime, env: str = "dev", finish: bool = True
 ) -> DataFrame:
     """Load the new files of one raw table and return their execution-log rows.
 
@@ -156,6 +161,7 @@ def ingest_table(
     table that all later steps read with the columns they need. Everything is
     written under the name of the run and counts when the run is finished, so a
     run that failed anywhere is simply repeated; a file is taken by one run only.
+    Without ``finish`` the caller finishes the run, named :func:`run_name`, in the store.
     """
     run_label = run_name(rule.name, run_ts)
     started = time.monotonic()
@@ -172,7 +178,7 @@ def ingest_table(
             write_quality_errors(store, presence_errors(files, missing, rule.name), rule.zone, ts, run_label)
         message = "; ".join(problems) if problems else "Missing columns"
         number = None if problems else MISSING_COLUMN_ERROR
-        return _log(store, _failure_log(files, rule, message, ts, env, number), run_label)
+        return _log(store, _failure_log(files, rule, message, ts, env, number), run_label, finish)
 
     typed = type_columns(fresh, rules, trim=rule.trim, fill_defaults=True)
     typed = replace(typed, frame=materialize(typed.frame, "typed"))
@@ -188,13 +194,14 @@ def ingest_table(
     files = _deliveries(typed.frame).distinct().withColumn("loaded_table", F.lit(rule.name))
     store.append(LOADED_FILES, files, ("loaded_table",), run_label)
     seconds = round(time.monotonic() - started, 2)
-    return _log(store, execution_log(judged.verdict, errors, rule, len(accepted.columns), ts, env, seconds), run_label)
+    return _log(store, execution_log(judged.verdict, errors, rule, len(accepted.columns), ts, env, seconds), run_label, finish)
 
 
-def _log(store: TableStore, log: DataFrame, run_label: str) -> DataFrame:
+def _log(store: TableStore, log: DataFrame, run_label: str, finish: bool) -> DataFrame:
     """Write the log of a run, the last thing it does."""
     store.append("execution_log", log, run=run_label)
-    store.finish(run_label)
+    if finish:
+        store.finish(run_label)
     return store.read_run("execution_log", run_label).select(*(col(f.name) for f in EXECUTION_LOG_SCHEMA))
 
 
@@ -206,44 +213,73 @@ def run(
     env: str = "dev",
     scan: Callable[[TableRule], RawScan] | None = None,
     fail_fast_percent: float | None = FAIL_FAST_PERCENT,
+    at_once: int = TABLES_AT_ONCE,
 ) -> DataFrame:
-    """Load all tables of the rule book in order and return the log of the run.
+    """Load all tables of the rule book and return the log of the run.
 
-    Errors of earlier tables can stop the run before the next one. Tables that
+    Tables load ``at_once`` at a time, as jobs of one session, and count in the order of
+    the book: errors of earlier tables can stop the run before the next one. Then jobs
+    that still run are cancelled, and what later tables had written does not count. So the
+    log and the tables do not depend on ``at_once``. Tables that
     are absent or empty are skipped. A table whose load fails is logged as FAILED,
     and the next one loads; what it had written does not count, and the
     next run takes its files again.
     """
     open_raw = scan or (lambda rule: scan_raw(spark, rule.raw_table_name))
     ts, _ = run_columns(run_ts)
+    tag = f"run-{uuid.uuid4().hex}"
+
+    def load(rule: TableRule) -> tuple[DataFrame | None, str | None]:
+        """The log of a table that is loaded but not finished, or why there is none."""
+        spark.sparkContext.addJobTag(tag)
+        spark.sparkContext.setInterruptOnCancel(True)
+        try:
+            found = open_raw(rule)
+            if found.status in ("ABSENT", "EMPTY"):
+                return None, None
+            if found.frame is None:
+                return None, found.message
+            return ingest_table(found.frame, rule, book.columns_of(rule.name), store, run_ts, env, finish=False), None
+        except Exception as problem:  # noqa: BLE001 - whatever stops a table must not stop the run
+            return None, f"{type(problem).__name__}: {problem}".splitlines()[0]
+
     logs: list[DataFrame] = []
     errors = processed = 0
-    for rule in book.tables:
-        if fail_fast_percent is not None and errors and errors / max(processed, 1) * 100 >= fail_fast_percent:
-            break
-        found = open_raw(rule)
-        if found.status in ("ABSENT", "EMPTY"):
-            continue
-        failure = found.message
-        if found.frame is not None:
-            try:
-                log = ingest_table(found.frame, rule, book.columns_of(rule.name), store, run_ts, env)
-                failure = None
-            except Exception as problem:  # noqa: BLE001 - whatever stops a table must not stop the run
-                failure = f"{type(problem).__name__}: {problem}".splitlines()[0]
-        if failure is not None:
-            nothing = spark.createDataFrame([("N/A", 0)], f"{FILE} string, total_rows bigint")
-            log = materialize(_failure_log(nothing, rule, failure, ts, env), "log")
-            store.append("execution_log", log)
-        logs.append(log)
-        sums = log.agg(
-            F.coalesce(F.sum("error_count"), F.lit(0)).alias("errors"),
-            F.coalesce(F.sum("row_count"), F.lit(0)).alias("processed"),
-        ).first()
-        errors, processed = errors + sums.errors, processed + sums.processed
+    pool = ThreadPoolExecutor(max(1, at_once))
+    # Each load inherits the caller's job settings; its own tag stays in its thread.
+    loads = [pool.submit(inheritable_thread_target(spark)(load), rule) for rule in book.tables]
+    try:
+        for rule, loading in zip(book.tables, loads):
+            if fail_fast_percent is not None and errors and errors / max(processed, 1) * 100 >= fail_fast_percent:
+                break
+            log, failure = loading.result()
+            if failure is not None:
+                nothing = spark.createDataFrame([("N/A", 0)], f"{FILE} string, total_rows bigint")
+                log = materialize(_failure_log(nothing, rule, failure, ts, env), "log")
+                store.append("execution_log", log)
+            elif log is None:
+                continue
+            else:
+                store.finish(run_name(rule.name, run_ts))
+            logs.append(log)
+            sums = log.agg(
+                F.coalesce(F.sum("error_count"), F.lit(0)).alias("errors"),
+                F.coalesce(F.sum("row_count"), F.lit(0)).alias("processed"),
+            ).first()
+            errors, processed = errors + sums.errors, processed + sums.processed
+    finally:
+        _end(spark, pool, loads, tag)
     if not logs:
         return spark.createDataFrame([], EXECUTION_LOG_SCHEMA)
     result = logs[0]
     for log in logs[1:]:
         result = result.unionByName(log)
     return result
+
+
+def _end(spark: SparkSession, pool: ThreadPoolExecutor, loads: Sequence[Future], tag: str) -> None:
+    """Drop loads that wait and cancel the jobs of those that run, until none does: a load may start a job after a cancel."""
+    pool.shutdown(wait=False, cancel_futures=True)
+    while wait([f for f in loads if not f.cancelled()], timeout=0).not_done:
+        spark.sparkContext.cancelJobsWithTag(tag)
+        wait([f for f in loads if not f.cancelled()], timeout=0.5)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import threading
 import uuid
 from collections.abc import Sequence
 from datetime import datetime
@@ -35,12 +36,13 @@ class TableStore:
     committed it *and* the run is finished. So a run that failed can be repeated: it
     overwrites its own folders, and readers never see half of it. Writes
     without a run count at once. The merged schema lies beside the rows, so
-    that a reader opens no footers to find it.
+    that a reader opens no footers to find it. Threads may share a store.
     """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._schemas = threading.RLock()
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -79,15 +81,17 @@ class TableStore:
 
     def _remember(self, path: str, schema: T.StructType) -> None:
         """Keep the schema of all rows below ``path``: earlier columns, then new ones; a changed type becomes one that takes both."""
-        known = self._schema(path)
-        grown = merged(known, schema)
-        if known and any(grown[f.name].dataType != f.dataType for f in [*known, *schema]):
-            self._put(f"{path}/{CHANGED_FILE}", "")
-        self._put(f"{path}/{SCHEMA_FILE}", grown.json())
+        with self._schemas:
+            known = self._schema(path)
+            grown = merged(known, schema)
+            if known and any(grown[f.name].dataType != f.dataType for f in [*known, *schema]):
+                self._put(f"{path}/{CHANGED_FILE}", "")
+            self._put(f"{path}/{SCHEMA_FILE}", grown.json())
 
     def _schema(self, path: str) -> T.StructType | None:
         found = f"{path}/{SCHEMA_FILE}"
-        return T.StructType.fromJson(json.loads(self._get(found))) if self._has(found) else None
+        with self._schemas:
+            return T.StructType.fromJson(json.loads(self._get(found))) if self._has(found) else None
 
     def _folders(self, name: str) -> list[tuple[int, datetime, str]]:
         """Committed snapshots of finished runs: number, time, folder; oldest first."""
