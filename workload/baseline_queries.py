@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from millrace.operators import baseline as base
 from millrace.operators.digest_tree import compare_with_digests, save_digests
 from millrace.operators.metrics import dataset_metrics
+from millrace.operators.renames import renamed_columns
 from millrace.plans.compare import compare_tables, validate_datasets
 from millrace.session import fresh_dir
 from millrace.sinks.tables import TableStore
@@ -305,3 +306,19 @@ def quality_floor(spark: SparkSession, sf_dir: str) -> DataFrame:
     supplier = dataset_metrics(inp.table(spark, sf_dir, "supplier"), "supplier", ["s_acctbal"], at, F.col("s_acctbal") > 0)
     floors = F.when(F.col("dataset") == "customer", 0.98).otherwise(0.5)
     return base.quality_floor(customer.unionByName(supplier), floors).select("dataset", "quality_score", "quality_status")
+
+
+@query(
+    "renamed_order_columns", "J2",
+    """WITH p AS (SELECT count(DISTINCT o_orderpriority) AS old, count(DISTINCT CASE WHEN o_orderpriority <> '1-URGENT' THEN o_orderpriority END) AS new FROM orders),
+      c AS (SELECT count(DISTINCT o_custkey) AS old FROM orders)
+    SELECT 'o_custkey' AS missing_column, 'customer' AS extra_column, old / old::DOUBLE AS similarity FROM c
+    UNION ALL SELECT 'o_orderpriority', 'urgency', new / old::DOUBLE FROM p""",
+)
+def renamed_order_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders whose customer came back as a decimal and whose priority lost a value, both under new names; a new and a dropped column stay."""
+    orders = inp.table(spark, sf_dir, "orders")
+    urgency = F.when(F.col("o_orderpriority") != "1-URGENT", F.col("o_orderpriority"))
+    actual = orders.select("o_orderkey", F.col("o_custkey").cast("decimal(20,2)").alias("customer"), urgency.alias("urgency"), F.lit("web").alias("channel"))
+    found = renamed_columns(actual, orders.select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderdate"))
+    return spark.createDataFrame(found, "missing_column string, extra_column string, similarity double")
