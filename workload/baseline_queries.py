@@ -7,12 +7,14 @@ from datetime import timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.names import FILE
 from millrace.operators import baseline as base
 from millrace.operators.digest_tree import compare_with_digests, save_digests
 from millrace.operators.metrics import dataset_metrics
+from millrace.operators.profiles import DISTINCT_ERROR, QUANTILE_ERROR, described, drift, merged_profile, profile, rank_errors
 from millrace.operators.renames import renamed_columns
 from millrace.plans.compare import compare_tables, validate_datasets
-from millrace.session import fresh_dir
+from millrace.session import fresh_dir, materialize
 from millrace.sinks.tables import TableStore
 from workload import inputs as inp
 from workload.registry import QUERIES, query
@@ -322,3 +324,77 @@ def renamed_order_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     actual = orders.select("o_orderkey", F.col("o_custkey").cast("decimal(20,2)").alias("customer"), urgency.alias("urgency"), F.lit("web").alias("channel"))
     found = renamed_columns(actual, orders.select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderdate"))
     return spark.createDataFrame(found, "missing_column string, extra_column string, similarity double")
+
+
+PROFILED = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+
+
+def profiled_orders(spark: SparkSession, sf_dir: str, orders: DataFrame) -> DataFrame:
+    """The merged profile of orders that came in two loads of several files each, read back from the store."""
+    store, files = TableStore(spark, fresh_dir(spark, "store")), orders.withColumn(FILE, inp.order_file())
+    early = F.year("o_orderdate") < 1998
+    for load, rows in (("early", files.filter(early)), ("late", files.filter(~early | early.isNull()))):
+        store.append("profiles", profile(rows, PROFILED), (), load)
+        store.finish(load)
+    return merged_profile(store.read("profiles"))
+
+
+def _per_column(text: str, columns: list[str]) -> str:
+    return " UNION ALL ".join(text.format(c=c) for c in columns)
+
+
+@query(
+    "merged_profiles", "H10 J11",
+    f"""WITH p AS ({_per_column("SELECT '{c}' AS column_name, count(*) AS row_count, count(*) FILTER ({c} IS NULL) AS null_count, count(DISTINCT {c}) AS distinct_values FROM orders", PROFILED)}),
+      t AS ({_per_column("(SELECT '{c}' AS column_name, {c} AS top_value, count(*) AS top_count FROM orders GROUP BY {c} ORDER BY top_count DESC, {c} LIMIT 1)", ["o_orderstatus", "o_orderpriority"])})
+    SELECT *, true AS distinct_ok, CASE WHEN column_name IN ('o_orderstatus', 'o_orderpriority') THEN NULL ELSE true END AS ranks_ok FROM p LEFT JOIN t USING (column_name)""",
+)
+def merged_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Profiles of files in two loads, merged; distinct values and quantiles are held against all rows by their stated error."""
+    orders = inp.table(spark, sf_dir, "orders")
+    found = materialize(described(profiled_orders(spark, sf_dir, orders)), "profile")
+    exact = orders.agg(*(F.count_distinct(c).alias(c) for c in PROFILED))
+    pairs = [part for c in PROFILED for part in (F.lit(c), F.col(c))]
+    counts = exact.select(F.stack(F.lit(len(PROFILED)), *pairs).alias("column_name", "distinct_values"))
+    checked = found.join(counts, "column_name").join(rank_errors(orders, found, PROFILED), "column_name", "left")
+    few = F.col("column_name").isin("o_orderstatus", "o_orderpriority")
+    return checked.select(
+        "column_name", "row_count", "null_count", "distinct_values",
+        F.when(few, F.col("top")[0]["value"]).alias("top_value"), F.when(few, F.col("top")[0]["count"]).alias("top_count"),
+        (F.abs(F.col("distinct_count") - F.col("distinct_values")) <= DISTINCT_ERROR * F.col("distinct_values") + 0.5).alias("distinct_ok"),
+        (F.col("rank_error") <= QUANTILE_ERROR).alias("ranks_ok"),
+    )
+
+
+# A later state of orders: customers are lost, prices rise, a priority has another name, the rest is as it was.
+LATER_SQL = """later AS (SELECT o_orderkey, CASE WHEN o_orderkey % 10 <> 0 THEN o_custkey END AS o_custkey, o_orderstatus, o_totalprice * 2 AS o_totalprice, o_orderdate,
+    o_orderpriority || '!' AS o_orderpriority FROM orders)"""
+
+
+def _rank_change(c: str) -> str:
+    return f"""(SELECT max(abs(a - b)) FROM (SELECT sum(n) OVER w / (SELECT count({c})::DOUBLE FROM later) AS a, sum(o) OVER w / (SELECT count({c})::DOUBLE FROM orders) AS b
+      FROM (SELECT v, sum(n) AS n, sum(o) AS o FROM (SELECT {c} AS v, 1 AS n, 0 AS o FROM later WHERE {c} IS NOT NULL UNION ALL SELECT {c}, 0, 1 FROM orders WHERE {c} IS NOT NULL) GROUP BY v)
+      WINDOW w AS (ORDER BY v)))"""
+
+
+def _drift_sql(c: str) -> str:
+    nulls = f"abs((SELECT count(*) FILTER ({c} IS NULL) / count(*)::DOUBLE FROM later) - (SELECT count(*) FILTER ({c} IS NULL) / count(*)::DOUBLE FROM orders)) > 0.02"
+    if c in ("o_orderstatus", "o_orderpriority"):
+        kept = f"(SELECT count(DISTINCT {c}) FROM orders WHERE {c} IN (SELECT {c} FROM later)) / (SELECT count(DISTINCT {c})::DOUBLE FROM orders)"
+        return f"SELECT '{c}' AS column_name, CASE WHEN {nulls} THEN 'NULLS' WHEN {kept} < 0.5 THEN 'VALUES' END AS reason"
+    return f"SELECT '{c}' AS column_name, CASE WHEN {nulls} THEN 'NULLS' WHEN {_rank_change(c)} > 0.1 THEN 'RANKS' END AS reason"
+
+
+@query(
+    "profile_drift", "J14 J11",
+    f"""WITH {LATER_SQL}, d AS ({" UNION ALL ".join(_drift_sql(c) for c in PROFILED)})
+    SELECT column_name, CASE WHEN reason IS NULL THEN 'STABLE' ELSE 'DRIFT' END AS status, reason FROM d""",
+)
+def profile_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which columns of a later state left the profile of the baseline, and by what; rows are read once a side."""
+    orders = inp.table(spark, sf_dir, "orders")
+    later = orders.withColumns({
+        "o_custkey": F.when(F.col("o_orderkey") % 10 != 0, F.col("o_custkey")), "o_totalprice": F.col("o_totalprice") * 2,
+        "o_orderpriority": F.concat("o_orderpriority", F.lit("!")),
+    })
+    return drift(profiled_orders(spark, sf_dir, later), profiled_orders(spark, sf_dir, orders)).select("column_name", "status", "reason")
