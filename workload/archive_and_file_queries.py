@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from datetime import timedelta
+from datetime import datetime, timedelta
 
 from millrace.functions import filenames
 from millrace.names import CORRUPT, FILE
@@ -27,6 +27,7 @@ from millrace.sources.split_csv import read_csv_split
 from millrace.sources.storage import create_file
 from millrace.streaming.loader import file_stream, load_large_files, load_new_files, process_new_files
 from millrace.streaming.partial_files import PART_SIGN, judge_parts, mark_stream, part_stream, verdicts_of_parts
+from millrace.streaming.repeated_files import load_once
 from workload import inputs as inp
 from workload.registry import QUERIES, query
 
@@ -508,3 +509,36 @@ def verdicts_of_file_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     verdicts = verdicts_of_parts(rows, mark_stream(spark, marks), inp.ORDER_TABLE, inp.ORDER_RULES, timeout_ms=3_600_000)
     judge_parts(verdicts.select(FILE, "total_rows", "status", "accepted_rows", "reason"), target, state)
     return spark.read.parquet(target)
+
+
+def send_again(spark: SparkSession, files: list[str], old: str, new: str) -> None:
+    """The same bytes under other names, copied by the file system."""
+    fs, _ = src.hadoop_path(spark, files[0])
+    path, jvm = spark._jvm.org.apache.hadoop.fs.Path, spark._jvm.org.apache.hadoop.fs
+    for name in files:
+        jvm.FileUtil.copy(fs, path(name), fs, path(name.replace(old, new)), False, spark._jsc.hadoopConfiguration())
+
+
+@query(
+    "repeated_deliveries", "A3 C16",
+    """WITH f AS (SELECT strftime(o_orderdate, '%Y%m') AS month, count(*) AS n FROM orders GROUP BY 1),
+      d AS (SELECT *, date_diff('day', strptime(month || '01', '%Y%m%d')::DATE, DATE '2001-08-31') > 1461 AS late,
+        date_diff('day', strptime(month || '02', '%Y%m%d')::DATE, DATE '2001-08-31') > 1461 AS late_again FROM f)
+    SELECT 'orders_' || month || '01.csv' AS "FILE_NAME_RECEIVED", CASE WHEN late THEN 'LATE' ELSE 'NEW' END AS status, CAST(NULL AS VARCHAR) AS first_file,
+      CASE WHEN late THEN 0 ELSE n END AS loaded_rows FROM d
+    UNION ALL SELECT 'orders_' || month || '02.csv', CASE WHEN late_again THEN 'LATE' WHEN late THEN 'NEW' ELSE 'REPEATED' END,
+      CASE WHEN NOT late THEN 'orders_' || month || '01.csv' END, CASE WHEN late AND NOT late_again THEN n ELSE 0 END FROM d""",
+)
+def repeated_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file of orders a month, all sent again under another name in a second run: content counts once, late files are logged only."""
+    folder, target, log, state = (fresh_dir(spark, n) for n in ("landing", "rows", "log", "checkpoint"))
+    month = F.concat(F.lit("orders_"), F.date_format("o_orderdate", "yyyyMM"), F.lit("01"))
+    orders = inp.table(spark, sf_dir, "orders").select(month.alias(FILE), *(F.col(c).cast("string").alias(c) for c in inp.ORDER_COLUMNS))
+    files = inp.write_named_files(orders, FILE, folder, "csv", header=True)
+    options = {"window": timedelta(days=30), "days": 1461, "run_ts": datetime(2001, 8, 31), "files_per_batch": 50}
+    load_once(spark, folder, target, log, state, inp.ORDER_COLUMNS, **options)
+    send_again(spark, files, "01.csv", "02.csv")
+    load_once(spark, folder, target, log, state, inp.ORDER_COLUMNS, **options)
+    loaded = spark.read.parquet(target).groupBy(F.concat(F.col(FILE), F.lit(".csv")).alias(FILE)).agg(F.count(F.lit(1)).alias("loaded_rows"))
+    logged = spark.read.parquet(log).select(FILE, "status", "first_file").join(loaded, FILE, "left")
+    return logged.select(FILE, "status", "first_file", F.coalesce("loaded_rows", F.lit(0)).cast("bigint").alias("loaded_rows"))
