@@ -15,7 +15,7 @@ NOT_SPACES = r"[^\x20\x09-\x0D]+"
 
 __all__ = [
     "NOT_SPACES", "SPACES", "ascii_lower", "connected_components", "keep", "kept_apart", "let", "link_groups", "materialize",
-    "restored", "scratch_scope", "smallest_rows", "space_words", "text_key", "text_or_empty",
+    "restored", "scratch_scope", "shared_members", "smallest_rows", "space_words", "text_key", "text_or_empty",
 ]
 
 
@@ -104,69 +104,133 @@ def _star_steps(star: DataFrame) -> DataFrame:
 
 
 BROADCAST_BYTES = 32 << 20
+#: Nodes of a bucket that meet at random in a round, and rounds at most.
+MEETING = 16
+ROUNDS = 8
 
 
 def _any_size(a: Column, b: Column) -> Column:
     return F.lit(True)
 
 
+def shared_members(members: DataFrame) -> DataFrame:
+    """The members of buckets of several nodes, each with the bucket's smallest node as ``hub``; to be written before any other use."""
+    spark = members.sparkSession
+    if "home" not in members.columns:
+        members = members.withColumn("home", F.lit(True))
+    if "size" not in members.columns:
+        members = members.withColumn("size", F.lit(0))
+    shared = members.groupBy("bucket").agg(F.min("node").alias("hub"), F.max("node").alias("last"), F.max("home").alias("any_home"))
+    hubs = materialize(shared.where("hub != last and any_home").select("bucket", "hub"), "shared-buckets")
+    del shared
+    free_shuffles(spark)
+    # Up to a measured size the buckets go to the members; beyond it the members are shuffled once more.
+    near = F.broadcast(hubs) if 16 * hubs.count() <= BROADCAST_BYTES else hubs
+    return members.join(near, "bucket")
+
+
 def link_groups(
     members: DataFrame,
     verify: Callable[[DataFrame], DataFrame],
-    signatures: Callable[[DataFrame], DataFrame] | None = None,
+    known: DataFrame | None = None,
     alike: Callable[[Column, Column], Column] | None = None,
     sizes_alike: Callable[[Column, Column], Column] = _any_size,
 ) -> DataFrame:
     """Components of all verified pairs that share a bucket, without listing all pairs of a bucket.
 
     ``members``: ``bucket``, ``node`` and, if present, ``home`` (a pair needs one
-    home row) and ``size`` (a pair needs sizes that are ``sizes_alike``). ``verify`` takes pairs ``a``, ``b`` and keeps the right ones.
-    ``signatures`` gives ``node``, ``signature`` (with an array ``buckets`` of all its buckets) of some nodes, and ``alike`` whether
-    two signatures are near enough for ``verify`` to look at the pair at all.
+    home row) and ``size`` (a pair needs sizes that are ``sizes_alike``); or what :func:`shared_members` made of them.
+    ``verify`` takes pairs ``a``, ``b`` and keeps the right ones. ``known`` holds ``node``, ``signature`` (with an array ``buckets``
+    of all its buckets) of all nodes that share a bucket; ``alike`` tells whether two signatures are near enough for ``verify`` to look at the pair at all.
 
     1. Each node of a bucket is compared with the bucket's smallest node.
-    2. Components of the links found so far are formed.
+    2. Components of the links found so far are formed. With ``alike``, nodes of buckets that still hold many components then
+       meet in small random groups of their bucket, round by round, as long as that joins components: a crowd whose members are
+       like one another, but few of them like the smallest, becomes one component at a cost in proportion to its size.
     3. Only pairs of one bucket that lie in *different* components are compared,
        and of the bucket's largest component only against nodes outside it. A
-       crowd of near copies is one component by then, so that this grows with
-       the crowd and not with its square. A pair of several common buckets is looked at in the first of them.
+       crowd whose members are like one another is one component by then; a crowd just too unlike
+       stays apart, and its pairs grow with the square. A pair of several common buckets is looked at in the first of them.
        No link between components is lost.
     """
     spark = members.sparkSession
     with scratch_scope(spark):
-        if "home" not in members.columns:
-            members = members.withColumn("home", F.lit(True))
-        if "size" not in members.columns:
-            members = members.withColumn("size", F.lit(0))
-        shared = members.groupBy("bucket").agg(F.min("node").alias("hub"), F.max("node").alias("last"), F.max("home").alias("any_home"))
-        hubs = materialize(shared.where("hub != last and any_home").select("bucket", "hub"), "shared-buckets")
-        del shared
-        free_shuffles(spark)
-        # Up to a measured size the buckets go to the members; beyond it the members are shuffled once more.
-        near = F.broadcast(hubs) if 16 * hubs.count() <= BROADCAST_BYTES else hubs
-        placed = materialize(members.join(near, "bucket"), "members")
+        placed = members if "hub" in members.columns else materialize(shared_members(members), "members")
         free_shuffles(spark)
         pairs = placed.where(F.col("node") != F.col("hub")).select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
+        if known is not None:
+            x, y = (known.select(F.col("node").alias(n), F.col("signature").alias(f"signature_{n}")) for n in "ab")
+            pairs = pairs.join(x, "a").join(y, "b").where(alike(F.col("signature_a"), F.col("signature_b"))).select("a", "b")
+            pairs = materialize(pairs, "star-pairs")
         stars = materialize(verify(pairs).select("a", "b"), "star-links")
         parts = connected_components(stars)
         joined = placed.join(parts, "node", "left").select("bucket", "node", "home", "size", F.coalesce("component", "node").alias("component"))
         placed = materialize(joined, "placed")
         free_shuffles(spark)
-        sizes = placed.groupBy("bucket", "component").agg(F.count("*").alias("n"))
-        main = sizes.groupBy("bucket").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("parts")).where("parts > 1").drop("parts")
-        mixed = materialize(placed.join(main, "bucket"), "mixed-buckets")
+        links = parts.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        mixed = materialize(_mixed(placed), "mixed-buckets")
         free_shuffles(spark)
-        if signatures is not None:
-            mixed = materialize(mixed.join(signatures(mixed.select("node").distinct()), "node"), "mixed-signatures")
+        if known is not None:
+            mixed = materialize(mixed.join(known, "node"), "mixed-signatures")
             free_shuffles(spark)
+            mixed, met = _meet(mixed, verify, alike, sizes_alike)
+            links = links.union(met) if met is not None else links
         outside = mixed.where(F.col("component") != F.col("main"))
         x, y = outside.alias("x"), mixed.alias("y")
-        apart = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.component") != F.col("y.component")) & (F.col("x.home") | F.col("y.home"))
-        apart = apart & sizes_alike(F.col("x.size"), F.col("y.size"))
+        apart = (F.col("x.bucket") == F.col("y.bucket")) & _apart(sizes_alike)
         if alike is not None:
             earliest = F.array_min(F.array_intersect("x.signature.buckets", "y.signature.buckets"))
             apart = apart & alike(F.col("x.signature"), F.col("y.signature")) & (F.col("x.bucket") == earliest)
         across = x.join(y, apart).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
-        links = materialize(stars.union(verify(across).select("a", "b")), "links")
+        if known is not None:
+            across = materialize(across, "across-pairs")
+        links = materialize(links.union(verify(across).select("a", "b")), "links")
         free_shuffles(spark)
         return keep(connected_components(links), "linked")
+
+
+def _apart(sizes_alike: Callable[[Column, Column], Column]) -> Column:
+    """Whether a pair of two members can join two components."""
+    return (F.col("x.component") != F.col("y.component")) & (F.col("x.home") | F.col("y.home")) & sizes_alike(F.col("x.size"), F.col("y.size"))
+
+
+def _mixed(placed: DataFrame) -> DataFrame:
+    """The members of buckets with several components: with the largest of them (``main``) and the number of members outside it."""
+    sizes = placed.groupBy("bucket", "component").agg(F.count("*").alias("n"))
+    largest = F.struct("n", "component")
+    main = sizes.groupBy("bucket").agg(F.max(largest).alias("largest"), F.sum("n").alias("members"), F.count("*").alias("parts")).where("parts > 1")
+    return placed.join(main.select("bucket", F.col("largest.component").alias("main"), "members", (F.col("members") - F.col("largest.n")).alias("out")), "bucket")
+
+
+def _meet(
+    mixed: DataFrame, verify: Callable[[DataFrame], DataFrame], alike: Callable[[Column, Column], Column], sizes_alike: Callable[[Column, Column], Column]
+) -> tuple[DataFrame, DataFrame | None]:
+    """Rounds of random groups in buckets with many members outside the largest component: what is mixed after them, and the links found."""
+    found = None
+
+    def outside() -> int:
+        return mixed.where(F.col("out") > MEETING).where(F.col("component") != F.col("main")).count()
+
+    before = outside()
+    for turn in range(ROUNDS):
+        if not before:
+            break
+        seat = F.pmod(F.xxhash64("node", "bucket", F.lit(turn)), F.ceil(F.col("members") / MEETING))
+        groups = mixed.where(F.col("out") > MEETING).withColumn("seat", seat)
+        x, y = groups.alias("x"), groups.alias("y")
+        together = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.seat") == F.col("y.seat")) & (F.col("x.node") < F.col("y.node"))
+        pairs = x.join(y, together & _apart(sizes_alike) & alike(F.col("x.signature"), F.col("y.signature")))
+        met = pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"), F.col("x.component").alias("of_a"), F.col("y.component").alias("of_b"))
+        met = materialize(met.distinct(), "met")
+        linked = materialize(verify(met.select("a", "b")).select("a", "b"), "met-links")
+        found = linked if found is None else found.union(linked)
+        joined = connected_components(linked.join(met, ["a", "b"]).select(F.col("of_a").alias("a"), F.col("of_b").alias("b")))
+        joined = joined.select(F.col("node").alias("was"), F.col("component").alias("now"))
+        rest = mixed.drop("main", "members", "out").join(joined, F.col("component") == F.col("was"), "left")
+        mixed = materialize(_mixed(rest.withColumn("component", F.coalesce("now", "component")).drop("was", "now")), "mixed-again")
+        free_shuffles(mixed.sparkSession)
+        after = outside()
+        if 4 * after > 3 * before:
+            break
+        before = after
+    return mixed, found

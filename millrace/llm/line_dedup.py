@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import BROADCAST_BYTES, keep, kept_apart, let, link_groups, materialize, scratch_scope, text_key, text_or_empty
+from millrace.llm.common import BROADCAST_BYTES, keep, kept_apart, let, link_groups, materialize, scratch_scope, shared_members, text_key, text_or_empty
 
 #: Two lines are near duplicates if their sets of five-character shingles have at least this Jaccard similarity.
 SHINGLE = 5
@@ -197,29 +197,18 @@ def _few(nodes: DataFrame) -> DataFrame:
 def _linked(docs: DataFrame) -> DataFrame:
     """``node``, ``component`` of all lines with a near duplicate."""
     lines = _occurrences(docs).select(F.xxhash64("line").alias("node"), F.lower("line").alias("line"))
-    words = ", ".join(f"w{k} bigint" for k in range(WORDS))
-    sketches = materialize(lines.mapInArrow(_sketch_lines, f"node bigint, size int, {words}, buckets array<bigint>"), "line-sketches")
-    members = sketches.select("node", "size", F.explode("buckets").alias("bucket"))
-    signature = F.struct("size", *(f"w{k}" for k in range(WORDS)), "buckets").alias("signature")
-
-    def signatures(nodes: DataFrame) -> DataFrame:
-        return sketches.join(_few(nodes), "node").groupBy("node").agg(F.first(signature).alias("signature"))
-
-    def verify(pairs: DataFrame) -> DataFrame:
-        pairs = materialize(pairs.select("a", "b"), "line-pairs")
-        known = materialize(signatures(materialize(_nodes_of(pairs), "paired-lines")), "line-signatures")
-        x, y = known.select(F.col("node").alias("a"), F.col("signature").alias("x")), known.select(F.col("node").alias("b"), F.col("signature").alias("y"))
-        worth = pairs.join(x, "a").join(y, "b").where(may_be_similar(F.col("x"), F.col("y"))).select("a", "b")
-        pairs = materialize(worth, "candidate-pairs")
-        wanted = materialize(_nodes_of(pairs), "candidate-lines")
-        texts = _occurrences(docs).select(F.xxhash64("line").alias("node"), "line").join(_few(wanted), "node").groupBy("node").agg(F.min("line").alias("line"))
-        return similar(pairs, materialize(texts, "candidate-texts"))
-
-    return link_groups(members, verify, signatures, may_be_similar, lambda a, b: 9 * F.abs(a - b) <= a + b)
-
-
-def _nodes_of(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    words = [f"w{k}" for k in range(WORDS)]
+    # Sketches of all lines go as soon as the few lines that share a bucket are known.
+    with scratch_scope(docs.sparkSession):
+        schema = f"node bigint, size int, {', '.join(f'{w} bigint' for w in words)}, buckets array<bigint>"
+        sketches = materialize(lines.mapInArrow(_sketch_lines, schema), "line-sketches")
+        placed = keep(shared_members(sketches.select("node", "size", F.explode("buckets").alias("bucket"))).distinct(), "members")
+        wanted = keep(placed.select("node").distinct(), "candidate-lines")
+        found = sketches.join(_few(wanted), "node").groupBy("node").agg(F.first(F.struct("size", *words, "buckets")).alias("signature"))
+        signatures = keep(found, "signatures")
+    texts = _occurrences(docs).select(F.xxhash64("line").alias("node"), "line").join(_few(wanted), "node").groupBy("node").agg(F.min("line").alias("line"))
+    texts = materialize(texts, "candidate-texts")
+    return link_groups(placed, lambda pairs: similar(pairs, texts), signatures, may_be_similar, lambda a, b: 9 * F.abs(a - b) <= a + b)
 
 
 def line_decisions(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -241,18 +230,13 @@ def line_decisions(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     plain = docs.select(F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
     with scratch_scope(docs.sparkSession):
         linked = _linked(plain)
-        found = materialize(
-            _occurrences(plain).select("doc_id", "text_id", "place", F.xxhash64("line").alias("node"), F.substring(text_key(F.col("line")), 1, 16).alias("key")), "lines"
-        )
+        found = _occurrences(plain).select("doc_id", "text_id", "place", F.xxhash64("line").alias("node"), F.substring(text_key(F.col("line")), 1, 16).alias("key"))
         # A line without near duplicates is its own digest of 128 bits; 64-bit nodes only name linked lines.
-        own = found.join(linked, "node", "left")
-        grouped = materialize(
-            own.select(
-                "doc_id", "text_id", "place", F.coalesce(F.concat(F.lit("c").cast("binary"), F.col("component").cast("string").cast("binary")), F.col("key")).alias("group"),
-                F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "text_id", "place").alias("at"),
-            ),
-            "line-groups",
-        )
+        group = F.coalesce(F.concat(F.lit("c").cast("binary"), F.col("component").cast("string").cast("binary")), F.col("key"))
+        named = materialize(found.join(_few(linked), "node", "left").select("doc_id", "text_id", "place", group.alias("group")), "line-groups")
+        several = materialize(named.groupBy("group").agg(F.count("*").alias("n")).where("n > 1").select("group"), "repeated-groups")
+        at = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "text_id", "place").alias("at")
+        grouped = materialize(named.join(several, "group").select("doc_id", "text_id", "place", "group", at), "repeated-occurrences")
         repeated = grouped.groupBy("group").agg(F.min("at").alias("kept"), F.max("at").alias("last")).where("kept != last").select("group", "kept")
         repeated = materialize(repeated, "repeated-lines")
         lost = grouped.join(repeated, "group").where(F.col("at") != F.col("kept"))

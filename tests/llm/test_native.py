@@ -32,6 +32,24 @@ def test_links_between_components_of_one_bucket_are_found(spark):
     assert found == {1: 1, 4: 1, 7: 1, 9: 1}
 
 
+
+def test_a_crowd_joined_in_random_groups_leaves_few_pairs(spark):
+    # Each node is like those within 80: a hub is like few of them, all pairs across components would be 20 times as many.
+    nodes = 600
+    members = spark.createDataFrame([("x", n) for n in range(nodes)], "bucket string, node bigint")
+    known = spark.createDataFrame([(n, (n, ["x"])) for n in range(nodes)], "node bigint, signature struct<size: int, buckets: array<string>>")
+    seen = []
+
+    def verify(pairs):
+        seen.append(pairs.count())
+        return pairs
+
+    near = lambda a, b: F.abs(a["size"] - b["size"]) <= 80
+    found = {r["node"]: r["component"] for r in link_groups(members, verify, known, near).collect()}
+    assert found == dict.fromkeys(range(nodes), 0)
+    assert sum(seen) < 5000
+
+
 def shingles(line):
     line = line.lower()
     return {line[i : i + 5] for i in range(len(line) - 4)} or {line}
